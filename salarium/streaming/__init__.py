@@ -1,0 +1,5 @@
+"""Streaming: nothing to build.
+
+The workload is a full-reload batch (every run replaces the loaded table and the marts);
+there are no watermarks, windows over event time or stateful operators to reproduce.
+"""
