@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import oracle_queries
 from salarium.functions.text import na_token_blank
-from salarium.operators import analytics, cleaning
+from salarium.operators import analytics, anomaly, audit, cleaning, quality
 from salarium.plans.warehouse import warehouse_for
 from salarium.sources import fixture
 
@@ -163,6 +163,159 @@ def q_duplicate_contracts(spark, sf_dir):
     return analytics.duplicate_contracts(_wh(spark, sf_dir).fact)
 
 
+# ---- quality ---------------------------------------------------------------------------
+
+
+def q_names_multi_company(spark, sf_dir):
+    return quality.names_multi_company(_wh(spark, sf_dir).clean_reread)
+
+
+def q_missing_critical_rows(spark, sf_dir):
+    return quality.missing_critical(_wh(spark, sf_dir).clean_reread)
+
+
+def q_quality_report(spark, sf_dir):
+    return quality.quality_report(_wh(spark, sf_dir).clean_reread)
+
+
+def q_seq_no_profile(spark, sf_dir):
+    return quality.seq_no_profile(_wh(spark, sf_dir).before_inference)
+
+
+def q_seq_no_sample(spark, sf_dir):
+    return quality.seq_no_sample(_wh(spark, sf_dir).before_inference, 5)
+
+
+def q_lost_identifiers(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.lost_identifiers(wh.raw, wh.clean)
+
+
+NOT_NULL = {
+    "stg_indemnizatii_clean": ("stg", ["pk", "cui", "suma_clean", "variabila_clean"]),
+    "int_indemnizatii_base": ("int_base", ["pk", "total_plata"]),
+    "int_persoane_clean": ("int_persons", ["person_id"]),
+    "int_companii_clean": ("int_companies", ["company_id"]),
+    "fact_indemnizatii": ("fact", ["pk", "person_id", "company_id", "an_raportare"]),
+    "dim_persoane": ("dim_persons", ["person_id"]),
+    "dim_companii": ("dim_companies", ["company_id"]),
+}
+UNIQUE = [("stg_indemnizatii_clean", "stg", "pk"), ("int_indemnizatii_base", "int_base", "pk"),
+          ("int_persoane_clean", "int_persons", "person_id"), ("int_companii_clean", "int_companies", "company_id"),
+          ("fact_indemnizatii", "fact", "pk"), ("dim_persoane", "dim_persons", "person_id"),
+          ("dim_companii", "dim_companies", "company_id")]
+
+
+def q_expect_not_null(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    frames = [quality.expect_not_null(getattr(wh, attr), model, cols) for model, (attr, cols) in NOT_NULL.items()]
+    top = analytics.top_earners(wh.fact, wh.dim_persons, 50)
+    frames.append(quality.expect_not_null(top, "top_earners", ["an_raportare", "person_id", "persoana", "total_salary"]))
+    return quality._concat(frames)
+
+
+def q_expect_unique(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality._concat([quality.expect_unique(getattr(wh, attr), model, col) for model, attr, col in UNIQUE])
+
+
+def q_expect_relationships(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality._concat([
+        quality.expect_relationship(wh.fact, "fact_indemnizatii", "person_id", wh.dim_persons, "dim_persoane", "person_id"),
+        quality.expect_relationship(wh.fact, "fact_indemnizatii", "company_id", wh.dim_companies, "dim_companii",
+                                    "company_id")])
+
+
+def q_expect_earners_in_dim(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.expect_earners_in_dim(analytics.top_earners(wh.fact, wh.dim_persons, 50), wh.dim_persons)
+
+
+# ---- anomaly review and audit --------------------------------------------------------------
+
+RUN_ID = "20250101T000000Z"
+SOURCE_TABLE = "analytics.fact_indemnizatii"
+
+
+def _whole_slice(spark, sf_dir):
+    return anomaly.fact_slice(_wh(spark, sf_dir).fact, None, None)
+
+
+def _score_out(df):
+    return df.select("record_pk", "company_id", "person_id", "anomaly_score",
+                     F.array_join("anomaly_reasons", ";").alias("anomaly_reasons"))
+
+
+def q_fact_slice(spark, sf_dir):
+    return anomaly.fact_slice(_wh(spark, sf_dir).fact, None, 500)
+
+
+def q_anomaly_peer_stats(spark, sf_dir):
+    by_company, by_year = anomaly.peer_stats(_whole_slice(spark, sf_dir))
+    j = by_company.join(by_year, "year", "left")
+    return j.select("year", "company_id", "mean", F.round("std", 6).alias("std"), "mean_y",
+                    F.round("std_y", 6).alias("std_y"))
+
+
+def q_anomaly_rules(spark, sf_dir):
+    return _score_out(anomaly.anomaly_rules(_whole_slice(spark, sf_dir)))
+
+
+def q_anomaly_scores(spark, sf_dir):
+    return _score_out(anomaly.anomaly_scores(_whole_slice(spark, sf_dir)))
+
+
+def _flagged(spark, sf_dir):
+    return anomaly.review_queue(_wh(spark, sf_dir).fact, None, None, 3.0)
+
+
+def q_anomaly_flagged(spark, sf_dir):
+    f = _flagged(spark, sf_dir)
+    return _score_out(f).join(f.select("record_pk", "total_ron").distinct(), "record_pk")
+
+
+def q_anomaly_flagged_slice(spark, sf_dir):
+    # the review CLI's own slice semantics: statistics over the first 1,000 rows (README example)
+    f = anomaly.review_queue(_wh(spark, sf_dir).fact, None, 1000, 0.5)
+    return f.select("record_pk", "company_id", "person_id", "anomaly_score",
+                    F.array_join("anomaly_reasons", ";").alias("anomaly_reasons"), "total_ron")
+
+
+def q_anomaly_queue_csv(spark, sf_dir):
+    return audit.queue_for_csv(_flagged(spark, sf_dir))
+
+
+def _candidates(spark, sf_dir):
+    return audit.candidates(_flagged(spark, sf_dir), RUN_ID, SOURCE_TABLE)
+
+
+def q_anomaly_labels(spark, sf_dir):
+    return anomaly.classify_offline(_candidates(spark, sf_dir)).select(
+        "record_pk", "label", "confidence", "rationale", "reviewer_type", "model")
+
+
+def q_prompt_fingerprint(spark, sf_dir):
+    return anomaly.prompt_fingerprint(_candidates(spark, sf_dir)).select("record_pk", "prompt_sha256")
+
+
+def q_audit_candidates(spark, sf_dir):
+    c = _candidates(spark, sf_dir)
+    return c.select(*[F.array_join(x, ";").alias(x) if x == "anomaly_reasons" else F.col(x)
+                      for x in audit.CANDIDATE_COLUMNS])
+
+
+def q_audit_reviews(spark, sf_dir):
+    return audit.reviews(_candidates(spark, sf_dir)).select(*audit.REVIEW_COLUMNS)
+
+
+def q_audit_reviews_pruned(spark, sf_dir):
+    c = _candidates(spark, sf_dir)
+    r = audit.reviews(c).select(*audit.REVIEW_COLUMNS)
+    kept = audit.delete_candidates(c, F.col("anomaly_score") >= 4.0)
+    return audit.cascade_reviews(r, kept)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "clean_placeholders": q_clean_placeholders,
@@ -191,6 +344,28 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_earners": q_top_earners,
     "top_earners_display": q_top_earners_display,
     "duplicate_contracts": q_duplicate_contracts,
+    "names_multi_company": q_names_multi_company,
+    "missing_critical_rows": q_missing_critical_rows,
+    "quality_report": q_quality_report,
+    "seq_no_profile": q_seq_no_profile,
+    "seq_no_sample": q_seq_no_sample,
+    "lost_identifiers": q_lost_identifiers,
+    "expect_not_null": q_expect_not_null,
+    "expect_unique": q_expect_unique,
+    "expect_relationships": q_expect_relationships,
+    "expect_earners_in_dim": q_expect_earners_in_dim,
+    "fact_slice": q_fact_slice,
+    "anomaly_peer_stats": q_anomaly_peer_stats,
+    "anomaly_rules": q_anomaly_rules,
+    "anomaly_scores": q_anomaly_scores,
+    "anomaly_flagged": q_anomaly_flagged,
+    "anomaly_flagged_slice": q_anomaly_flagged_slice,
+    "anomaly_queue_csv": q_anomaly_queue_csv,
+    "anomaly_labels": q_anomaly_labels,
+    "prompt_fingerprint": q_prompt_fingerprint,
+    "audit_candidates": q_audit_candidates,
+    "audit_reviews": q_audit_reviews,
+    "audit_reviews_pruned": q_audit_reviews_pruned,
 }
 
 

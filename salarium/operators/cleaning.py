@@ -127,14 +127,18 @@ def infer_seq_no(df: DataFrame) -> DataFrame:
     return joined.withColumn("nr_crt", filled).select(*df.columns)
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """The whole cleaning stage in file order of the reference:
-    P3, P4, P5, P6, P7, P8, P9, P10 (P1/P2 apply to file sources, see ``sources.files``)."""
+def prepare(raw: DataFrame) -> DataFrame:
+    """Row-local cleaning P3-P9 in the reference's order (one projection, no shuffle)."""
     df = drop_empty_rows(raw)
     df = clean_text(df)
     df = blank_placeholders(df)
     df = split_base_variable(df)
     df = clean_amounts(df)
     df = amounts_numeric(df)
-    df = normalize_seq_no(df)
-    return infer_seq_no(df)
+    return normalize_seq_no(df)
+
+
+def clean(raw: DataFrame) -> DataFrame:
+    """The whole cleaning stage: P3-P9, then the identifier inference P10.
+    (P1/P2 apply to file sources, see ``sources.files``.)"""
+    return infer_seq_no(prepare(raw))

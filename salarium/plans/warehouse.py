@@ -13,7 +13,9 @@ import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from salarium.functions.text import na_token_blank
 from salarium.operators import cleaning, load, models
 from salarium.session import apply_defaults, materialize
 from salarium.sources import fixture
@@ -30,9 +32,20 @@ class Warehouse:
     def _table(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self._materialize else df
 
+    @cached_property
+    def before_inference(self) -> DataFrame:
+        """The table as the identifier inference sees it (after P9, before P10)."""
+        return cleaning.prepare(self.raw)
+
     @cached_property
     def clean(self) -> DataFrame:
-        return cleaning.clean(self.raw)
+        return cleaning.infer_seq_no(self.before_inference)
+
+    @cached_property
+    def clean_reread(self) -> DataFrame:
+        """The clean table as validation reads it back from CSV: all text, NA tokens -> ''."""
+        data = [c for c in self.clean.columns if c != "src_row"]
+        return self.clean.select("src_row", *[na_token_blank(F.col(c).cast("string")).alias(c) for c in data])
 
     @cached_property
     def loaded(self) -> DataFrame:
