@@ -267,7 +267,7 @@ def q_anomaly_scores(spark, sf_dir):
 
 
 def _flagged(spark, sf_dir):
-    return anomaly.review_queue(_wh(spark, sf_dir).fact, None, None, 3.0)
+    return _wh(spark, sf_dir).flagged(None, None, 3.0)
 
 
 def q_anomaly_flagged(spark, sf_dir):
@@ -277,7 +277,7 @@ def q_anomaly_flagged(spark, sf_dir):
 
 def q_anomaly_flagged_slice(spark, sf_dir):
     # the review CLI's own slice semantics: statistics over the first 1,000 rows (README example)
-    f = anomaly.review_queue(_wh(spark, sf_dir).fact, None, 1000, 0.5)
+    f = _wh(spark, sf_dir).flagged(None, 1000, 0.5)
     return f.select("record_pk", "company_id", "person_id", "anomaly_score",
                     F.array_join("anomaly_reasons", ";").alias("anomaly_reasons"), "total_ron")
 
@@ -287,7 +287,7 @@ def q_anomaly_queue_csv(spark, sf_dir):
 
 
 def _candidates(spark, sf_dir):
-    return audit.candidates(_flagged(spark, sf_dir), RUN_ID, SOURCE_TABLE)
+    return _wh(spark, sf_dir).candidates(RUN_ID, SOURCE_TABLE, None, None, 3.0)
 
 
 def q_anomaly_labels(spark, sf_dir):

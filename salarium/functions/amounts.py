@@ -1,12 +1,14 @@
 """Amount-text expressions (P6, P7, P8) as native column expressions.
 
 Everything here compiles to JVM expressions (regexp, split, higher-order array functions),
-so it stays inside whole-stage code generation; no Python runs per row.
+so no Python runs per row. The DataFrame forms (``*_stages``) compute each intermediate
+value once as its own column: Catalyst keeps a projection separate when collapsing it would
+duplicate a non-trivial expression, so a value used four times is still evaluated once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salarium.functions.text import py_strip
@@ -28,37 +30,74 @@ def _numeric_parts(text: Column, sep_regex: str) -> Column:
     return F.filter(parts, lambda p: p != F.lit(""))
 
 
-def clean_amount_text(c: Column) -> Column:
-    """Normalise one amount cell.
-
-    1. blank, or one of NO_AMOUNT_TEXTS after strip/lower -> ''
-    2. U+00A0 removed, U+202F -> space, then every character except digits and ``, . / + -``
-       is deleted
-    3. contains '+': the sum of the digit runs of the '+'-parts when there are at least two,
-       else the text of step 2 unchanged
-    4. contains '/': the largest digit run of the '/'-parts when there are at least two
-    5. otherwise the text of step 2 (commas and dots kept)
-    """
-    raw = F.coalesce(c, F.lit(""))
-    text = py_strip(raw)
+# ---- P7 -----------------------------------------------------------------------------------
+# Rules: 1. blank, or one of NO_AMOUNT_TEXTS after strip/lower -> ''
+#        2. U+00A0 removed, U+202F -> space, then every character except digits and
+#           ", . / + -" is deleted
+#        3. contains '+': the sum of the digit runs of the '+'-parts when there are at least
+#           two, else the text of step 2 unchanged
+#        4. contains '/': the largest digit run of the '/'-parts when there are at least two
+#        5. otherwise the text of step 2 (commas and dots kept)
+
+
+def _amount_stage1(c: Column) -> Column:
+    return py_strip(F.coalesce(c, F.lit("")))
+
+
+def _amount_stage2(text: Column) -> tuple[Column, Column]:
     no_amount = (text == F.lit("")) | F.lower(text).isin(NO_AMOUNT_TEXTS)
     spaced = F.replace(F.replace(text, F.lit("\u00a0"), F.lit("")), F.lit("\u202f"), F.lit(" "))
-    kept = F.regexp_replace(spaced, r"[^0-9,./+\-]", "")
+    return no_amount, F.regexp_replace(spaced, r"[^0-9,./+\-]", "")
+
 
-    plus_nums = _numeric_parts(kept, r"\+")
-    plus_sum = F.aggregate(plus_nums, F.lit(0).cast(_BIG), lambda acc, p: acc + p.cast(_BIG))
-    slash_nums = _numeric_parts(kept, "/")
-    slash_max = F.array_max(F.transform(slash_nums, lambda p: p.cast(_BIG)))
+def _amount_stage3(kept: Column) -> tuple[Column, Column]:
+    # parts are only built when the separator occurs (CASE evaluates lazily)
+    plus = F.when(F.instr(kept, "+") > 0, _numeric_parts(kept, r"\+"))
+    slash = F.when(F.instr(kept, "/") > 0, _numeric_parts(kept, "/"))
+    return plus, slash
 
+
+def _amount_stage4(no_amount: Column, kept: Column, plus: Column, slash: Column) -> Column:
+    plus_sum = F.aggregate(plus, F.lit(0).cast(_BIG), lambda acc, p: acc + p.cast(_BIG))
+    slash_max = F.array_max(F.transform(slash, lambda p: p.cast(_BIG)))
     return (
         F.when(no_amount, F.lit(""))
-        .when(F.instr(kept, "+") > 0,
-              F.when(F.size(plus_nums) >= 2, plus_sum.cast("string")).otherwise(kept))
-        .when((F.instr(kept, "/") > 0) & (F.size(slash_nums) >= 2), slash_max.cast("string"))
+        .when(plus.isNotNull(), F.when(F.size(plus) >= 2, plus_sum.cast("string")).otherwise(kept))
+        .when(slash.isNotNull() & (F.size(slash) >= 2), slash_max.cast("string"))
         .otherwise(kept)
     )
 
 
+def clean_amount_text(c: Column) -> Column:
+    """P7 on one column as a single expression (see ``clean_amount_stages`` for tables)."""
+    no_amount, kept = _amount_stage2(_amount_stage1(c))
+    plus, slash = _amount_stage3(kept)
+    return _amount_stage4(no_amount, kept, plus, slash)
+
+
+def clean_amount_stages(df: DataFrame, columns: list[str]) -> DataFrame:
+    """P7 on several columns of a table, each intermediate computed once per row."""
+    tmp: list[str] = []
+    df = df.withColumns({f"_a1_{c}": _amount_stage1(F.col(c)) for c in columns})
+    stage2 = {}
+    for c in columns:
+        no_amount, kept = _amount_stage2(F.col(f"_a1_{c}"))
+        stage2[f"_a2n_{c}"], stage2[f"_a2k_{c}"] = no_amount, kept
+    df = df.withColumns(stage2)
+    stage3 = {}
+    for c in columns:
+        stage3[f"_a3p_{c}"], stage3[f"_a3s_{c}"] = _amount_stage3(F.col(f"_a2k_{c}"))
+    df = df.withColumns(stage3)
+    df = df.withColumns({c: _amount_stage4(F.col(f"_a2n_{c}"), F.col(f"_a2k_{c}"), F.col(f"_a3p_{c}"),
+                                           F.col(f"_a3s_{c}")) for c in columns})
+    for c in columns:
+        tmp += [f"_a1_{c}", f"_a2n_{c}", f"_a2k_{c}", f"_a3p_{c}", f"_a3s_{c}"]
+    return df.drop(*tmp)
+
+
+# ---- P6 -----------------------------------------------------------------------------------
+
+
 def split_base_variable_cols(suma: Column, variabila: Column) -> tuple[Column, Column]:
     """P6: 'base - variable' in ``suma`` is split at the first '-'.
 
@@ -74,7 +113,37 @@ def split_base_variable_cols(suma: Column, variabila: Column) -> tuple[Column, C
     return F.when(ok, left).otherwise(suma), F.when(ok, right).otherwise(variabila)
 
 
+def split_base_variable_stages(df: DataFrame, suma: str, variabila: str) -> DataFrame:
+    """P6 on a table: the two sides are computed once, then both columns replaced."""
+    s = F.coalesce(F.col(suma), F.lit(""))
+    pos = F.instr(s, "-")
+    df = df.withColumns({
+        "_s6_has": pos > 0,
+        "_s6_left": F.when(pos > 0, py_strip(F.substring_index(s, "-", 1))),
+        "_s6_right": F.when(pos > 0, py_strip(s.substr(pos + F.lit(1), F.length(s)))),
+    })
+    ok = (F.col("_s6_has") & (_digits(F.col("_s6_left")) != F.lit(""))
+          & (_digits(F.col("_s6_right")) != F.lit("")))
+    df = df.withColumn("_s6_ok", F.coalesce(ok, F.lit(False)))
+    df = df.withColumns({
+        suma: F.when(F.col("_s6_ok"), F.col("_s6_left")).otherwise(F.col(suma)),
+        variabila: F.when(F.col("_s6_ok"), F.col("_s6_right")).otherwise(F.col(variabila)),
+    })
+    return df.drop("_s6_has", "_s6_left", "_s6_right", "_s6_ok")
+
+
+# ---- P8 -----------------------------------------------------------------------------------
+
+
 def digits_to_int(c: Column) -> Column:
     """Delete every non-digit, '' -> 0, as bigint (sign and decimal point are lost)."""
     d = _digits(F.coalesce(c, F.lit("")))
     return F.when(d == F.lit(""), F.lit("0")).otherwise(d).cast("bigint")
+
+
+def digits_to_int_stages(df: DataFrame, pairs: dict[str, str]) -> DataFrame:
+    """P8 on a table: ``{source column: output column}``, the digit text computed once."""
+    df = df.withColumns({f"_d8_{out}": _digits(F.coalesce(F.col(src), F.lit(""))) for src, out in pairs.items()})
+    df = df.withColumns({out: F.when(F.col(f"_d8_{out}") == F.lit(""), F.lit("0"))
+                         .otherwise(F.col(f"_d8_{out}")).cast("bigint") for out in pairs.values()})
+    return df.drop(*[f"_d8_{out}" for out in pairs.values()])

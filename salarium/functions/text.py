@@ -15,15 +15,15 @@ NA_TOKENS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Whitespace as Python's str.strip() sees it: Unicode White_Space plus the four
-# information separators U+001C..U+001F.
-_WS = r"\s\x1c-\x1f"
-_STRIP_RE = rf"(?U)^[{_WS}]+|[{_WS}]+$"
+# Whitespace as Python's str.strip() sees it: every character below U+3001 for which
+# str.isspace() holds (the highest such character is U+3000).
+WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 
 def py_strip(c: Column) -> Column:
-    """Strip leading/trailing Unicode whitespace (Python ``str.strip``)."""
-    return F.regexp_replace(c, _STRIP_RE, "")
+    """Strip leading/trailing whitespace as Python ``str.strip`` does (no regex: ``btrim``
+    with the whitespace set is a plain codegen'd scan from both ends)."""
+    return F.btrim(c, F.lit(WHITESPACE))
 
 
 def collapse_line_breaks(c: Column) -> Column:
@@ -51,7 +51,12 @@ def is_blank(c: Column) -> Column:
     return F.coalesce(py_strip(c) == F.lit(""), F.lit(True))
 
 
+def seq_no_text(c: Column) -> Column:
+    """P9, first half: drop a trailing '.0', then strip."""
+    return py_strip(F.regexp_replace(F.coalesce(c, F.lit("")), r"\.0$", ""))
+
+
 def normalize_seq_no_cell(c: Column) -> Column:
     """Drop a trailing '.0', strip, and the texts 'nan'/'None' become ''."""
-    v = py_strip(F.regexp_replace(F.coalesce(c, F.lit("")), r"\.0$", ""))
+    v = seq_no_text(c)
     return F.when(v.isin("nan", "None"), F.lit("")).otherwise(v)

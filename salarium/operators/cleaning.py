@@ -11,8 +11,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salarium.functions.amounts import clean_amount_text, digits_to_int, split_base_variable_cols
-from salarium.functions.text import blank_placeholder, clean_cell, is_blank, normalize_seq_no_cell
+from salarium.functions.amounts import clean_amount_stages, digits_to_int_stages, split_base_variable_stages
+from salarium.functions.text import blank_placeholder, clean_cell, is_blank, seq_no_text
 from salarium.plans.joins import lookup_join
 
 # Normalised source headers -> short column names.
@@ -77,30 +77,31 @@ def split_base_variable(df: DataFrame) -> DataFrame:
     """P6: 'base - variable' in ``suma`` moves its right side to ``indemnizatie_variabila``."""
     if "suma" not in df.columns:
         return df
-    var = F.col("indemnizatie_variabila") if "indemnizatie_variabila" in df.columns else F.lit(None).cast("string")
-    suma, variabila = split_base_variable_cols(F.col("suma"), var)
-    out = df.withColumns({"suma": suma, "indemnizatie_variabila": variabila})
-    return out
+    if "indemnizatie_variabila" not in df.columns:
+        df = df.withColumn("indemnizatie_variabila", F.lit(None).cast("string"))
+    return split_base_variable_stages(df, "suma", "indemnizatie_variabila")
 
 
 def clean_amounts(df: DataFrame) -> DataFrame:
     """P7 on both amount columns."""
-    return df.withColumns({c: clean_amount_text(F.col(c)) for c in AMOUNT_COLUMNS if c in df.columns})
+    return clean_amount_stages(df, [c for c in AMOUNT_COLUMNS if c in df.columns])
 
 
 def amounts_numeric(df: DataFrame) -> DataFrame:
     """``suma_num`` and ``indemnizatie_variabila_num`` (digits only, '' -> 0)."""
-    out = df.withColumn("suma_num", digits_to_int(F.col("suma")))
+    pairs = {"suma": "suma_num"}
     if "indemnizatie_variabila" in df.columns:
-        out = out.withColumn("indemnizatie_variabila_num", digits_to_int(F.col("indemnizatie_variabila")))
-    return out
+        pairs["indemnizatie_variabila"] = "indemnizatie_variabila_num"
+    return digits_to_int_stages(df, pairs)
 
 
 def normalize_seq_no(df: DataFrame) -> DataFrame:
     """``nr_crt`` without '.0', stripped, 'nan'/'None' -> ''."""
     if "nr_crt" not in df.columns:
         return df
-    return df.withColumn("nr_crt", normalize_seq_no_cell(F.col("nr_crt")))
+    df = df.withColumn("_p9_nr", seq_no_text(F.col("nr_crt")))
+    v = F.col("_p9_nr")
+    return df.withColumn("nr_crt", F.when(v.isin("nan", "None"), F.lit("")).otherwise(v)).drop("_p9_nr")
 
 
 def seq_no_mapping(df: DataFrame) -> DataFrame:

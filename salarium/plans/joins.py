@@ -27,12 +27,17 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
 
 
-def checked_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Materialise ``small`` and return it broadcast-hinted iff it has at most ``max_rows`` rows."""
+def bounded(small: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
+    """Materialise ``small``; return it with whether it has at most ``max_rows`` rows."""
     bound = max_broadcast_rows(small) if max_rows is None else max_rows
     small = materialize(small)
-    n = small.limit(bound + 1).count()
-    return F.broadcast(small) if n <= bound else small
+    return small, small.limit(bound + 1).count() <= bound
+
+
+def checked_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Materialise ``small`` and return it broadcast-hinted iff it has at most ``max_rows`` rows."""
+    small, ok = bounded(small, max_rows)
+    return F.broadcast(small) if ok else small
 
 
 def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",

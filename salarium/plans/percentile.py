@@ -12,7 +12,11 @@ per-group order statistic is found with shuffles whose units are bounded:
 4. per-slice totals (at most #partitions + #groups rows) prefix-summed per group — a window
    over at most #partitions rows per group — give each slice its offset and the group size;
 5. keep only the pairs that hold the two ranks around ``(n - 1) * p`` (at most two per
-   requested percentile and group) and interpolate: ``lo + (hi - lo) * (h - floor(h))``.
+   requested percentile and group) and interpolate as PostgreSQL does:
+   ``lo + (pos - floor(pos)) * (hi - lo)``.
+
+The same pass yields the group's count, min, max and sum, so callers that also need those
+do not aggregate the input a second time.
 """
 
 from __future__ import annotations
@@ -24,9 +28,13 @@ from salarium.session import materialize
 
 
 def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
-                      probs: dict[str, float]) -> DataFrame:
-    """One row per group (with at least one non-null value): ``group_cols`` + one double
-    column per entry of ``probs`` (name -> fraction in [0, 1])."""
+                      probs: dict[str, float], stats_prefix: str | None = None) -> DataFrame:
+    """One row per group with at least one non-null value: ``group_cols`` + one double column
+    per entry of ``probs`` (name -> fraction in [0, 1]).
+
+    With ``stats_prefix`` the row also carries ``<prefix>n`` (non-null values),
+    ``<prefix>min``, ``<prefix>max`` and ``<prefix>sum`` of the value.
+    """
     g = list(group_cols)
     v = value_col
     counts = (df.where(F.col(v).isNotNull())
@@ -38,20 +46,27 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
     in_slice = Window.partitionBy("_pc_part", *g).orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
     running = sliced.withColumn("_pc_run", F.sum("_pc_n").over(in_slice))
 
-    slices = sliced.groupBy("_pc_part", *g).agg(F.sum("_pc_n").alias("_pc_slice"))
+    slices = sliced.groupBy("_pc_part", *g).agg(
+        F.sum("_pc_n").alias("_pc_slice"),
+        F.min(v).alias("_pc_smin"), F.max(v).alias("_pc_smax"),
+        F.sum(F.col(v) * F.col("_pc_n")).alias("_pc_ssum"))
     earlier = Window.partitionBy(*g).orderBy("_pc_part").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*g)
     slices = slices.select(
         F.col("_pc_part").alias("_pc_s_part"), *[F.col(c).alias(f"_pc_s_{i}") for i, c in enumerate(g)],
         F.coalesce(F.sum("_pc_slice").over(earlier), F.lit(0)).alias("_pc_before"),
-        F.sum("_pc_slice").over(whole).alias("_pc_total"))
+        F.sum("_pc_slice").over(whole).alias("_pc_total"),
+        F.min("_pc_smin").over(whole).alias("_pc_min"),
+        F.max("_pc_smax").over(whole).alias("_pc_max"),
+        F.sum("_pc_ssum").over(whole).alias("_pc_sum"))
 
     cond = F.col("_pc_part") == F.col("_pc_s_part")
     for i, c in enumerate(g):
         cond = cond & F.col(c).eqNullSafe(F.col(f"_pc_s_{i}"))
     located = running.join(slices, cond).select(
-        *g, v, "_pc_n", (F.col("_pc_before") + F.col("_pc_run")).alias("_pc_upto"), "_pc_total")
-    # ranks below this value: [_pc_upto - n, _pc_upto)
+        *g, v, "_pc_n", (F.col("_pc_before") + F.col("_pc_run")).alias("_pc_upto"),
+        "_pc_total", "_pc_min", "_pc_max", "_pc_sum")
+    # ranks held by this value: [_pc_upto - n, _pc_upto)
     lo_rank = F.col("_pc_upto") - F.col("_pc_n")
     hi_rank = F.col("_pc_upto")
 
@@ -70,11 +85,14 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
         aggs.append(F.max(F.when(holds(F.floor(h)), F.col(v))).alias(f"_pc_lo_{name}"))
         aggs.append(F.max(F.when(holds(F.ceil(h)), F.col(v))).alias(f"_pc_hi_{name}"))
         aggs.append(F.max(h - F.floor(h)).alias(f"_pc_frac_{name}"))
-    bounds = picked.groupBy(*g).agg(*aggs)
+    stat_cols = ["_pc_total", "_pc_min", "_pc_max", "_pc_sum"]
+    bounds = picked.groupBy(*g).agg(*aggs, *[F.max(c).alias(c) for c in stat_cols])
 
     outs = []
     for name in probs:
         lo = F.col(f"_pc_lo_{name}").cast("double")
         hi = F.col(f"_pc_hi_{name}").cast("double")
-        outs.append((lo + (hi - lo) * F.col(f"_pc_frac_{name}")).alias(name))
+        outs.append((lo + F.col(f"_pc_frac_{name}") * (hi - lo)).alias(name))
+    if stats_prefix is not None:
+        outs += [F.col(c).alias(f"{stats_prefix}{c[len('_pc_'):]}") for c in stat_cols]
     return bounds.select(*g, *outs)

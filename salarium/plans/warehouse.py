@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salarium.functions.text import na_token_blank
-from salarium.operators import cleaning, load, models
+from salarium.operators import anomaly, audit, cleaning, load, models
+from salarium.plans.sequence import sort_and_materialize
 from salarium.session import apply_defaults, materialize
 from salarium.sources import fixture
 
@@ -28,18 +29,23 @@ class Warehouse:
         self.raw = raw
         self.year = year
         self._materialize = materialize_marts
+        self._runs: dict[tuple, DataFrame] = {}
 
     def _table(self, df: DataFrame) -> DataFrame:
         return materialize(df) if self._materialize else df
 
     @cached_property
     def before_inference(self) -> DataFrame:
-        """The table as the identifier inference sees it (after P9, before P10)."""
-        return cleaning.prepare(self.raw)
+        """The table as the identifier inference sees it (after P9, before P10).
+
+        Written once: the inference reads it twice (the ``cui`` mapping, then the join) and
+        the ordering of the clean table samples it once more."""
+        return self._table(cleaning.prepare(self.raw))
 
     @cached_property
     def clean(self) -> DataFrame:
-        return cleaning.infer_seq_no(self.before_inference)
+        """The cleaned artifact: written once, sorted by file position (``src_row``)."""
+        return sort_and_materialize(cleaning.infer_seq_no(self.before_inference), ["src_row"])
 
     @cached_property
     def clean_reread(self) -> DataFrame:
@@ -49,8 +55,8 @@ class Warehouse:
 
     @cached_property
     def loaded(self) -> DataFrame:
-        # the id assignment already materialises the typed rows once
-        return load.as_loaded(self.clean)
+        # the loaded table of the warehouse: typed rows with ids, written once
+        return self._table(load.as_loaded(self.clean, sorted_by_src_row=True))
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -85,6 +91,22 @@ class Warehouse:
         return self._table(models.dim_companies(self.int_companies))
 
 
+    # ---- anomaly review run (the reference stores these in its audit tables) ----------
+
+    def flagged(self, year: int | None = None, limit: int | None = None, min_score: float = 3.0) -> DataFrame:
+        key = ("flagged", year, limit, min_score)
+        if key not in self._runs:
+            self._runs[key] = self._table(anomaly.review_queue(self.fact, year, limit, min_score))
+        return self._runs[key]
+
+    def candidates(self, run_id: str, source_table: str, year: int | None = None, limit: int | None = None,
+                   min_score: float = 3.0) -> DataFrame:
+        key = ("candidates", run_id, source_table, year, limit, min_score)
+        if key not in self._runs:
+            self._runs[key] = audit.candidates(self.flagged(year, limit, min_score), run_id, source_table)
+        return self._runs[key]
+
+
 _CACHE: dict[tuple, Warehouse] = {}
 _LOCK = threading.Lock()
 

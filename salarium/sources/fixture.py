@@ -111,9 +111,23 @@ def raw_from_tables(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     )
 
 
+def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
+    """Round-robin a scan over the cluster's cores when it has fewer input splits than cores.
+
+    A small file with one row group is read by one task, and every row-local expression after
+    it would run on one core. Large inputs arrive in many splits and are left as they are, so
+    this adds a shuffle only where the data is small.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = load_tables(spark, sf_dir)
-    return raw_from_tables(t["orders"], t["customer"], t["nation"], t["region"])
+    orders = spread_if_underpartitioned(t["orders"])
+    return raw_from_tables(orders, t["customer"], t["nation"], t["region"])
 
 
 # The same derivation as DuckDB SQL, for the oracle side (kept textually independent of the
