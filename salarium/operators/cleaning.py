@@ -45,8 +45,7 @@ def normalize_columns(df: DataFrame) -> DataFrame:
 
 def rename_source(df: DataFrame) -> DataFrame:
     """Fixed header map; unknown columns pass through."""
-    present = {k: v for k, v in SOURCE_RENAMES.items() if k in df.columns and k != v}
-    return df.withColumnsRenamed(present) if present else df
+    return df.toDF(*[SOURCE_RENAMES.get(c, c) for c in df.columns])
 
 
 def drop_empty_rows(df: DataFrame) -> DataFrame:

@@ -45,32 +45,37 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
     Records with more fields than the header are dropped (the reference warns and skips
     them); shorter records are padded with ''. ``src_row`` orders rows as in the file.
+    Header texts may hold dots, parentheses or line breaks, so columns are handled by
+    position until the names are normalised.
     """
     header = _header(spark, path)
-    df = _read_strings(spark, path, header)
+    pos = [f"_c{i}" for i in range(len(header))]
+    df = _read_strings(spark, path, header).toDF(*pos, BAD)
     df = (df.withColumn("src_row", F.monotonically_increasing_id())
             .where(F.col(BAD).isNull() | (field_count() <= F.lit(len(header))))
-            .drop(BAD)
-            .na.fill("", subset=header))
-    df = df.select("src_row", *header)
-    return rename_source(normalize_columns(df))
+            .select("src_row", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in pos]))
+    return rename_source(normalize_columns(df.toDF("src_row", *header)))
 
 
 def malformed_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records whose field count differs from the header's: position, count, content."""
+    """Records whose field count differs from the header's: position, first field,
+    field count and content (the parsed first field also keeps the scan from reading only
+    the corrupt-record column, which Spark refuses)."""
     header = _header(spark, path)
-    df = _read_strings(spark, path, header).withColumn("record_no", F.monotonically_increasing_id())
-    bad = df.where(F.col(BAD).isNotNull()).select("record_no", field_count().alias("n_fields"),
-                                                  F.col(BAD).alias("content"))
+    pos = [f"_c{i}" for i in range(len(header))]
+    df = _read_strings(spark, path, header).toDF(*pos, BAD).withColumn("record_no", F.monotonically_increasing_id())
+    bad = df.where(F.col(BAD).isNotNull()).select(
+        "record_no", F.col(pos[0]).alias("first_field"), field_count().alias("n_fields"), F.col(BAD).alias("content"))
     return bad.where(F.col("n_fields") != F.lit(len(header)))
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """S3: re-read a cleaned CSV as strings; NA tokens -> ''; over-long records skipped."""
     header = _header(spark, path)
-    df = _read_strings(spark, path, header)
-    df = df.where(F.col(BAD).isNull() | (field_count() <= F.lit(len(header)))).drop(BAD)
-    return df.select(*[na_token_blank(F.col(f"`{c}`")).alias(c) for c in header])
+    pos = [f"_c{i}" for i in range(len(header))]
+    df = _read_strings(spark, path, header).toDF(*pos, BAD)
+    df = df.where(F.col(BAD).isNull() | (field_count() <= F.lit(len(header))))
+    return df.select(*[na_token_blank(F.col(c)).alias(c) for c in pos]).toDF(*header)
 
 
 def write_clean(df: DataFrame, path: str) -> None:
