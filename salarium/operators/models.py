@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salarium.plans.joins import checked_broadcast
+
 DEFAULT_YEAR = 2025
 
 STAGING_RENAMES = {
@@ -85,8 +87,11 @@ def fact(int_base: DataFrame, int_persons: DataFrame, int_companies: DataFrame,
         p = p.dropDuplicates(["_p_key"])
         c = c.dropDuplicates(["company_id"])
     b = int_base.select("pk", "nume", "cui", "total_plata", "suma_clean", "variabila_clean")
-    # Both right sides are dimensions keyed by normalised name / company id; AQE broadcasts
-    # them when their runtime size is under the threshold, else shuffles with skew splitting.
+    # Both right sides are keyed by normalised name / company id. They are materialised and
+    # broadcast when their row count is under the bound, so the base table is not shuffled;
+    # beyond it the joins are sort-merge joins and AQE splits hot (or null) keys.
+    p = checked_broadcast(p)
+    c = checked_broadcast(c)
     j = (b.join(p, _norm(b["nume"]) == p["_p_key"], "left")
           .join(c, b["cui"] == c["company_id"], "left"))
     return j.select(

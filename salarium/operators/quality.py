@@ -38,11 +38,15 @@ def expect_unique(df: DataFrame, model: str, column: str) -> DataFrame:
 
 def expect_relationship(child: DataFrame, child_model: str, fk: str, parent: DataFrame,
                         parent_model: str, pk: str) -> DataFrame:
-    """V3: child rows whose non-null key has no parent row (anti join)."""
-    parent_keys = parent.select(F.col(pk).alias("_parent_key")).where(F.col("_parent_key").isNotNull())
-    orphans = (child.select(fk).where(F.col(fk).isNotNull())
-                    .join(parent_keys, F.col(fk) == F.col("_parent_key"), "left_anti"))
-    return orphans.agg(F.count(F.lit(1)).alias("failures")).select(
+    """V3: child rows whose non-null key has no parent row.
+
+    Child keys are counted first (partial aggregation: a key held by a third of the rows
+    becomes one row per partition), then anti-joined with the distinct parent keys.
+    """
+    parent_keys = parent.select(F.col(pk).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct()
+    child_keys = child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_rows"))
+    orphans = child_keys.join(parent_keys, F.col(fk) == F.col("_parent_key"), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failures")).select(
         F.lit(f"relationships_{child_model}_{fk}__{parent_model}_{pk}").alias("check_name"), "failures")
 
 
@@ -127,5 +131,8 @@ def seq_no_sample(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def lost_identifiers(raw: DataFrame, clean: DataFrame, column: str = "cui") -> DataFrame:
-    """V8 (D4): identifiers present in the raw table but absent after cleaning (set difference)."""
-    return raw.select(column).subtract(clean.select(column))
+    """V8 (D4): identifiers present in the raw table but absent after cleaning (set
+    difference, nulls equal). Both sides are reduced to distinct keys before the anti join."""
+    left = raw.select(column).distinct()
+    right = clean.select(F.col(column).alias("_kept")).distinct()
+    return left.join(right, F.col(column).eqNullSafe(F.col("_kept")), "left_anti")

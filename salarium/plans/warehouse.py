@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from salarium.functions.text import na_token_blank
 from salarium.operators import anomaly, audit, cleaning, load, models
 from salarium.plans.sequence import sort_and_materialize
-from salarium.session import apply_defaults, materialize
+from salarium.session import apply_defaults, write_table
 from salarium.sources import fixture
 
 
@@ -31,8 +31,8 @@ class Warehouse:
         self._materialize = materialize_marts
         self._runs: dict[tuple, DataFrame] = {}
 
-    def _table(self, df: DataFrame) -> DataFrame:
-        return materialize(df) if self._materialize else df
+    def _table(self, df: DataFrame, name: str) -> DataFrame:
+        return write_table(df, name) if self._materialize else df
 
     @cached_property
     def before_inference(self) -> DataFrame:
@@ -40,7 +40,7 @@ class Warehouse:
 
         Written once: the inference reads it twice (the ``cui`` mapping, then the join) and
         the ordering of the clean table samples it once more."""
-        return self._table(cleaning.prepare(self.raw))
+        return self._table(cleaning.prepare(self.raw), "prepared")
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -56,7 +56,7 @@ class Warehouse:
     @cached_property
     def loaded(self) -> DataFrame:
         # the loaded table of the warehouse: typed rows with ids, written once
-        return self._table(load.as_loaded(self.clean, sorted_by_src_row=True))
+        return self._table(load.as_loaded(self.clean, sorted_by_src_row=True), "indemnizatii_clean")
 
     @cached_property
     def stg(self) -> DataFrame:
@@ -76,7 +76,8 @@ class Warehouse:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return self._table(models.fact(self.int_base, self.int_persons, self.int_companies, self.year))
+        return self._table(models.fact(self.int_base, self.int_persons, self.int_companies, self.year),
+                           "fact_indemnizatii")
 
     @cached_property
     def fact_deduped(self) -> DataFrame:
@@ -84,11 +85,11 @@ class Warehouse:
 
     @cached_property
     def dim_persons(self) -> DataFrame:
-        return self._table(models.dim_persons(self.int_persons))
+        return self._table(models.dim_persons(self.int_persons), "dim_persoane")
 
     @cached_property
     def dim_companies(self) -> DataFrame:
-        return self._table(models.dim_companies(self.int_companies))
+        return self._table(models.dim_companies(self.int_companies), "dim_companii")
 
 
     # ---- anomaly review run (the reference stores these in its audit tables) ----------
@@ -96,7 +97,7 @@ class Warehouse:
     def flagged(self, year: int | None = None, limit: int | None = None, min_score: float = 3.0) -> DataFrame:
         key = ("flagged", year, limit, min_score)
         if key not in self._runs:
-            self._runs[key] = self._table(anomaly.review_queue(self.fact, year, limit, min_score))
+            self._runs[key] = self._table(anomaly.review_queue(self.fact, year, limit, min_score), "flagged")
         return self._runs[key]
 
     def candidates(self, run_id: str, source_table: str, year: int | None = None, limit: int | None = None,
