@@ -120,3 +120,22 @@ def spend_by_company_raw(loaded: DataFrame) -> DataFrame:
     """A2 + O3: ``SUM(base) + SUM(variable)`` per enterprise (null if either sum is null)."""
     return loaded.groupBy("intreprindere").agg(
         (F.sum("suma_num") + F.sum("indemnizatie_variabila_num")).alias("total_spend"))
+
+
+# ---- presentation order (O1, O3, O5) ----------------------------------------------------
+# The reference's ORDER BY per report; PostgreSQL puts NULLs first on DESC. Applied only
+# when a report is presented (a global sort is a range shuffle), never inside models.
+REPORT_ORDER = {
+    "distribution_companies": [F.col("total_spend").desc_nulls_first()],
+    "org_pay_spread": [F.col("spread").desc_nulls_first()],
+    "top_companies_spend": [F.col("total_spend").desc_nulls_first()],
+    "yearly_evolution": [F.col("companie").asc_nulls_last(), F.col("an_raportare").desc_nulls_first()],
+    "personnel_total_comp": [F.col("total_compensation").desc_nulls_first()],
+    "top_companies_raw": [F.col("total_spend").desc_nulls_first()],
+    "avg_comp_members": [F.col("avg_monthly_compensation").desc_nulls_first()],
+}
+
+
+def presented(report: str, df: DataFrame) -> DataFrame:
+    """``df`` in the order the reference's report uses."""
+    return df.orderBy(*REPORT_ORDER[report])

@@ -72,10 +72,15 @@ def _any_blank(columns: list[str]):
     return reduce(lambda a, b: a | b, [is_blank(F.col(c)) for c in columns])
 
 
-def missing_critical(clean: DataFrame, columns: list[str] = CRITICAL_COLUMNS) -> DataFrame:
-    """V6 (F6): rows with at least one critical column blank after strip."""
+def missing_critical(clean: DataFrame, columns: list[str] = CRITICAL_COLUMNS, strip: bool = True) -> DataFrame:
+    """V6 (F6): rows with at least one critical column blank after strip (``strip=False``:
+    exactly empty, the diagnostic variant)."""
     keep = [c for c in ["src_row", *columns] if c in clean.columns]
-    return clean.where(_any_blank(columns)).select(*keep)
+    if strip:
+        cond = _any_blank(columns)
+    else:
+        cond = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == F.lit(""), F.lit(True)) for c in columns])
+    return clean.where(cond).select(*keep)
 
 
 def names_multi_company(clean: DataFrame) -> DataFrame:

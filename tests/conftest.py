@@ -6,14 +6,14 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from salarium.session import build_session  # noqa: E402
+from salarium.session import build_session, checkpoint_dir  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", shuffle_partitions=8, app="salarium-tests")
-    # tests own their checkpoint folder (a cluster names a shared one in spark.checkpoint.dir)
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="salarium-test-ckpt-"))
+    # the session's spark.checkpoint.dir when configured, else a folder of the test run
+    checkpoint_dir(s)
     yield s
     s.stop()
 

@@ -64,3 +64,17 @@ def test_clean_is_idempotent_on_text(spark):
     once = cleaning.blank_placeholders(cleaning.clean_text(df))
     twice = cleaning.blank_placeholders(cleaning.clean_text(once))
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_report_order_nulls_first(spark):
+    from salarium.operators.analytics import presented
+    df = spark.createDataFrame([("a", 5), ("b", None), ("c", 9)], "personal string, total_compensation long")
+    assert [r.personal for r in presented("personnel_total_comp", df).collect()] == ["b", "c", "a"]
+
+
+def test_missing_critical_strip_variants(spark):
+    from salarium.operators.quality import missing_critical
+    cols = ["a", "b"]
+    df = spark.createDataFrame([(1, " ", "x"), (2, "", "y"), (3, "p", "q")], "src_row long, a string, b string")
+    assert sorted(r.src_row for r in missing_critical(df, cols).collect()) == [1, 2]
+    assert sorted(r.src_row for r in missing_critical(df, cols, strip=False).collect()) == [2]
