@@ -126,16 +126,17 @@ def spend_by_company_raw(loaded: DataFrame) -> DataFrame:
 # The reference's ORDER BY per report; PostgreSQL puts NULLs first on DESC. Applied only
 # when a report is presented (a global sort is a range shuffle), never inside models.
 REPORT_ORDER = {
-    "distribution_companies": [F.col("total_spend").desc_nulls_first()],
-    "org_pay_spread": [F.col("spread").desc_nulls_first()],
-    "top_companies_spend": [F.col("total_spend").desc_nulls_first()],
-    "yearly_evolution": [F.col("companie").asc_nulls_last(), F.col("an_raportare").desc_nulls_first()],
-    "personnel_total_comp": [F.col("total_compensation").desc_nulls_first()],
-    "top_companies_raw": [F.col("total_spend").desc_nulls_first()],
-    "avg_comp_members": [F.col("avg_monthly_compensation").desc_nulls_first()],
+    "distribution_companies": [("total_spend", "desc")],
+    "org_pay_spread": [("spread", "desc")],
+    "top_companies_spend": [("total_spend", "desc")],
+    "yearly_evolution": [("companie", "asc"), ("an_raportare", "desc")],
+    "personnel_total_comp": [("total_compensation", "desc")],
+    "top_companies_raw": [("total_spend", "desc")],
+    "avg_comp_members": [("avg_monthly_compensation", "desc")],
 }
 
 
 def presented(report: str, df: DataFrame) -> DataFrame:
-    """``df`` in the order the reference's report uses."""
-    return df.orderBy(*REPORT_ORDER[report])
+    """``df`` in the order the reference's report uses (NULLs first on DESC, last on ASC)."""
+    return df.orderBy(*[F.col(c).desc_nulls_first() if d == "desc" else F.col(c).asc_nulls_last()
+                        for c, d in REPORT_ORDER[report]])

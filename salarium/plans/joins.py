@@ -4,8 +4,9 @@ Aggregates (per-company statistics, per-``cui`` mappings, per-year statistics) a
 practice but Spark's static estimate for them is the size of their input, so the planner
 would shuffle the large side on the join key. A key holding a third of all rows (one year,
 one big company) then lands in one task. Here the lookup table is materialised once, its
-row count checked, and only a table under the bound is broadcast; beyond the bound the join
-is left to AQE (sort-merge join with skew splitting of hot partitions).
+row count and an estimate of its bytes checked, and only a table under both bounds is
+broadcast; beyond them the join is left to AQE (sort-merge join with skew splitting of hot
+partitions).
 """
 
 from __future__ import annotations
@@ -16,26 +17,49 @@ from pyspark.sql import functions as F
 from salarium.session import materialize
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-_CONF_KEY = "salarium.broadcast.maxRows"
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
+_ROWS_KEY = "salarium.broadcast.maxRows"
+_BYTES_KEY = "salarium.broadcast.maxBytes"
 
 
-def max_broadcast_rows(df: DataFrame) -> int:
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
     try:
-        v = df.sparkSession.conf.get(_CONF_KEY)
+        v = df.sparkSession.conf.get(key)
     except Exception:
         v = None
-    return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
+    return int(v) if v else default
+
+
+def max_broadcast_rows(df: DataFrame) -> int:
+    return _conf_int(df, _ROWS_KEY, DEFAULT_MAX_BROADCAST_ROWS)
 
 
-def bounded(small: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Materialise ``small``; return it with whether it has at most ``max_rows`` rows."""
-    bound = max_broadcast_rows(small) if max_rows is None else max_rows
+def _row_bytes(df: DataFrame) -> Column:
+    """Rough in-memory size of a row: string/binary lengths plus 8 bytes per other field."""
+    total = F.lit(16)
+    for f in df.schema.fields:
+        if f.dataType.simpleString() in ("string", "binary"):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        else:
+            total = total + F.lit(8)
+    return total
+
+
+def bounded(small: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
+    """Materialise ``small``; return it with whether it fits the broadcast bounds.
+
+    Row count and estimated bytes are checked together, over at most ``max_rows + 1`` rows,
+    in one small job on the materialised table.
+    """
+    rows_bound = max_broadcast_rows(small) if max_rows is None else max_rows
+    bytes_bound = _conf_int(small, _BYTES_KEY, DEFAULT_MAX_BROADCAST_BYTES) if max_bytes is None else max_bytes
     small = materialize(small)
-    return small, small.limit(bound + 1).count() <= bound
+    n, size = small.limit(rows_bound + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(small))).first()
+    return small, n <= rows_bound and (size or 0) <= bytes_bound
 
 
 def checked_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Materialise ``small`` and return it broadcast-hinted iff it has at most ``max_rows`` rows."""
+    """Materialise ``small`` and return it broadcast-hinted iff it fits the bounds."""
     small, ok = bounded(small, max_rows)
     return F.broadcast(small) if ok else small
 

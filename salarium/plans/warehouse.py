@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from salarium.functions.text import na_token_blank
 from salarium.operators import anomaly, audit, cleaning, load, models
-from salarium.plans.sequence import sort_and_materialize
-from salarium.session import apply_defaults, write_table
+from salarium.session import apply_defaults, materialize, write_table
 from salarium.sources import fixture
 
 
@@ -38,14 +37,22 @@ class Warehouse:
     def before_inference(self) -> DataFrame:
         """The table as the identifier inference sees it (after P9, before P10).
 
-        Written once: the inference reads it twice (the ``cui`` mapping, then the join) and
-        the ordering of the clean table samples it once more."""
-        return self._table(cleaning.prepare(self.raw), "prepared")
+        The raw rows are range-partitioned and sorted on ``src_row`` first (the sampling and
+        shuffle passes read the cheap raw columns), then the row-local cleaning runs once as
+        a narrow step, and the result is written once (a reliable checkpoint, so partition
+        contents and order stay fixed for the id assignment)."""
+        ordered = self.raw.repartitionByRange("src_row").sortWithinPartitions("src_row")
+        return materialize(cleaning.prepare(ordered))
+
+    @cached_property
+    def _clean_and_order(self) -> tuple[DataFrame, bool]:
+        return cleaning.infer_seq_no_keeping_order(self.before_inference)
 
     @cached_property
     def clean(self) -> DataFrame:
-        """The cleaned artifact: written once, sorted by file position (``src_row``)."""
-        return sort_and_materialize(cleaning.infer_seq_no(self.before_inference), ["src_row"])
+        """The cleaned table, still partitioned and sorted on ``src_row`` when the sequence
+        number lookup was broadcast (the usual case)."""
+        return self._clean_and_order[0]
 
     @cached_property
     def clean_reread(self) -> DataFrame:
@@ -55,8 +62,10 @@ class Warehouse:
 
     @cached_property
     def loaded(self) -> DataFrame:
-        # the loaded table of the warehouse: typed rows with ids, written once
-        return self._table(load.as_loaded(self.clean, sorted_by_src_row=True), "indemnizatii_clean")
+        # the loaded table of the warehouse: typed rows with ids, written once; ids come
+        # straight from partition offsets while the clean table is still in file order
+        clean, in_order = self._clean_and_order
+        return self._table(load.as_loaded(clean, sorted_by_src_row=in_order), "indemnizatii_clean")
 
     @cached_property
     def stg(self) -> DataFrame:

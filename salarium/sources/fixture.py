@@ -118,10 +118,12 @@ def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
     it would run on one core. Large inputs arrive in many splits and are left as they are, so
     this adds a shuffle only where the data is small.
     """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # no RDD API in this session (e.g. a remote client): leave as is
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,3 +73,10 @@ def test_lookup_join_beyond_bound_still_exact(spark):
     out = lookup_join(big, small, ["k"], "left", max_rows=2)
     assert sorted((r.v, r.w) for r in out.collect()) == sorted(
         (i, (i % 5) * 10 if i % 5 < 4 else None) for i in range(100))
+
+
+def test_bounded_checks_bytes(spark):
+    wide = spark.createDataFrame([(i, "x" * 1000) for i in range(50)], "k long, s string")
+    _, ok_rows = bounded(wide, max_rows=100)
+    _, ok_bytes = bounded(wide, max_rows=100, max_bytes=10_000)
+    assert ok_rows and not ok_bytes
