@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salarium.functions.text import is_blank, py_strip
+from salarium.plans.joins import bounded
+from salarium.session import materialize
 
 CRITICAL_COLUMNS = ["autoritate_tutelara", "intreprindere", "cui", "personal", "calitate_membru"]
 
@@ -40,11 +42,20 @@ def expect_relationship(child: DataFrame, child_model: str, fk: str, parent: Dat
                         parent_model: str, pk: str) -> DataFrame:
     """V3: child rows whose non-null key has no parent row.
 
-    Child keys are counted first (partial aggregation: a key held by a third of the rows
-    becomes one row per partition), then anti-joined with the distinct parent keys.
+    The distinct parent keys are size-checked: under the bound they are broadcast and the
+    anti join runs map-side on the child (no shuffle of child rows). Beyond it the child
+    keys are counted first and materialised (partial aggregation: a key held by a third of
+    the rows becomes one row per partition), so only distinct keys are shuffled for the
+    sort-merge anti join; materialising also stops the optimizer from pushing the anti
+    join back below the aggregation.
     """
-    parent_keys = parent.select(F.col(pk).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct()
+    parent_keys, small = bounded(
+        parent.select(F.col(pk).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct())
     child_keys = child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_rows"))
+    if small:
+        parent_keys = F.broadcast(parent_keys)
+    else:
+        child_keys = materialize(child_keys)
     orphans = child_keys.join(parent_keys, F.col(fk) == F.col("_parent_key"), "left_anti")
     return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failures")).select(
         F.lit(f"relationships_{child_model}_{fk}__{parent_model}_{pk}").alias("check_name"), "failures")

@@ -128,6 +128,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str, year: int = models.DEFAULT_Y
     with _LOCK:
         wh = _CACHE.get(key)
         if wh is None:
-            wh = Warehouse(fixture.raw_table(spark, sf_dir), year=year)
+            # the build range-partitions the raw rows itself, so no round-robin spread first
+            wh = Warehouse(fixture.raw_table(spark, sf_dir, spread=False), year=year)
             _CACHE[key] = wh
         return wh

@@ -126,9 +126,10 @@ def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
-def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_table(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    """The raw table; ``spread=False`` when the consumer repartitions it anyway."""
     t = load_tables(spark, sf_dir)
-    orders = spread_if_underpartitioned(t["orders"])
+    orders = spread_if_underpartitioned(t["orders"]) if spread else t["orders"]
     return raw_from_tables(orders, t["customer"], t["nation"], t["region"])
 
 

@@ -80,3 +80,16 @@ def test_bounded_checks_bytes(spark):
     _, ok_rows = bounded(wide, max_rows=100)
     _, ok_bytes = bounded(wide, max_rows=100, max_bytes=10_000)
     assert ok_rows and not ok_bytes
+
+
+def test_relationship_check_both_paths(spark):
+    from salarium.operators.quality import expect_relationship
+    child = spark.createDataFrame([(k,) for k in ["a"] * 50 + ["b", "c", None, "z", "z"]], "k string")
+    parent = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    small = expect_relationship(child, "c", "k", parent, "p", "k").first().failures
+    spark.conf.set("salarium.broadcast.maxRows", "1")
+    try:
+        large = expect_relationship(child, "c", "k", parent, "p", "k").first().failures
+    finally:
+        spark.conf.unset("salarium.broadcast.maxRows")
+    assert small == large == 3
