@@ -186,6 +186,10 @@ def q_seq_no_sample(spark, sf_dir):
     return quality.seq_no_sample(_wh(spark, sf_dir).before_inference, 5)
 
 
+def q_amounts_over_int_range(spark, sf_dir):
+    return quality.amounts_over_int_range(_wh(spark, sf_dir).loaded)
+
+
 def q_lost_identifiers(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     return quality.lost_identifiers(wh.raw, wh.clean)
@@ -271,8 +275,9 @@ def _flagged(spark, sf_dir):
 
 
 def q_anomaly_flagged(spark, sf_dir):
-    f = _flagged(spark, sf_dir)
-    return _score_out(f).join(f.select("record_pk", "total_ron").distinct(), "record_pk")
+    return _flagged(spark, sf_dir).select(
+        "record_pk", "company_id", "person_id", "anomaly_score",
+        F.array_join("anomaly_reasons", ";").alias("anomaly_reasons"), "total_ron")
 
 
 def q_anomaly_flagged_slice(spark, sf_dir):
@@ -350,6 +355,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "seq_no_profile": q_seq_no_profile,
     "seq_no_sample": q_seq_no_sample,
     "lost_identifiers": q_lost_identifiers,
+    "amounts_over_int_range": q_amounts_over_int_range,
     "expect_not_null": q_expect_not_null,
     "expect_unique": q_expect_unique,
     "expect_relationships": q_expect_relationships,

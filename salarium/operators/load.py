@@ -36,9 +36,3 @@ def as_loaded(clean: DataFrame, with_timestamp: bool = False, sorted_by_src_row:
     if with_timestamp:
         loaded = loaded.withColumn("created_at", F.current_timestamp())
     return loaded
-
-
-def check_int_range(loaded: DataFrame) -> DataFrame:
-    """Rows whose amounts exceed the 32-bit range the reference's table would accept."""
-    limit = 2**31 - 1
-    return loaded.where((F.col("suma_num") > limit) | (F.col("indemnizatie_variabila_num") > limit))

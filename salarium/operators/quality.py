@@ -152,3 +152,13 @@ def lost_identifiers(raw: DataFrame, clean: DataFrame, column: str = "cui") -> D
     left = raw.select(column).distinct()
     right = clean.select(F.col(column).alias("_kept")).distinct()
     return left.join(right, F.col(column).eqNullSafe(F.col("_kept")), "left_anti")
+
+
+INT_MAX = 2**31 - 1
+
+
+def amounts_over_int_range(loaded: DataFrame) -> DataFrame:
+    """SURVEY T11: rows whose amounts would not fit the reference table's 32-bit columns
+    (this engine keeps them as bigint and reports them instead of failing the load)."""
+    return (loaded.where((F.col("suma_num") > INT_MAX) | (F.col("indemnizatie_variabila_num") > INT_MAX))
+                  .select("id", "suma_num", "indemnizatie_variabila_num"))

@@ -78,3 +78,9 @@ def test_missing_critical_strip_variants(spark):
     df = spark.createDataFrame([(1, " ", "x"), (2, "", "y"), (3, "p", "q")], "src_row long, a string, b string")
     assert sorted(r.src_row for r in missing_critical(df, cols).collect()) == [1, 2]
     assert sorted(r.src_row for r in missing_critical(df, cols, strip=False).collect()) == [2]
+
+
+def test_amounts_over_int_range(spark):
+    from salarium.operators.quality import amounts_over_int_range
+    df = spark.createDataFrame([(1, 5, 2**31), (2, 2**31 - 1, 0)], "id long, suma_num long, indemnizatie_variabila_num long")
+    assert [r.id for r in amounts_over_int_range(df).collect()] == [1]
