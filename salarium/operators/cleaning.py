@@ -114,30 +114,22 @@ def seq_no_mapping(df: DataFrame) -> DataFrame:
               .agg(F.min_by("nr_crt", "src_row").alias("_mapped_nr_crt")))
 
 
-def infer_seq_no_keeping_order(df: DataFrame) -> tuple[DataFrame, bool]:
-    """P10, also telling whether the rows kept their partitions and order.
+def infer_seq_no(df: DataFrame) -> DataFrame:
+    """P10: blank ``nr_crt`` filled from the first non-blank row with the same ``cui``.
 
-    Under the size bound the mapping is broadcast: the join is narrow, so a table sorted on
-    ``src_row`` stays sorted. Beyond it the join shuffles on ``cui`` (AQE splits a hot
-    ``cui``) and the order is lost.
+    No match -> ''. A blank ``cui`` is a key like any other. Skipped when a column is missing.
+    The mapping (one row per ``cui``) is broadcast when it fits the size bound, so the table
+    is not shuffled; beyond it the join shuffles on ``cui`` and AQE splits a hot ``cui``.
     """
     if "nr_crt" not in df.columns or "cui" not in df.columns:
-        return df, True
+        return df
     mapping, small = bounded(seq_no_mapping(df))
     right = mapping.select(F.col("cui").alias("_lk_cui"), "_mapped_nr_crt")
     if small:
         right = F.broadcast(right)
     joined = df.join(right, df["cui"].eqNullSafe(right["_lk_cui"]), "left")
     filled = F.when(is_blank(F.col("nr_crt")), F.coalesce(F.col("_mapped_nr_crt"), F.lit(""))).otherwise(F.col("nr_crt"))
-    return joined.withColumn("nr_crt", filled).select(*df.columns), small
-
-
-def infer_seq_no(df: DataFrame) -> DataFrame:
-    """P10: blank ``nr_crt`` filled from the first non-blank row with the same ``cui``.
-
-    No match -> ''. A blank ``cui`` is a key like any other. Skipped when a column is missing.
-    """
-    return infer_seq_no_keeping_order(df)[0]
+    return joined.withColumn("nr_crt", filled).select(*df.columns)
 
 
 def prepare(raw: DataFrame) -> DataFrame:

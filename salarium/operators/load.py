@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salarium.plans.sequence import number_sorted, with_sequence
+from salarium.plans.sequence import TAGS, number_tagged, with_sequence
 
 # Column order of the bulk load (fixed by the load statement of the reference).
 LOAD_COLUMNS = [
@@ -15,7 +15,7 @@ LOAD_COLUMNS = [
 INT_COLUMNS = {"nr_crt": "int", "suma_num": "bigint", "indemnizatie_variabila_num": "bigint"}
 
 
-def as_loaded(clean: DataFrame, with_timestamp: bool = False, sorted_by_src_row: bool = False) -> DataFrame:
+def as_loaded(clean: DataFrame, with_timestamp: bool = False) -> DataFrame:
     """S7 + S8 (+ S9): bulk-load typing of the clean table.
 
     * '' -> NULL in every column (an unquoted empty CSV field loads as NULL);
@@ -24,14 +24,15 @@ def as_loaded(clean: DataFrame, with_timestamp: bool = False, sorted_by_src_row:
     * ``id`` = 1..n in file order (``src_row``), assigned without a single-partition window;
     * optional ``created_at``: one timestamp per load.
 
-    ``sorted_by_src_row``: ``clean`` is already a materialised table sorted on ``src_row``
-    (``plans.sequence.sort_and_materialize``), so no further shuffle is needed for the ids.
+    When ``clean`` carries the order tags of ``plans.sequence`` (it was range-sorted on
+    ``src_row`` and written with them), the ids come from those tags without another sort.
     """
+    tagged = all(t in clean.columns for t in TAGS)
     typed = clean.select(
-        "src_row",
+        "src_row", *(TAGS if tagged else []),
         *[(F.nullif(F.col(c).cast("string"), F.lit("")).cast(INT_COLUMNS[c]) if c in INT_COLUMNS
            else F.nullif(F.col(c), F.lit(""))).alias(c) for c in LOAD_COLUMNS])
-    numbered = number_sorted(typed, "id") if sorted_by_src_row else with_sequence(typed, ["src_row"], "id")
+    numbered = number_tagged(typed, "id") if tagged else with_sequence(typed, ["src_row"], "id")
     loaded = numbered.select("id", *LOAD_COLUMNS)
     if with_timestamp:
         loaded = loaded.withColumn("created_at", F.current_timestamp())

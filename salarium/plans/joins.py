@@ -3,7 +3,7 @@
 Aggregates (per-company statistics, per-``cui`` mappings, per-year statistics) are small in
 practice but Spark's static estimate for them is the size of their input, so the planner
 would shuffle the large side on the join key. A key holding a third of all rows (one year,
-one big company) then lands in one task. Here the lookup table is materialised once, its
+one big company) then lands in one task. Here the lookup table is written once, its
 row count and an estimate of its bytes checked, and only a table under both bounds is
 broadcast; beyond them the join is left to AQE (sort-merge join with skew splitting of hot
 partitions).
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salarium.session import materialize
+from salarium.session import write_table
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
@@ -53,7 +53,7 @@ def bounded(small: DataFrame, max_rows: int | None = None, max_bytes: int | None
     """
     rows_bound = max_broadcast_rows(small) if max_rows is None else max_rows
     bytes_bound = _conf_int(small, _BYTES_KEY, DEFAULT_MAX_BROADCAST_BYTES) if max_bytes is None else max_bytes
-    small = materialize(small)
+    small = write_table(small, "lookup")
     n, size = small.limit(rows_bound + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(small))).first()
     return small, n <= rows_bound and (size or 0) <= bytes_bound
 

@@ -5,8 +5,9 @@ a group with a third of all rows that map holds every distinct value of the grou
 per-group order statistic is found with shuffles whose units are bounded:
 
 1. ``(group, value) -> count``: partial aggregation, a hot group spreads over all reducers;
-2. range-partition those pairs on (group, value) and materialise with the partition id, so
-   one group may span several partitions ("slices");
+2. range-partition those pairs on (group, value) and write them once with the partition id
+   as a column, so one group may span several partitions ("slices") and the slice ids stay
+   fixed however the rows are read or re-executed later;
 3. running count inside each (partition, group) slice — a window over at most one
    partition's rows;
 4. per-slice totals (at most #partitions + #groups rows) prefix-summed per group — a window
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from salarium.session import materialize
+from salarium.session import write_table
 
 
 def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
@@ -32,7 +33,7 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
     """One row per group with at least one non-null value: ``group_cols`` + one double column
     per entry of ``probs`` (name -> fraction in [0, 1]).
 
-    With ``stats_prefix`` the row also carries ``<prefix>n`` (non-null values),
+    With ``stats_prefix`` the row also carries ``<prefix>total`` (non-null values),
     ``<prefix>min``, ``<prefix>max`` and ``<prefix>sum`` of the value.
     """
     g = list(group_cols)
@@ -41,7 +42,8 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
                 .groupBy(*g, v)
                 .agg(F.count(F.lit(1)).alias("_pc_n")))
     order = [F.col(c).asc_nulls_first() for c in g] + [F.col(v).asc()]
-    sliced = materialize(counts.repartitionByRange(*order).withColumn("_pc_part", F.spark_partition_id()))
+    sliced = write_table(counts.repartitionByRange(*order).withColumn("_pc_part", F.spark_partition_id()),
+                         "percentile_slices")
 
     in_slice = Window.partitionBy("_pc_part", *g).orderBy(v).rowsBetween(Window.unboundedPreceding, 0)
     running = sliced.withColumn("_pc_run", F.sum("_pc_n").over(in_slice))

@@ -3,10 +3,13 @@
 ``row_number()`` over a global ``ORDER BY`` is planned as a single-partition window: every
 row of the table goes through one task. Instead:
 
-1. range-partition on the order columns and sort inside each partition (parallel), and
-   materialise, so partition membership and positions survive re-execution unchanged;
-2. tag every row with its partition id and position (``monotonically_increasing_id``);
-3. count rows per partition — at most one row per partition — and prefix-sum those counts;
+1. range-partition on the order columns and sort inside each partition (parallel);
+2. tag every row with its partition id and position (``spark_partition_id``,
+   ``monotonically_increasing_id``) and write the table once: the tags become data, so
+   they stay fixed across re-execution after an executor loss and survive any later
+   shuffle of the rows;
+3. count rows per partition id — reading two narrow columns, one result row per
+   partition — and prefix-sum those counts;
 4. broadcast the per-partition offsets (bounded by the partition count) and add them.
 """
 
@@ -15,40 +18,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salarium.session import materialize
+from salarium.session import write_table
+
+TAGS = ["_seq_part", "_seq_pos"]
 
 
 def _sort_exprs(order: list[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def sort_and_materialize(df: DataFrame, order: list[Column | str]) -> DataFrame:
-    """Range-partition and sort on ``order``, then write once: partition i holds rows that
-    come before those of partition i+1, and the written partitions never change."""
+def sort_and_tag(df: DataFrame, order: list[Column | str]) -> DataFrame:
+    """Range-partition and sort on ``order`` and add the partition id / position tags.
+
+    Lazy: the tags are only meaningful once the result is written (``write_table``).
+    Narrow steps may follow before the write (the tags are taken after them).
+    """
     exprs = _sort_exprs(order)
-    return materialize(df.repartitionByRange(*exprs).sortWithinPartitions(*exprs))
+    return df.repartitionByRange(*exprs).sortWithinPartitions(*exprs)
 
 
-def number_sorted(df: DataFrame, name: str = "id", start: int = 1) -> DataFrame:
-    """Number the rows of a materialised, globally sorted table (see ``sort_and_materialize``).
+def add_tags(df: DataFrame) -> DataFrame:
+    return df.withColumn("_seq_part", F.spark_partition_id()).withColumn("_seq_pos", F.monotonically_increasing_id())
 
-    Partition ids and in-partition positions of a written table are stable, so counting
-    rows per partition (one row per partition) and adding prefix offsets is exact.
-    """
-    tagged = (df.withColumn("_seq_part", F.spark_partition_id())
-                .withColumn("_seq_pos", F.monotonically_increasing_id()))
-    sizes = tagged.groupBy("_seq_part").agg(
+
+def number_tagged(df: DataFrame, name: str = "id", start: int = 1) -> DataFrame:
+    """Number the rows of a written table that carries the tags of ``add_tags``."""
+    sizes = df.groupBy("_seq_part").agg(
         F.count(F.lit(1)).alias("_seq_n"), F.min("_seq_pos").alias("_seq_first"))
     # One row per partition: a bounded table, so a global window over it is cheap.
     before = Window.orderBy("_seq_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_seq_part", "_seq_first",
         F.coalesce(F.sum("_seq_n").over(before), F.lit(0)).alias("_seq_offset"))
-    numbered = tagged.join(F.broadcast(offsets), "_seq_part")
+    numbered = df.join(F.broadcast(offsets), "_seq_part")
     seq = F.lit(start) + F.col("_seq_offset") + (F.col("_seq_pos") - F.col("_seq_first"))
-    return numbered.withColumn(name, seq.cast("bigint")).drop("_seq_part", "_seq_pos", "_seq_first", "_seq_offset")
+    return numbered.withColumn(name, seq.cast("bigint")).drop(*TAGS, "_seq_first", "_seq_offset")
 
 
 def with_sequence(df: DataFrame, order: list[Column | str], name: str = "id", start: int = 1) -> DataFrame:
     """Append ``name`` = start, start+1, ... following ``order`` (ties in arbitrary order)."""
-    return number_sorted(sort_and_materialize(df, order), name, start)
+    return number_tagged(write_table(add_tags(sort_and_tag(df, order)), "sequenced"), name, start)

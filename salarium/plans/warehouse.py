@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from salarium.functions.text import na_token_blank
 from salarium.operators import anomaly, audit, cleaning, load, models
-from salarium.session import apply_defaults, materialize, write_table
+from salarium.plans.sequence import TAGS, add_tags, sort_and_tag
+from salarium.session import apply_defaults, write_table
 from salarium.sources import fixture
 
 
@@ -34,25 +35,26 @@ class Warehouse:
         return write_table(df, name) if self._materialize else df
 
     @cached_property
-    def before_inference(self) -> DataFrame:
-        """The table as the identifier inference sees it (after P9, before P10).
+    def _prepared_tagged(self) -> DataFrame:
+        """Raw rows range-partitioned and sorted on ``src_row`` (the sampling and shuffle
+        passes read the cheap raw columns), then the row-local cleaning once as a narrow
+        step, tagged with partition id and position, written once (Parquet)."""
+        ordered = sort_and_tag(self.raw, ["src_row"])
+        return write_table(add_tags(cleaning.prepare(ordered)), "prepared")
 
-        The raw rows are range-partitioned and sorted on ``src_row`` first (the sampling and
-        shuffle passes read the cheap raw columns), then the row-local cleaning runs once as
-        a narrow step, and the result is written once (a reliable checkpoint, so partition
-        contents and order stay fixed for the id assignment)."""
-        ordered = self.raw.repartitionByRange("src_row").sortWithinPartitions("src_row")
-        return materialize(cleaning.prepare(ordered))
+    @cached_property
+    def before_inference(self) -> DataFrame:
+        """The table as the identifier inference sees it (after P9, before P10)."""
+        return self._prepared_tagged.drop(*TAGS)
 
     @cached_property
-    def _clean_and_order(self) -> tuple[DataFrame, bool]:
-        return cleaning.infer_seq_no_keeping_order(self.before_inference)
+    def _clean_tagged(self) -> DataFrame:
+        return cleaning.infer_seq_no(self._prepared_tagged)
 
     @cached_property
     def clean(self) -> DataFrame:
-        """The cleaned table, still partitioned and sorted on ``src_row`` when the sequence
-        number lookup was broadcast (the usual case)."""
-        return self._clean_and_order[0]
+        """The cleaned table (P10 applied)."""
+        return self._clean_tagged.drop(*TAGS)
 
     @cached_property
     def clean_reread(self) -> DataFrame:
@@ -62,10 +64,8 @@ class Warehouse:
 
     @cached_property
     def loaded(self) -> DataFrame:
-        # the loaded table of the warehouse: typed rows with ids, written once; ids come
-        # straight from partition offsets while the clean table is still in file order
-        clean, in_order = self._clean_and_order
-        return self._table(load.as_loaded(clean, sorted_by_src_row=in_order), "indemnizatii_clean")
+        # the loaded table of the warehouse: typed rows with ids from the order tags, written once
+        return self._table(load.as_loaded(self._clean_tagged), "indemnizatii_clean")
 
     @cached_property
     def stg(self) -> DataFrame:
