@@ -12,21 +12,43 @@ from pyspark.sql import functions as F
 from salarium.plans.percentile import exact_percentiles
 
 
-def _fact_with_company(fact: DataFrame, dim_companies: DataFrame) -> DataFrame:
-    """Inner join on ``company_id``; duplicate dimension rows multiply fact rows."""
-    f = fact.select("company_id", "an_raportare", "total_plata")
-    d = dim_companies.select(F.col("company_id").alias("_d_company_id"), "denumire")
-    return f.join(d, f["company_id"] == d["_d_company_id"]).drop("_d_company_id")
+def _company_names(dim_companies: DataFrame) -> DataFrame:
+    return dim_companies.select(F.col("company_id").alias("_d_company_id"), "denumire")
+
+
+def _with_company(pre: DataFrame, dim_companies: DataFrame) -> DataFrame:
+    """J3 on a pre-aggregated fact: inner join on ``company_id``. A company with several
+    dimension rows multiplies its partial aggregates exactly as it would multiply rows."""
+    d = _company_names(dim_companies)
+    return pre.join(d, pre["company_id"] == d["_d_company_id"]).drop("_d_company_id")
+
+
+def _company_year_totals(fact: DataFrame) -> DataFrame:
+    """Eager aggregation before J3: per (year, company_id) sum and row count. Partial
+    aggregation shrinks a company holding a third of the rows before any shuffle, and the
+    join then sees one row per (year, company) instead of one per fact row."""
+    return (fact.where(F.col("company_id").isNotNull())
+                .groupBy("an_raportare", "company_id")
+                .agg(F.sum("total_plata").alias("_sum"), F.count(F.lit(1)).alias("_n")))
+
+
+def _company_year_values(fact: DataFrame) -> DataFrame:
+    """Eager aggregation for order statistics: (year, company_id, value) -> row count."""
+    return (fact.where(F.col("company_id").isNotNull())
+                .groupBy("an_raportare", "company_id", "total_plata")
+                .agg(F.count(F.lit(1)).alias("_w")))
 
 
 def distribution(fact: DataFrame, dim_companies: DataFrame) -> DataFrame:
     """A3: per (year, company name): avg, min, exact median, max, sum, count of rows.
 
-    One distributed order-statistics pass gives the median and the other measures together
-    (``total_plata`` is never null in the fact, so counting values counts rows).
+    One distributed order-statistics pass over (value, count) pairs gives the median and the
+    other measures together (``total_plata`` is never null in the fact, so counting values
+    counts rows).
     """
-    j = _fact_with_company(fact, dim_companies)
-    d = exact_percentiles(j, ["an_raportare", "denumire"], "total_plata", {"median_salary": 0.5}, stats_prefix="s_")
+    j = _with_company(_company_year_values(fact), dim_companies)
+    d = exact_percentiles(j, ["an_raportare", "denumire"], "total_plata", {"median_salary": 0.5},
+                          stats_prefix="s_", weight_col="_w")
     return d.select(
         "an_raportare", F.col("denumire").alias("companie"),
         (F.col("s_sum").cast("double") / F.col("s_total")).alias("avg_salary"),
@@ -36,34 +58,40 @@ def distribution(fact: DataFrame, dim_companies: DataFrame) -> DataFrame:
 
 def pay_spread(fact: DataFrame, dim_companies: DataFrame) -> DataFrame:
     """A4: per company name: max - min, exact p90 and p10 (all years together)."""
-    j = _fact_with_company(fact, dim_companies)
-    d = exact_percentiles(j, ["denumire"], "total_plata", {"p90": 0.9, "p10": 0.1}, stats_prefix="s_")
+    j = _with_company(_company_year_values(fact), dim_companies)
+    d = exact_percentiles(j, ["denumire"], "total_plata", {"p90": 0.9, "p10": 0.1},
+                          stats_prefix="s_", weight_col="_w")
     return d.select("denumire", (F.col("s_max") - F.col("s_min")).alias("spread"), "p90", "p10")
 
 
 def spend_by_company(fact: DataFrame, dim_companies: DataFrame) -> DataFrame:
     """A5: total spend per (year, company name)."""
-    j = _fact_with_company(fact, dim_companies)
-    return j.groupBy("an_raportare", F.col("denumire").alias("companie")).agg(
-        F.sum("total_plata").alias("total_spend"))
+    j = _with_company(_company_year_totals(fact), dim_companies)
+    return j.groupBy("an_raportare", F.col("denumire").alias("companie")).agg(F.sum("_sum").alias("total_spend"))
 
 
 def yearly_evolution(fact: DataFrame, dim_companies: DataFrame) -> DataFrame:
-    """Per (company name, year): sum, avg, row count."""
-    j = _fact_with_company(fact, dim_companies)
-    return j.groupBy(F.col("denumire").alias("companie"), "an_raportare").agg(
-        F.sum("total_plata").alias("total_spend"),
-        F.avg("total_plata").alias("avg_salary"),
-        F.count(F.lit(1)).alias("num_people"))
+    """Per (company name, year): sum, avg, row count (avg = sum / count over the same
+    rows the join would produce)."""
+    j = _with_company(_company_year_totals(fact), dim_companies)
+    g = j.groupBy(F.col("denumire").alias("companie"), "an_raportare").agg(
+        F.sum("_sum").alias("total_spend"), F.sum("_n").alias("num_people"))
+    return g.select("companie", "an_raportare", "total_spend",
+                    (F.col("total_spend").cast("double") / F.col("num_people")).alias("avg_salary"),
+                    "num_people")
 
 
 def earners(fact: DataFrame, dim_persons: DataFrame) -> DataFrame:
-    """A6 before the limit: per (year, person_id, name) the sum of totals (J4 inner join)."""
-    f = fact.select("person_id", "an_raportare", "total_plata")
+    """A6 before the limit: per (year, person_id, name) the sum of totals (J4 inner join).
+
+    The fact is summed per (year, person_id) first; a person with several dimension rows
+    multiplies that sum exactly as it would multiply the rows."""
+    pre = (fact.where(F.col("person_id").isNotNull())
+               .groupBy("an_raportare", "person_id").agg(F.sum("total_plata").alias("_sum")))
     d = dim_persons.select(F.col("person_id").alias("_d_person_id"), "nume_normalizat")
-    j = f.join(d, f["person_id"] == d["_d_person_id"])
+    j = pre.join(d, pre["person_id"] == d["_d_person_id"])
     return j.groupBy("an_raportare", "person_id", F.col("nume_normalizat").alias("persoana")).agg(
-        F.sum("total_plata").alias("total_salary"))
+        F.sum("_sum").alias("total_salary"))
 
 
 def top_earners(fact: DataFrame, dim_persons: DataFrame, n: int = 50) -> DataFrame:

@@ -29,18 +29,23 @@ from salarium.session import write_table
 
 
 def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
-                      probs: dict[str, float], stats_prefix: str | None = None) -> DataFrame:
+                      probs: dict[str, float], stats_prefix: str | None = None,
+                      weight_col: str | None = None) -> DataFrame:
     """One row per group with at least one non-null value: ``group_cols`` + one double column
     per entry of ``probs`` (name -> fraction in [0, 1]).
 
     With ``stats_prefix`` the row also carries ``<prefix>total`` (non-null values),
     ``<prefix>min``, ``<prefix>max`` and ``<prefix>sum`` of the value.
+
+    ``weight_col``: ``df`` is already aggregated; each row stands for that many copies of its
+    value (callers pre-aggregate before a join, so the join sees distinct values only).
     """
     g = list(group_cols)
     v = value_col
+    weight = F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)
     counts = (df.where(F.col(v).isNotNull())
                 .groupBy(*g, v)
-                .agg(F.count(F.lit(1)).alias("_pc_n")))
+                .agg(weight.alias("_pc_n")))
     order = [F.col(c).asc_nulls_first() for c in g] + [F.col(v).asc()]
     sliced = write_table(counts.repartitionByRange(*order).withColumn("_pc_part", F.spark_partition_id()),
                          "percentile_slices")
