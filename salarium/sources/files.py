@@ -69,6 +69,17 @@ def malformed_records(spark: SparkSession, path: str) -> DataFrame:
     return bad.where(F.col("n_fields") != F.lit(len(header)))
 
 
+def count_malformed(spark: SparkSession, path: str) -> int:
+    """Number of malformed records (the quality report's ``bad_line_count``).
+
+    The count references the parsed first field as well: a plain ``count()`` would prune
+    the scan down to the corrupt-record column alone, which Spark refuses to read.
+    """
+    bad = malformed_records(spark, path)
+    n = bad.agg((F.count("first_field") + F.count_if(F.col("first_field").isNull())).alias("n")).first()
+    return int(n[0])
+
+
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
     """S3: re-read a cleaned CSV as strings; NA tokens -> ''; over-long records skipped."""
     header = _header(spark, path)
