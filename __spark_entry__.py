@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_queries
-from salarium.functions.text import na_token_blank
 from salarium.operators import analytics, anomaly, audit, cleaning, quality
 from salarium.plans.warehouse import warehouse_for
 from salarium.sources import fixture
@@ -25,25 +24,8 @@ def _wh(spark: SparkSession, sf_dir: str):
     return warehouse_for(spark, sf_dir)
 
 
-def _raw(spark, sf_dir):
-    return fixture.raw_table(spark, sf_dir)
-
-
 def _stage(spark, sf_dir, upto: str) -> DataFrame:
-    df = cleaning.drop_empty_rows(_raw(spark, sf_dir))
-    df = cleaning.clean_text(df)
-    if upto == "text":
-        return df
-    df = cleaning.blank_placeholders(df)
-    if upto == "placeholders":
-        return df
-    df = cleaning.split_base_variable(df)
-    if upto == "split":
-        return df
-    df = cleaning.clean_amounts(df)
-    if upto == "amounts":
-        return df
-    return cleaning.amounts_numeric(df)
+    return cleaning.prepare(fixture.raw_table(spark, sf_dir), upto)
 
 
 def q_clean_text(spark, sf_dir):
@@ -72,8 +54,7 @@ def q_infer_seq_no(spark, sf_dir):
 
 
 def q_clean_reread(spark, sf_dir):
-    c = _wh(spark, sf_dir).clean
-    return c.select("src_row", *[na_token_blank(F.col(n)).alias(n) for n in fixture.RAW_COLUMNS])
+    return _wh(spark, sf_dir).clean_reread.select("src_row", *fixture.RAW_COLUMNS)
 
 
 def q_load_typed(spark, sf_dir):

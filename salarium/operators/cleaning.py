@@ -132,15 +132,26 @@ def infer_seq_no(df: DataFrame) -> DataFrame:
     return joined.withColumn("nr_crt", filled).select(*df.columns)
 
 
-def prepare(raw: DataFrame) -> DataFrame:
-    """Row-local cleaning P3-P9 in the reference's order (one projection, no shuffle)."""
-    df = drop_empty_rows(raw)
-    df = clean_text(df)
-    df = blank_placeholders(df)
-    df = split_base_variable(df)
-    df = clean_amounts(df)
-    df = amounts_numeric(df)
-    return normalize_seq_no(df)
+STEPS = [
+    ("drop_empty", drop_empty_rows),
+    ("text", clean_text),
+    ("placeholders", blank_placeholders),
+    ("split", split_base_variable),
+    ("amounts", clean_amounts),
+    ("numeric", amounts_numeric),
+    ("seq_no", normalize_seq_no),
+]
+
+
+def prepare(raw: DataFrame, upto: str = "seq_no") -> DataFrame:
+    """Row-local cleaning P3-P9 in the reference's order, up to and including step ``upto``
+    (one projection chain, no shuffle)."""
+    df = raw
+    for name, step in STEPS:
+        df = step(df)
+        if name == upto:
+            return df
+    raise ValueError(f"unknown cleaning step {upto!r}")
 
 
 def clean(raw: DataFrame) -> DataFrame:
