@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salarium.operators.anomaly import classify_offline, prompt_fingerprint, reasons_text
+from salarium.operators.anomaly import classify_offline, ordered_queue, prompt_fingerprint, reasons_text
 from salarium.plans.sequence import with_sequence
 
 CANDIDATE_COLUMNS = ["candidate_id", "run_id", "source_table", "record_pk", "year", "company_id",
@@ -25,8 +25,8 @@ def queue_for_csv(flagged: DataFrame) -> DataFrame:
 
 
 def export_review_queue(flagged: DataFrame, path: str) -> None:
-    """Write the review queue as CSV with a header."""
-    queue_for_csv(flagged).write.mode("overwrite").option("header", True).csv(path)
+    """S13 + O7: write the review queue as CSV with a header, highest score first."""
+    queue_for_csv(ordered_queue(flagged)).write.mode("overwrite").option("header", True).csv(path)
 
 
 def _max_id(existing: DataFrame | None, column: str) -> int:

@@ -69,3 +69,16 @@ def test_single_expression_equals_staged(spark):
 def test_digits_to_int(spark):
     df = spark.createDataFrame([("-500",), ("3.50",), ("",), (None,)], "t string")
     assert [r.o for r in df.select(digits_to_int(F.col("t")).alias("o")).collect()] == [500, 350, 0, 0]
+
+
+def test_split_single_expression_equals_staged(spark):
+    from salarium.functions.amounts import split_base_variable_cols
+    from salarium.functions.text import normalize_seq_no_cell
+    rows = [("5000 - 2000", "9"), ("-500", ""), ("a-b", "x"), ("1-2-3", None), (None, "7"), ("", "")]
+    df = spark.createDataFrame(rows, "suma string, indemnizatie_variabila string")
+    s, v = split_base_variable_cols(F.col("suma"), F.col("indemnizatie_variabila"))
+    single = [(r.s, r.v) for r in df.select(s.alias("s"), v.alias("v")).collect()]
+    staged = [(r.suma, r.indemnizatie_variabila) for r in cleaning.split_base_variable(df).collect()]
+    assert single == staged
+    nr = spark.createDataFrame([("12.0",), (" 7 ",), ("nan",), ("None",), (None,)], "n string")
+    assert [r.o for r in nr.select(normalize_seq_no_cell(F.col("n")).alias("o")).collect()] == ["12", "7", "", "", ""]
