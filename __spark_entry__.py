@@ -176,45 +176,20 @@ def q_lost_identifiers(spark, sf_dir):
     return quality.lost_identifiers(wh.raw, wh.clean)
 
 
-NOT_NULL = {
-    "stg_indemnizatii_clean": ("stg", ["pk", "cui", "suma_clean", "variabila_clean"]),
-    "int_indemnizatii_base": ("int_base", ["pk", "total_plata"]),
-    "int_persoane_clean": ("int_persons", ["person_id"]),
-    "int_companii_clean": ("int_companies", ["company_id"]),
-    "fact_indemnizatii": ("fact", ["pk", "person_id", "company_id", "an_raportare"]),
-    "dim_persoane": ("dim_persons", ["person_id"]),
-    "dim_companii": ("dim_companies", ["company_id"]),
-}
-UNIQUE = [("stg_indemnizatii_clean", "stg", "pk"), ("int_indemnizatii_base", "int_base", "pk"),
-          ("int_persoane_clean", "int_persons", "person_id"), ("int_companii_clean", "int_companies", "company_id"),
-          ("fact_indemnizatii", "fact", "pk"), ("dim_persoane", "dim_persons", "person_id"),
-          ("dim_companii", "dim_companies", "company_id")]
-
-
 def q_expect_not_null(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    frames = [quality.expect_not_null(getattr(wh, attr), model, cols) for model, (attr, cols) in NOT_NULL.items()]
-    top = analytics.top_earners(wh.fact, wh.dim_persons, 50)
-    frames.append(quality.expect_not_null(top, "top_earners", ["an_raportare", "person_id", "persoana", "total_salary"]))
-    return quality._concat(frames)
+    return quality.not_null_checks(_wh(spark, sf_dir))
 
 
 def q_expect_unique(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality._concat([quality.expect_unique(getattr(wh, attr), model, col) for model, attr, col in UNIQUE])
+    return quality.unique_checks(_wh(spark, sf_dir))
 
 
 def q_expect_relationships(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality._concat([
-        quality.expect_relationship(wh.fact, "fact_indemnizatii", "person_id", wh.dim_persons, "dim_persoane", "person_id"),
-        quality.expect_relationship(wh.fact, "fact_indemnizatii", "company_id", wh.dim_companies, "dim_companii",
-                                    "company_id")])
+    return quality.relationship_checks(_wh(spark, sf_dir))
 
 
 def q_expect_earners_in_dim(spark, sf_dir):
-    wh = _wh(spark, sf_dir)
-    return quality.expect_earners_in_dim(analytics.top_earners(wh.fact, wh.dim_persons, 50), wh.dim_persons)
+    return quality.singular_checks(_wh(spark, sf_dir))
 
 
 # ---- anomaly review and audit --------------------------------------------------------------

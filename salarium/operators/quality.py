@@ -162,3 +162,54 @@ def amounts_over_int_range(loaded: DataFrame) -> DataFrame:
     (this engine keeps them as bigint and reports them instead of failing the load)."""
     return (loaded.where((F.col("suma_num") > INT_MAX) | (F.col("indemnizatie_variabila_num") > INT_MAX))
                   .select("id", "suma_num", "indemnizatie_variabila_num"))
+
+
+# ---- the configured expectations of the warehouse (the data tests of the reference) -----
+# model name -> (warehouse attribute, columns); ``top_earners`` is checked on the top list.
+NOT_NULL = {
+    "stg_indemnizatii_clean": ("stg", ["pk", "cui", "suma_clean", "variabila_clean"]),
+    "int_indemnizatii_base": ("int_base", ["pk", "total_plata"]),
+    "int_persoane_clean": ("int_persons", ["person_id"]),
+    "int_companii_clean": ("int_companies", ["company_id"]),
+    "fact_indemnizatii": ("fact", ["pk", "person_id", "company_id", "an_raportare"]),
+    "dim_persoane": ("dim_persons", ["person_id"]),
+    "dim_companii": ("dim_companies", ["company_id"]),
+}
+TOP_EARNERS_NOT_NULL = ["an_raportare", "person_id", "persoana", "total_salary"]
+UNIQUE = [
+    ("stg_indemnizatii_clean", "stg", "pk"),
+    ("int_indemnizatii_base", "int_base", "pk"),
+    ("int_persoane_clean", "int_persons", "person_id"),
+    ("int_companii_clean", "int_companies", "company_id"),
+    ("fact_indemnizatii", "fact", "pk"),
+    ("dim_persoane", "dim_persons", "person_id"),
+    ("dim_companii", "dim_companies", "company_id"),
+]
+
+
+def not_null_checks(wh) -> DataFrame:
+    from salarium.operators.analytics import top_earners
+    frames = [expect_not_null(getattr(wh, attr), model, cols) for model, (attr, cols) in NOT_NULL.items()]
+    frames.append(expect_not_null(top_earners(wh.fact, wh.dim_persons), "top_earners", TOP_EARNERS_NOT_NULL))
+    return _concat(frames)
+
+
+def unique_checks(wh) -> DataFrame:
+    return _concat([expect_unique(getattr(wh, attr), model, col) for model, attr, col in UNIQUE])
+
+
+def relationship_checks(wh) -> DataFrame:
+    return _concat([
+        expect_relationship(wh.fact, "fact_indemnizatii", "person_id", wh.dim_persons, "dim_persoane", "person_id"),
+        expect_relationship(wh.fact, "fact_indemnizatii", "company_id", wh.dim_companies, "dim_companii",
+                            "company_id")])
+
+
+def singular_checks(wh) -> DataFrame:
+    from salarium.operators.analytics import top_earners
+    return expect_earners_in_dim(top_earners(wh.fact, wh.dim_persons), wh.dim_persons)
+
+
+def all_checks(wh) -> DataFrame:
+    """Every configured expectation of the warehouse ``wh``: one row per check."""
+    return _concat([not_null_checks(wh), unique_checks(wh), relationship_checks(wh), singular_checks(wh)])

@@ -20,12 +20,15 @@ SOURCE_TABLE = "analytics.fact_indemnizatii"
 
 
 def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = models.DEFAULT_YEAR,
-              review_limit: int | None = None, min_score: float = 3.0, run_id: str | None = None) -> dict:
+              review_year: int | None = None, review_limit: int | None = None, min_score: float = 3.0,
+              run_id: str | None = None) -> dict:
     """Run clean -> validate -> load -> models -> analytics -> review on ``raw_csv``.
 
     Layout under ``out_dir``: ``clean/`` and ``validated/`` (CSV), ``quality/`` (one JSON
-    object), ``warehouse/<table>/`` (Parquet, replaced each run), ``artifacts/review_queue/``
-    (CSV), ``audit/candidates/`` and ``audit/reviews/`` (Parquet, appended).
+    object), ``warehouse/<table>/`` (Parquet, replaced each run), ``expectations/`` (one
+    row per data test with its failure count), ``artifacts/review_queue/`` (CSV),
+    ``audit/candidates/`` and ``audit/reviews/`` (Parquet, appended). The review looks at
+    ``review_year`` only when given and at the first ``review_limit`` rows when given.
     Returns a few counts of the run.
     """
     out = out_dir.rstrip("/")
@@ -56,8 +59,11 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
     for name, df in tables.items():
         files.full_reload(df, f"{out}/warehouse/{name}")
 
+    # data tests over the models (failures are reported, not raised)
+    files.full_reload(quality.all_checks(wh), f"{out}/expectations")
+
     # anomaly review: queue artifact, then candidates and reviews (append-only)
-    flagged = wh.flagged(None, review_limit, min_score)
+    flagged = wh.flagged(review_year, review_limit, min_score)
     audit.export_review_queue(flagged, f"{out}/artifacts/review_queue")
     cands, reviews = audit.review_run(flagged, run_id, SOURCE_TABLE, f"{out}/audit/candidates",
                                       f"{out}/audit/reviews")
@@ -68,4 +74,5 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
         "loaded_rows": counts,
         "candidates": cands.count(),
         "reviews_total": reviews.count(),
+        "failed_checks": spark.read.parquet(f"{out}/expectations").where(F.col("failures") > 0).count(),
     }

@@ -19,7 +19,8 @@ def _write_raw(path):
     rows = []
     for i in range(60):
         cui = f"RO{i % 4}"
-        rows.append([str(i % 7) if i % 5 else "", "APT", f"Compania\n{i % 4}", cui, f" Persoana {i % 9}",
+        company = f"Compania\n{i % 4}" if i % 10 else f"compania\n{i % 4}"   # a second spelling
+        rows.append([str(i % 7) if i % 5 else "", "APT", company, cui, f" Persoana {i % 9}",
                      "Director" if i % 2 else "membru CA",
                      ["12 000", "500+500", "100/2000", "3000 - 200", "N/A", "2500000"][i % 6], "" if i % 3 else "50"])
     with open(path, "w", encoding="utf-8", newline="") as f:
@@ -48,3 +49,14 @@ def test_run_batch(spark, tmp_dir):
     again = run_batch(spark, raw, out, run_id="r2", min_score=1.0)
     assert spark.read.parquet(f"{out}/warehouse/indemnizatii_clean").count() == 60
     assert again["reviews_total"] == 2 * summary["reviews_total"]
+
+
+def test_run_batch_expectations(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw.csv")
+    _write_raw(raw)
+    out = os.path.join(tmp_dir, "out")
+    summary = run_batch(spark, raw, out, run_id="r1", review_year=2025, review_limit=40)
+    checks = {r.check_name: r.failures for r in spark.read.parquet(f"{out}/expectations").collect()}
+    assert len(checks) == 18 + 7 + 2 + 1
+    assert checks["unique_dim_companii_company_id"] > 0   # several spellings per company (fan-out)
+    assert summary["failed_checks"] == sum(1 for v in checks.values() if v > 0)
