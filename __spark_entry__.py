@@ -212,7 +212,7 @@ def q_fact_slice(spark, sf_dir):
 
 
 def q_anomaly_peer_stats(spark, sf_dir):
-    by_company, by_year = anomaly.peer_stats(_whole_slice(spark, sf_dir))
+    by_company, by_year = anomaly.split_levels(_wh(spark, sf_dir).slice_stats(None, None)[0])
     j = by_company.join(by_year, "year", "left")
     return j.select("year", "company_id", "mean", F.round("std", 6).alias("std"), "mean_y",
                     F.round("std_y", 6).alias("std_y"))
@@ -223,7 +223,7 @@ def q_anomaly_rules(spark, sf_dir):
 
 
 def q_anomaly_scores(spark, sf_dir):
-    return _score_out(anomaly.anomaly_scores(_whole_slice(spark, sf_dir)))
+    return _score_out(_wh(spark, sf_dir).scores(None, None))
 
 
 def _flagged(spark, sf_dir):

@@ -30,7 +30,7 @@ class Warehouse:
         self.raw = raw
         self.year = year
         self._materialize = materialize_marts
-        self._runs: dict[tuple, DataFrame] = {}
+        self._runs: dict[tuple, object] = {}
 
     def _table(self, df: DataFrame, name: str) -> DataFrame:
         return write_table(df, name) if self._materialize else df
@@ -103,10 +103,24 @@ class Warehouse:
 
     # ---- anomaly review run (the reference stores these in its audit tables) ----------
 
+    def review_slice(self, year: int | None = None, limit: int | None = None) -> DataFrame:
+        return anomaly.fact_slice(self.fact, year, limit)
+
+    def slice_stats(self, year: int | None = None, limit: int | None = None) -> tuple[DataFrame, bool]:
+        """Peer statistics of one review slice, written once and shared by its queries."""
+        key = ("stats", year, limit)
+        if key not in self._runs:
+            self._runs[key] = anomaly.peer_statistics(self.review_slice(year, limit))
+        return self._runs[key]
+
+    def scores(self, year: int | None = None, limit: int | None = None) -> DataFrame:
+        return anomaly.anomaly_scores(self.review_slice(year, limit), self.slice_stats(year, limit))
+
     def flagged(self, year: int | None = None, limit: int | None = None, min_score: float = 3.0) -> DataFrame:
         key = ("flagged", year, limit, min_score)
         if key not in self._runs:
-            self._runs[key] = self._table(anomaly.review_queue(self.fact, year, limit, min_score), "flagged")
+            queue = anomaly.review_queue(self.fact, year, limit, min_score, self.slice_stats(year, limit))
+            self._runs[key] = self._table(queue, "flagged")
         return self._runs[key]
 
     def candidates(self, run_id: str, source_table: str, year: int | None = None, limit: int | None = None,
