@@ -84,3 +84,22 @@ def test_amounts_over_int_range(spark):
     from salarium.operators.quality import amounts_over_int_range
     df = spark.createDataFrame([(1, 5, 2**31), (2, 2**31 - 1, 0)], "id long, suma_num long, indemnizatie_variabila_num long")
     assert [r.id for r in amounts_over_int_range(df).collect()] == [1]
+
+
+def test_load_timestamp_is_one_per_load(spark):
+    from salarium.operators.load import LOAD_COLUMNS, as_loaded
+    rows = [(i, str(i), "a", "b", "c", "d", "e", "1", "", 1, 0) for i in range(1, 30)]
+    df = spark.createDataFrame(rows, "src_row long, " + ", ".join(
+        f"{c} {'bigint' if c.endswith('_num') else 'string'}" for c in LOAD_COLUMNS))
+    out = as_loaded(df, with_timestamp=True)
+    assert out.select("created_at").distinct().count() == 1
+    assert sorted(r.id for r in out.collect()) == list(range(1, 30))
+    assert out.where("indemnizatie_variabila IS NULL").count() == 29   # '' loads as NULL
+
+
+def test_required_columns_fail_the_run(spark):
+    import pytest
+    from salarium.operators.quality import quality_report
+    df = spark.createDataFrame([(1, "x")], "src_row long, personal string")
+    with pytest.raises(ValueError, match="Missing critical columns"):
+        quality_report(df)
