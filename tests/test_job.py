@@ -60,3 +60,11 @@ def test_run_batch_expectations(spark, tmp_dir):
     assert len(checks) == 18 + 7 + 2 + 1
     assert checks["unique_dim_companii_company_id"] > 0   # several spellings per company (fan-out)
     assert summary["failed_checks"] == sum(1 for v in checks.values() if v > 0)
+
+
+def test_command_line(spark, tmp_dir):
+    from salarium.__main__ import main
+    raw = os.path.join(tmp_dir, "raw.csv")
+    _write_raw(raw)
+    summary = main([raw, os.path.join(tmp_dir, "cli"), "--min-score", "2.5", "--run-id", "cli1"])
+    assert summary["run_id"] == "cli1" and summary["loaded_rows"] == 60
