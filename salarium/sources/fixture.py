@@ -5,6 +5,8 @@ row whose cells carry the irregular formats of the real extracts (line breaks, b
 placeholders, split/summed/ranged amounts, '.0' sequence numbers, several spellings per
 company and person). The derivation is a deterministic function of each order's own
 columns, so it is a pure narrow projection after the joins and grows with ``orders``.
+Remainders of the order key only choose which format a cell gets; no row is filtered out:
+every order with a customer becomes exactly one raw row.
 
 Output: ``src_row`` (file position) plus the eight raw string columns of the source file.
 """
