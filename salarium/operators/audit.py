@@ -26,7 +26,8 @@ def queue_for_csv(flagged: DataFrame) -> DataFrame:
 
 def export_review_queue(flagged: DataFrame, path: str) -> None:
     """S13 + O7: write the review queue as CSV with a header, highest score first."""
-    queue_for_csv(ordered_queue(flagged)).write.mode("overwrite").option("header", True).csv(path)
+    (queue_for_csv(ordered_queue(flagged)).write.mode("overwrite")
+        .option("quote", '"').option("escape", '"').option("header", True).csv(path))
 
 
 def _max_id(existing: DataFrame | None, column: str) -> int:

@@ -16,17 +16,21 @@ from salarium.functions.text import na_token_blank
 from salarium.operators.cleaning import normalize_columns, rename_source
 
 BAD = "_bad"
+# RFC 4180 quoting as the reference's CSV files use it: a quote inside a quoted field is
+# doubled (Spark's default escape character would be a backslash).
+CSV_QUOTING = {"quote": '"', "escape": '"'}
 # A comma outside double quotes (an even number of quotes follows it up to the end).
 _FIELD_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
-    return spark.read.option("header", True).option("multiLine", True).csv(path).columns
+    return spark.read.options(**CSV_QUOTING).option("header", True).option("multiLine", True).csv(path).columns
 
 
 def _read_strings(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     schema = StructType([StructField(c, StringType()) for c in columns] + [StructField(BAD, StringType())])
     return (spark.read.schema(schema)
+            .options(**CSV_QUOTING)
             .option("header", True)
             .option("multiLine", True)
             .option("mode", "PERMISSIVE")
@@ -91,12 +95,12 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
 
 def write_clean(df: DataFrame, path: str) -> None:
     """Persist the cleaned table as CSV with a header (UTF-8)."""
-    df.drop("src_row").write.mode("overwrite").option("header", True).csv(path)
+    df.drop("src_row").write.mode("overwrite").options(**CSV_QUOTING).option("header", True).csv(path)
 
 
 def write_validated(df: DataFrame, path: str) -> None:
     """Every field quoted, '\\n' line ends."""
-    (df.drop("src_row").write.mode("overwrite")
+    (df.drop("src_row").write.mode("overwrite").options(**CSV_QUOTING)
        .option("header", True).option("quoteAll", True).option("lineSep", "\n").csv(path))
 
 
@@ -113,7 +117,7 @@ def full_reload(df: DataFrame, path: str, allowed_prefixes: tuple[str, ...] | No
 
 def publish(df: DataFrame, uri: str, partition_by: list[str] | None = None) -> None:
     """Copy the cleaned table to a stable key of any Hadoop file system URI."""
-    w = df.drop("src_row").write.mode("overwrite").option("header", True)
+    w = df.drop("src_row").write.mode("overwrite").options(**CSV_QUOTING).option("header", True)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(uri)

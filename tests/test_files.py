@@ -95,3 +95,16 @@ def test_write_quality_report(spark, tmp_dir):
     assert len(parts) == 1
     obj = json.loads(open(parts[0], encoding="utf-8").read().strip())
     assert obj["row_count"] == 10 and obj["input_file"] == "data/in.csv" and obj["run_timestamp_utc"].endswith("Z")
+
+
+def test_doubled_quotes_round_trip(spark, tmp_dir):
+    body = '1,APT,"Compania ""Unu"" SA",RO1,"Ion, ""Nelu""",director,100,\n'
+    p = _write(os.path.join(tmp_dir, "q.csv"), HEADER + body)
+    row = files.read_raw(spark, p).first()
+    assert row.intreprindere == 'Compania "Unu" SA' and row.personal == 'Ion, "Nelu"'
+    out = os.path.join(tmp_dir, "q_out")
+    files.write_validated(files.read_raw(spark, p), out)
+    text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(out + "/part-*.csv")))
+    assert '"Compania ""Unu"" SA"' in text
+    back = files.read_clean(spark, out).first()
+    assert back.intreprindere == 'Compania "Unu" SA'
