@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from salarium.operators.anomaly import classify_offline, ordered_queue, prompt_fingerprint, reasons_text
 from salarium.plans.sequence import with_sequence
+from salarium.sources.files import CSV_WRITE
 
 CANDIDATE_COLUMNS = ["candidate_id", "run_id", "source_table", "record_pk", "year", "company_id",
                      "person_id", "total_ron", "anomaly_score", "anomaly_reasons"]
@@ -27,7 +28,7 @@ def queue_for_csv(flagged: DataFrame) -> DataFrame:
 def export_review_queue(flagged: DataFrame, path: str) -> None:
     """S13 + O7: write the review queue as CSV with a header, highest score first."""
     (queue_for_csv(ordered_queue(flagged)).write.mode("overwrite")
-        .option("quote", '"').option("escape", '"').option("header", True).csv(path))
+        .options(**CSV_WRITE).option("header", True).csv(path))
 
 
 def _max_id(existing: DataFrame | None, column: str) -> int:

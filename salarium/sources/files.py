@@ -19,6 +19,9 @@ BAD = "_bad"
 # RFC 4180 quoting as the reference's CSV files use it: a quote inside a quoted field is
 # doubled (Spark's default escape character would be a backslash).
 CSV_QUOTING = {"quote": '"', "escape": '"'}
+# Writers keep cell text exactly (Spark would trim surrounding blanks on write by default)
+# and write an empty cell as nothing, not as "" (only quote-all output quotes it).
+CSV_WRITE = {**CSV_QUOTING, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
 # A comma outside double quotes (an even number of quotes follows it up to the end).
 _FIELD_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
@@ -95,12 +98,12 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
 
 def write_clean(df: DataFrame, path: str) -> None:
     """Persist the cleaned table as CSV with a header (UTF-8)."""
-    df.drop("src_row").write.mode("overwrite").options(**CSV_QUOTING).option("header", True).csv(path)
+    df.drop("src_row").write.mode("overwrite").options(**CSV_WRITE).option("header", True).csv(path)
 
 
 def write_validated(df: DataFrame, path: str) -> None:
     """Every field quoted, '\\n' line ends."""
-    (df.drop("src_row").write.mode("overwrite").options(**CSV_QUOTING)
+    (df.drop("src_row").write.mode("overwrite").options(**{**CSV_WRITE, "emptyValue": '""'})
        .option("header", True).option("quoteAll", True).option("lineSep", "\n").csv(path))
 
 
@@ -117,7 +120,7 @@ def full_reload(df: DataFrame, path: str, allowed_prefixes: tuple[str, ...] | No
 
 def publish(df: DataFrame, uri: str, partition_by: list[str] | None = None) -> None:
     """Copy the cleaned table to a stable key of any Hadoop file system URI."""
-    w = df.drop("src_row").write.mode("overwrite").options(**CSV_QUOTING).option("header", True)
+    w = df.drop("src_row").write.mode("overwrite").options(**CSV_WRITE).option("header", True)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(uri)

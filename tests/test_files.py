@@ -108,3 +108,15 @@ def test_doubled_quotes_round_trip(spark, tmp_dir):
     assert '"Compania ""Unu"" SA"' in text
     back = files.read_clean(spark, out).first()
     assert back.intreprindere == 'Compania "Unu" SA'
+
+
+def test_writers_keep_blanks_and_empty_cells(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "  a b ", "")], "src_row long, c1 string, c2 string")
+    out = os.path.join(tmp_dir, "blanks")
+    files.write_clean(df, out)
+    text = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(out + "/part-*.csv")))
+    assert "  a b ," in text and '""' not in text
+    out2 = os.path.join(tmp_dir, "blanks_q")
+    files.write_validated(df, out2)
+    text2 = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(out2 + "/part-*.csv")))
+    assert '"  a b ",""' in text2
