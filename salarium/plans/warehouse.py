@@ -138,7 +138,11 @@ _LOCK = threading.Lock()
 def warehouse_for(spark: SparkSession, sf_dir: str, year: int = models.DEFAULT_YEAR) -> Warehouse:
     """One warehouse per (application, input folder, year), like one dbt build per run."""
     apply_defaults(spark)
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), year)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # a session without a local SparkContext (remote client)
+        app = id(spark)
+    key = (app, sf_dir.rstrip("/"), year)
     with _LOCK:
         wh = _CACHE.get(key)
         if wh is None:

@@ -54,7 +54,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from the session (``spark.checkpoint.dir``); only a local-mode session without one
     (tests, the bench) gets a fresh folder of its own.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote client: the server side owns the context and its settings
+        return spark.conf.get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
     if current:
         return current
