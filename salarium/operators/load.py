@@ -15,7 +15,7 @@ LOAD_COLUMNS = [
 INT_COLUMNS = {"nr_crt": "int", "suma_num": "bigint", "indemnizatie_variabila_num": "bigint"}
 
 
-def as_loaded(clean: DataFrame, with_timestamp: bool = False) -> DataFrame:
+def as_loaded(clean: DataFrame, with_timestamp: bool = False, counted: DataFrame | None = None) -> DataFrame:
     """S7 + S8 (+ S9): bulk-load typing of the clean table.
 
     * '' -> NULL in every column (an unquoted empty CSV field loads as NULL);
@@ -32,7 +32,7 @@ def as_loaded(clean: DataFrame, with_timestamp: bool = False) -> DataFrame:
         "src_row", *(TAGS if tagged else []),
         *[(F.nullif(F.col(c).cast("string"), F.lit("")).cast(INT_COLUMNS[c]) if c in INT_COLUMNS
            else F.nullif(F.col(c), F.lit(""))).alias(c) for c in LOAD_COLUMNS])
-    numbered = number_tagged(typed, "id") if tagged else with_sequence(typed, ["src_row"], "id")
+    numbered = number_tagged(typed, "id", counted=counted) if tagged else with_sequence(typed, ["src_row"], "id")
     loaded = numbered.select("id", *LOAD_COLUMNS)
     if with_timestamp:
         loaded = loaded.withColumn("created_at", F.current_timestamp())

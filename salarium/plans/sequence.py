@@ -41,9 +41,14 @@ def add_tags(df: DataFrame) -> DataFrame:
     return df.withColumn("_seq_part", F.spark_partition_id()).withColumn("_seq_pos", F.monotonically_increasing_id())
 
 
-def number_tagged(df: DataFrame, name: str = "id", start: int = 1) -> DataFrame:
-    """Number the rows of a written table that carries the tags of ``add_tags``."""
-    sizes = df.groupBy("_seq_part").agg(
+def number_tagged(df: DataFrame, name: str = "id", start: int = 1, counted: DataFrame | None = None) -> DataFrame:
+    """Number the rows of a written table that carries the tags of ``add_tags``.
+
+    ``counted``: the written table itself when ``df`` was derived from it row for row (e.g.
+    by a lookup join that keeps every row once), so the per-partition counts read just the
+    two tag columns of the table instead of recomputing ``df``.
+    """
+    sizes = (df if counted is None else counted).groupBy("_seq_part").agg(
         F.count(F.lit(1)).alias("_seq_n"), F.min("_seq_pos").alias("_seq_first"))
     # One row per partition: a bounded table, so a global window over it is cheap.
     before = Window.orderBy("_seq_part").rowsBetween(Window.unboundedPreceding, -1)

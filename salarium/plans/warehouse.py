@@ -65,8 +65,11 @@ class Warehouse:
 
     @cached_property
     def loaded(self) -> DataFrame:
-        # the loaded table of the warehouse: typed rows with ids from the order tags, written once
-        return self._table(load.as_loaded(self._clean_tagged), "indemnizatii_clean")
+        # the loaded table of the warehouse: typed rows with ids from the order tags, written
+        # once; the inference join keeps every prepared row once, so the per-partition counts
+        # come from the prepared table's tag columns
+        loaded = load.as_loaded(self._clean_tagged, counted=self._prepared_tagged)
+        return self._table(loaded, "indemnizatii_clean")
 
     @cached_property
     def stg(self) -> DataFrame:
