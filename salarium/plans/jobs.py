@@ -8,6 +8,7 @@ depends only on the current input) except the audit tables, which are append-onl
 from __future__ import annotations
 
 import datetime as _dt
+import time
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -27,12 +28,22 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
     Layout under ``out_dir``: ``clean/`` and ``validated/`` (CSV), ``quality/`` (one JSON
     object), ``warehouse/<table>/`` (Parquet, replaced each run), ``expectations/`` (one
     row per data test with its failure count), ``artifacts/review_queue/`` (CSV),
-    ``audit/candidates/`` and ``audit/reviews/`` (Parquet, appended). The review looks at
+    ``audit/candidates/`` and ``audit/reviews/`` (Parquet, appended), ``runs/`` (one JSON
+    record per run with stage durations, appended). The review looks at
     ``review_year`` only when given and at the first ``review_limit`` rows when given.
     Returns a few counts of the run.
     """
     out = out_dir.rstrip("/")
     run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+    durations: dict[str, float] = {}
+    mark = time.perf_counter()
+
+    def stage_done(name: str) -> None:
+        nonlocal mark
+        now = time.perf_counter()
+        durations[name] = round(now - mark, 3)
+        mark = now
+
     raw = files.read_raw(spark, raw_csv)
     bad_lines = files.count_malformed(spark, raw_csv)
     wh = Warehouse(raw, year=year)
@@ -42,6 +53,7 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
     files.write_validated(wh.clean_reread, f"{out}/validated")
     report = quality.quality_report(wh.clean_reread, bad_line_count=bad_lines)
     files.write_quality_report(report, f"{out}/quality", raw_csv, f"{out}/validated")
+    stage_done("clean_validate")
 
     # warehouse tables (full reload)
     tables = {
@@ -58,21 +70,32 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
     }
     for name, df in tables.items():
         files.full_reload(df, f"{out}/warehouse/{name}")
+    stage_done("load_models")
 
     # data tests over the models (failures are reported, not raised)
     files.full_reload(quality.all_checks(wh), f"{out}/expectations")
+    stage_done("data_tests")
 
     # anomaly review: queue artifact, then candidates and reviews (append-only)
     flagged = wh.flagged(review_year, review_limit, min_score)
     audit.export_review_queue(flagged, f"{out}/artifacts/review_queue")
     cands, reviews = audit.review_run(flagged, run_id, SOURCE_TABLE, f"{out}/audit/candidates",
                                       f"{out}/audit/reviews")
+    stage_done("review")
     counts = spark.read.parquet(f"{out}/warehouse/indemnizatii_clean").agg(F.count(F.lit(1))).first()[0]
-    return {
+    summary = {
         "run_id": run_id,
         "bad_line_count": bad_lines,
         "loaded_rows": counts,
         "candidates": cands.count(),
         "reviews_total": reviews.count(),
         "failed_checks": spark.read.parquet(f"{out}/expectations").where(F.col("failures") > 0).count(),
+        "duration_seconds": durations,
     }
+    # one record per run, appended (the run log of the pipeline)
+    record = spark.createDataFrame(
+        [(run_id, raw_csv, counts, bad_lines, summary["candidates"], summary["failed_checks"], durations)],
+        "run_id string, input_file string, loaded_rows long, bad_line_count long, candidates long, "
+        "failed_checks long, duration_seconds map<string, double>")
+    record.coalesce(1).write.mode("append").json(f"{out}/runs")
+    return summary

@@ -49,6 +49,9 @@ def test_run_batch(spark, tmp_dir):
     again = run_batch(spark, raw, out, run_id="r2", min_score=1.0)
     assert spark.read.parquet(f"{out}/warehouse/indemnizatii_clean").count() == 60
     assert again["reviews_total"] == 2 * summary["reviews_total"]
+    runs = spark.read.json(f"{out}/runs")
+    assert sorted(r.run_id for r in runs.collect()) == ["r1", "r2"]
+    assert set(summary["duration_seconds"]) == {"clean_validate", "load_models", "data_tests", "review"}
 
 
 def test_run_batch_expectations(spark, tmp_dir):
