@@ -120,3 +120,15 @@ def test_writers_keep_blanks_and_empty_cells(spark, tmp_dir):
     files.write_validated(df, out2)
     text2 = "".join(open(f, encoding="utf-8").read() for f in sorted(glob.glob(out2 + "/part-*.csv")))
     assert '"  a b ",""' in text2
+
+
+def test_read_raw_crlf_and_bom(spark, tmp_dir):
+    text = "\ufeff" + HEADER.replace('"Nr.crt"', "Nr.crt") + '1,APT,"Comp\r\nUnu",RO1,Ion,director,"1 000",5\r\n2,APT,Doi,RO2,Ana,membru CA,7,\r\n'
+    p = os.path.join(tmp_dir, "crlf.csv")
+    with open(p, "w", encoding="utf-8", newline="") as f:
+        f.write(text.replace("\n", "\r\n").replace("\r\r\n", "\r\n"))
+    df = files.read_raw(spark, p)
+    assert df.columns[1] == "nr_crt"        # the byte-order mark is not part of the name
+    rows = sorted(df.collect(), key=lambda r: r.src_row)
+    assert [r.nr_crt for r in rows] == ["1", "2"]
+    assert rows[0].intreprindere.replace("\r", "") == "Comp\nUnu" and rows[1].indemnizatie_variabila == ""
