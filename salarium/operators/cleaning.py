@@ -28,7 +28,21 @@ SOURCE_RENAMES = {
 }
 
 AMOUNT_COLUMNS = ["suma", "indemnizatie_variabila"]
-BOOKKEEPING = {"src_row", "_bad"}
+# A row's place in the input: the file it came from (when read from files), then its
+# position inside that file. Together they give "file order".
+POSITION = ["src_file", "src_row"]
+BOOKKEEPING = {"src_file", "src_row", "_bad"}
+
+
+def position_cols(df: DataFrame) -> list[str]:
+    """The position columns ``df`` carries, most significant first."""
+    return [c for c in POSITION if c in df.columns]
+
+
+def position(df: DataFrame):
+    """One orderable value for a row's place in the input (for ``min_by`` / ``min``)."""
+    cols = position_cols(df)
+    return F.col(cols[0]) if len(cols) == 1 else F.struct(*cols)
 
 
 def normalize_column_name(name: str) -> str:
@@ -111,7 +125,7 @@ def seq_no_mapping(df: DataFrame) -> DataFrame:
     """
     return (df.where(~is_blank(F.col("nr_crt")))
               .groupBy("cui")
-              .agg(F.min_by("nr_crt", "src_row").alias("_mapped_nr_crt")))
+              .agg(F.min_by("nr_crt", position(df)).alias("_mapped_nr_crt")))
 
 
 def infer_seq_no(df: DataFrame) -> DataFrame:

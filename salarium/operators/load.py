@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salarium.operators.cleaning import position_cols
 from salarium.plans.sequence import TAGS, number_tagged, with_sequence
 
 # Column order of the bulk load (fixed by the load statement of the reference).
@@ -21,18 +22,20 @@ def as_loaded(clean: DataFrame, with_timestamp: bool = False, counted: DataFrame
     * '' -> NULL in every column (an unquoted empty CSV field loads as NULL);
     * ``nr_crt`` to int and the amounts to bigint with ANSI casts, so a non-numeric value
       fails the load, as the bulk load does;
-    * ``id`` = 1..n in file order (``src_row``), assigned without a single-partition window;
+    * ``id`` = 1..n in file order (``src_file``, ``src_row``), assigned without a
+      single-partition window;
     * optional ``created_at``: one timestamp per load.
 
     When ``clean`` carries the order tags of ``plans.sequence`` (it was range-sorted on
     ``src_row`` and written with them), the ids come from those tags without another sort.
     """
     tagged = all(t in clean.columns for t in TAGS)
+    order = position_cols(clean)
     typed = clean.select(
-        "src_row", *(TAGS if tagged else []),
+        *order, *(TAGS if tagged else []),
         *[(F.nullif(F.col(c).cast("string"), F.lit("")).cast(INT_COLUMNS[c]) if c in INT_COLUMNS
            else F.nullif(F.col(c), F.lit(""))).alias(c) for c in LOAD_COLUMNS])
-    numbered = number_tagged(typed, "id", counted=counted) if tagged else with_sequence(typed, ["src_row"], "id")
+    numbered = number_tagged(typed, "id", counted=counted) if tagged else with_sequence(typed, order, "id")
     loaded = numbered.select("id", *LOAD_COLUMNS)
     if with_timestamp:
         loaded = loaded.withColumn("created_at", F.current_timestamp())

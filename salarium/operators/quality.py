@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salarium.functions.text import is_blank, py_strip
+from salarium.operators.cleaning import BOOKKEEPING, position, position_cols
 from salarium.plans.joins import bounded
 from salarium.session import materialize
 
@@ -86,7 +87,7 @@ def _any_blank(columns: list[str]):
 def missing_critical(clean: DataFrame, columns: list[str] = CRITICAL_COLUMNS, strip: bool = True) -> DataFrame:
     """V6 (F6): rows with at least one critical column blank after strip (``strip=False``:
     exactly empty, the diagnostic variant)."""
-    keep = [c for c in ["src_row", *columns] if c in clean.columns]
+    keep = [*position_cols(clean), *[c for c in columns if c in clean.columns]]
     if strip:
         cond = _any_blank(columns)
     else:
@@ -105,7 +106,7 @@ def names_multi_company(clean: DataFrame) -> DataFrame:
 
 def quality_report(clean: DataFrame, bad_line_count: int = 0) -> DataFrame:
     """V7 (A11): one row of counts over the re-read clean table, plus ``status``."""
-    data_cols = [c for c in clean.columns if c != "src_row"]
+    data_cols = [c for c in clean.columns if c not in BOOKKEEPING]
     missing = require_columns(clean)
     counts = clean.agg(
         F.count(F.lit(1)).alias("row_count"),
@@ -142,7 +143,7 @@ def seq_no_sample(df: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` mappings, in the order their first row appears in the file."""
     firsts = (df.where(~is_blank(F.col("nr_crt")))
                 .groupBy(py_strip(F.col("cui")).alias("cui"))
-                .agg(F.min_by("nr_crt", "src_row").alias("nr_crt"), F.min("src_row").alias("_first")))
+                .agg(F.min_by("nr_crt", position(df)).alias("nr_crt"), F.min(position(df)).alias("_first")))
     return firsts.orderBy("_first").limit(n).select("cui", "nr_crt")
 
 

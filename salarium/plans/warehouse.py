@@ -40,7 +40,7 @@ class Warehouse:
         """Raw rows range-partitioned and sorted on ``src_row`` (the sampling and shuffle
         passes read the cheap raw columns), then the row-local cleaning once as a narrow
         step, tagged with partition id and position, written once (Parquet)."""
-        ordered = sort_and_tag(self.raw, ["src_row"])
+        ordered = sort_and_tag(self.raw, cleaning.position_cols(self.raw))
         return write_table(add_tags(cleaning.prepare(ordered)), "prepared")
 
     @cached_property
@@ -60,8 +60,9 @@ class Warehouse:
     @cached_property
     def clean_reread(self) -> DataFrame:
         """The clean table as validation reads it back from CSV: all text, NA tokens -> ''."""
-        data = [c for c in self.clean.columns if c != "src_row"]
-        return self.clean.select("src_row", *[na_token_blank(F.col(c).cast("string")).alias(c) for c in data])
+        pos = cleaning.position_cols(self.clean)
+        data = [c for c in self.clean.columns if c not in cleaning.BOOKKEEPING]
+        return self.clean.select(*pos, *[na_token_blank(F.col(c).cast("string")).alias(c) for c in data])
 
     @cached_property
     def loaded(self) -> DataFrame:

@@ -1,7 +1,8 @@
 """File sources and sinks S1-S6, S10, S12, S14.
 
 Multi-line CSV cannot be split inside a file, so each raw file is read by one task; the
-engine lands it once (``src_row`` keeps file order) and everything after is parallel.
+engine lands it once (``src_file``, ``src_row`` keep file order) and everything after is
+parallel.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from salarium.functions.text import na_token_blank
-from salarium.operators.cleaning import normalize_columns, rename_source
+from salarium.operators.cleaning import BOOKKEEPING, normalize_columns, rename_source
 
 BAD = "_bad"
 # RFC 4180 quoting as the reference's CSV files use it: a quote inside a quoted field is
@@ -51,17 +52,21 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """S1 (+P1, P2): every cell a string, '' for missing cells, no NA inference.
 
     Records with more fields than the header are dropped (the reference warns and skips
-    them); shorter records are padded with ''. ``src_row`` orders rows as in the file.
+    them); shorter records are padded with ''. ``src_file`` and ``src_row`` give each row's
+    place: a multi-line CSV file is read whole by one task, so the read position orders the
+    rows of one file as in the file, and the file path orders the files.
     Header texts may hold dots, parentheses or line breaks, so columns are handled by
     position until the names are normalised.
     """
     header = _header(spark, path)
     pos = [f"_c{i}" for i in range(len(header))]
-    df = _read_strings(spark, path, header).toDF(*pos, BAD)
+    df = _read_strings(spark, path, header)
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_metadata.file_path").alias("src_file"))
+    df = df.toDF(*pos, BAD, "src_file")
     df = (df.withColumn("src_row", F.monotonically_increasing_id())
             .where(F.col(BAD).isNull() | (field_count() <= F.lit(len(header))))
-            .select("src_row", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in pos]))
-    return rename_source(normalize_columns(df.toDF("src_row", *header)))
+            .select("src_file", "src_row", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in pos]))
+    return rename_source(normalize_columns(df.toDF("src_file", "src_row", *header)))
 
 
 def malformed_records(spark: SparkSession, path: str) -> DataFrame:
@@ -98,12 +103,12 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
 
 def write_clean(df: DataFrame, path: str) -> None:
     """Persist the cleaned table as CSV with a header (UTF-8)."""
-    df.drop("src_row").write.mode("overwrite").options(**CSV_WRITE).option("header", True).csv(path)
+    df.drop(*BOOKKEEPING).write.mode("overwrite").options(**CSV_WRITE).option("header", True).csv(path)
 
 
 def write_validated(df: DataFrame, path: str) -> None:
     """Every field quoted, '\\n' line ends."""
-    (df.drop("src_row").write.mode("overwrite").options(**{**CSV_WRITE, "emptyValue": '""'})
+    (df.drop(*BOOKKEEPING).write.mode("overwrite").options(**{**CSV_WRITE, "emptyValue": '""'})
        .option("header", True).option("quoteAll", True).option("lineSep", "\n").csv(path))
 
 
@@ -120,7 +125,7 @@ def full_reload(df: DataFrame, path: str, allowed_prefixes: tuple[str, ...] | No
 
 def publish(df: DataFrame, uri: str, partition_by: list[str] | None = None) -> None:
     """Copy the cleaned table to a stable key of any Hadoop file system URI."""
-    w = df.drop("src_row").write.mode("overwrite").options(**CSV_WRITE).option("header", True)
+    w = df.drop(*BOOKKEEPING).write.mode("overwrite").options(**CSV_WRITE).option("header", True)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(uri)

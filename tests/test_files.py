@@ -28,7 +28,7 @@ def test_read_raw_multiline_short_and_long(spark, tmp_dir):
             '4,APT D,"Patru, SA",RO4,Eva,membru CA,"1+2",5\n')
     p = _write(os.path.join(tmp_dir, "raw.csv"), HEADER + body)
     df = files.read_raw(spark, p)
-    assert df.columns[:4] == ["src_row", "nr_crt", "autoritate_tutelara", "intreprindere"]
+    assert df.columns[:5] == ["src_file", "src_row", "nr_crt", "autoritate_tutelara", "intreprindere"]
     assert "suma" in df.columns and "indemnizatie_variabila" in df.columns
     rows = sorted(df.collect(), key=lambda r: r.src_row)
     assert [r.nr_crt for r in rows] == ["1", "2", "4"]
@@ -128,7 +128,22 @@ def test_read_raw_crlf_and_bom(spark, tmp_dir):
     with open(p, "w", encoding="utf-8", newline="") as f:
         f.write(text.replace("\n", "\r\n").replace("\r\r\n", "\r\n"))
     df = files.read_raw(spark, p)
-    assert df.columns[1] == "nr_crt"        # the byte-order mark is not part of the name
+    assert df.columns[2] == "nr_crt"        # the byte-order mark is not part of the name
     rows = sorted(df.collect(), key=lambda r: r.src_row)
     assert [r.nr_crt for r in rows] == ["1", "2"]
     assert rows[0].intreprindere.replace("\r", "") == "Comp\nUnu" and rows[1].indemnizatie_variabila == ""
+
+
+def test_several_raw_files_keep_file_order(spark, tmp_dir):
+    from salarium.plans.warehouse import Warehouse
+    folder = os.path.join(tmp_dir, "many")
+    os.makedirs(folder)
+    # b.csv is larger (read first by size-based packing) but comes second by name
+    _write(os.path.join(folder, "a.csv"), HEADER + "1,APT,X,RO1,Ion,director,10,\n,APT,X,RO1,Ana,director,20,\n")
+    _write(os.path.join(folder, "b.csv"), HEADER + "".join(
+        f"{'' if i else 7},APT,Y,RO1,P{i},director,{i},\n" for i in range(40)))
+    wh = Warehouse(files.read_raw(spark, folder))
+    loaded = {r.id: r for r in wh.loaded.collect()}
+    assert [loaded[i].personal for i in (1, 2, 3)] == ["Ion", "Ana", "P0"]
+    # the blank sequence number of Ana is filled from the first RO1 row in file order (a.csv)
+    assert loaded[2].nr_crt == 1
