@@ -82,6 +82,8 @@ def test_publish_local_uri(spark, tmp_dir):
 def test_read_json_records(spark, tmp_dir):
     p = _write(os.path.join(tmp_dir, "posts.json"), json.dumps([{"id": 1, "title": "a"}, {"id": 2, "title": "b"}]))
     assert files.read_json_records(spark, p, "id long, title string").count() == 2
+    n, sample = files.json_records_summary(files.read_json_records(spark, p, "id long, title string"))
+    assert n == 2 and json.loads(sample) in ({"id": 1, "title": "a"}, {"id": 2, "title": "b"})
     empty = _write(os.path.join(tmp_dir, "empty.json"), "[]")
     with pytest.raises(ValueError):
         files.read_json_records(spark, empty, "id long, title string")
