@@ -27,7 +27,9 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
 
     Layout under ``out_dir``: ``clean/`` and ``validated/`` (CSV), ``quality/`` (one JSON
     object), ``warehouse/<table>/`` (Parquet, replaced each run), ``expectations/`` (one
-    row per data test with its failure count), ``artifacts/review_queue/`` (CSV),
+    row per data test with its failure count), ``diagnostics/<name>/`` (malformed records,
+    rows missing critical fields, names under several companies, lost identifiers, the
+    sequence-number profile), ``artifacts/review_queue/`` (CSV),
     ``audit/candidates/`` and ``audit/reviews/`` (Parquet, appended), ``runs/`` (one JSON
     record per run with stage durations, appended). The review looks at
     ``review_year`` only when given and at the first ``review_limit`` rows when given.
@@ -72,8 +74,18 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
         files.full_reload(df, f"{out}/warehouse/{name}")
     stage_done("load_models")
 
-    # data tests over the models (failures are reported, not raised)
+    # data tests over the models (failures are reported, not raised), and the diagnostics
+    # the reference prints from its tool scripts, kept as tables
     files.full_reload(quality.all_checks(wh), f"{out}/expectations")
+    diagnostics = {
+        "malformed_records": files.malformed_records(spark, raw_csv),
+        "missing_critical_rows": quality.missing_critical(wh.clean_reread),
+        "names_multi_company": quality.names_multi_company(wh.clean_reread),
+        "lost_identifiers": quality.lost_identifiers(raw, wh.clean),
+        "seq_no_profile": quality.seq_no_profile(wh.before_inference),
+    }
+    for name, df in diagnostics.items():
+        files.full_reload(df, f"{out}/diagnostics/{name}")
     stage_done("data_tests")
 
     # anomaly review: queue artifact, then candidates and reviews (append-only)

@@ -52,6 +52,8 @@ def test_run_batch(spark, tmp_dir):
     runs = spark.read.json(f"{out}/runs")
     assert sorted(r.run_id for r in runs.collect()) == ["r1", "r2"]
     assert set(summary["duration_seconds"]) == {"clean_validate", "load_models", "data_tests", "review"}
+    assert spark.read.parquet(f"{out}/diagnostics/malformed_records").count() == 1
+    assert spark.read.parquet(f"{out}/diagnostics/seq_no_profile").first().rows == 60
 
 
 def test_run_batch_expectations(spark, tmp_dir):
