@@ -1,5 +1,6 @@
-"""The batch job: one raw CSV extract in, the cleaned artifacts, the warehouse tables, the
-quality report, the review queue and the audit trail out.
+"""The batch job: one raw CSV extract (or a folder of them) in; the cleaned artifacts, the
+warehouse tables, the quality report, data-test results, diagnostics, the review queue,
+the audit trail and a run record out.
 
 Every step is a Spark job over the whole input; outputs are full reloads (their state
 depends only on the current input) except the audit tables, which are append-only.
