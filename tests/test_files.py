@@ -149,3 +149,15 @@ def test_several_raw_files_keep_file_order(spark, tmp_dir):
     assert [loaded[i].personal for i in (1, 2, 3)] == ["Ion", "Ana", "P0"]
     # the blank sequence number of Ana is filled from the first RO1 row in file order (a.csv)
     assert loaded[2].nr_crt == 1
+
+
+def test_raw_without_variable_column_and_with_extra_column(spark, tmp_dir):
+    from salarium.plans.warehouse import Warehouse
+    header = ",".join(h for h in HEADER.strip().split(",")[:7]) + ",Observatii\n"
+    body = "1,APT,Unu,RO1,Ion,director,5000 - 300,nota\n2,APT,Doi,RO2,Ana,membru CA,12 000,\n"
+    p = _write(os.path.join(tmp_dir, "novar.csv"), header + body)
+    raw = files.read_raw(spark, p)
+    assert "indemnizatie_variabila" not in raw.columns and "observatii" in raw.columns
+    loaded = {r.id: r for r in Warehouse(raw).loaded.collect()}
+    assert (loaded[1].suma_num, loaded[1].indemnizatie_variabila_num) == (5000, 300)
+    assert (loaded[2].suma_num, loaded[2].indemnizatie_variabila_num) == (12000, 0)
