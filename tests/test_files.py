@@ -161,3 +161,12 @@ def test_raw_without_variable_column_and_with_extra_column(spark, tmp_dir):
     loaded = {r.id: r for r in Warehouse(raw).loaded.collect()}
     assert (loaded[1].suma_num, loaded[1].indemnizatie_variabila_num) == (5000, 300)
     assert (loaded[2].suma_num, loaded[2].indemnizatie_variabila_num) == (12000, 0)
+
+
+def test_publish_partitioned(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a", 2024), (2, "b", 2025)], "src_row long, c string, an int")
+    uri = "file://" + os.path.join(tmp_dir, "published_by_year")
+    files.publish(df, uri, partition_by=["an"])
+    assert sorted(os.listdir(uri[len("file://"):]))[:2] == ["_SUCCESS", "an=2024"]
+    back = spark.read.option("header", True).csv(uri)
+    assert sorted((r.c, r.an) for r in back.collect()) == [("a", 2024), ("b", 2025)]
