@@ -167,6 +167,7 @@ def test_publish_partitioned(spark, tmp_dir):
     df = spark.createDataFrame([(1, "a", 2024), (2, "b", 2025)], "src_row long, c string, an int")
     uri = "file://" + os.path.join(tmp_dir, "published_by_year")
     files.publish(df, uri, partition_by=["an"])
-    assert sorted(os.listdir(uri[len("file://"):]))[:2] == ["_SUCCESS", "an=2024"]
+    listing = set(os.listdir(uri[len("file://"):]))
+    assert {"an=2024", "an=2025"} <= listing
     back = spark.read.option("header", True).csv(uri)
     assert sorted((r.c, r.an) for r in back.collect()) == [("a", 2024), ("b", 2025)]
