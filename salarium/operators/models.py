@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salarium.plans.joins import checked_broadcast
+from salarium.plans.joins import bounded
 
 DEFAULT_YEAR = 2025
 
@@ -82,18 +82,33 @@ def fact(int_base: DataFrame, int_persons: DataFrame, int_companies: DataFrame,
     ``dedupe=True`` joins against one row per id instead (no fan-out).
     """
     p = int_persons.select(F.col("person_id"), _norm(F.col("nume_normalizat")).alias("_p_key"))
-    c = int_companies.select(F.col("company_id"))
+    c = int_companies.select(F.col("company_id").alias("_c_key"), F.col("company_id"))
     if dedupe:
         p = p.dropDuplicates(["_p_key"])
-        c = c.dropDuplicates(["company_id"])
+        c = c.dropDuplicates(["_c_key"])
     b = int_base.select("pk", "nume", "cui", "total_plata", "suma_clean", "variabila_clean")
-    # Both right sides are keyed by normalised name / company id. They are materialised and
-    # broadcast when their row count is under the bound, so the base table is not shuffled;
-    # beyond it the joins are sort-merge joins and AQE splits hot (or null) keys.
-    p = checked_broadcast(p)
-    c = checked_broadcast(c)
-    j = (b.join(p, _norm(b["nume"]) == p["_p_key"], "left")
-          .join(c, b["cui"] == c["company_id"], "left"))
+    b = b.withColumn("_b_p_key", _norm(F.col("nume")))
+    j = _left_lookup(b, "_b_p_key", p, "_p_key")
+    j = _left_lookup(j, "cui", c, "_c_key")
     return j.select(
         "pk", "person_id", "company_id", "total_plata", "suma_clean", "variabila_clean",
         F.lit(year).cast("int").alias("an_raportare"))
+
+
+def _left_lookup(rows: DataFrame, key: str, lookup: DataFrame, lookup_key: str) -> DataFrame:
+    """Left join of ``rows`` with a lookup keyed by ``lookup_key`` (duplicates multiply rows).
+
+    The lookup is written once and broadcast when it fits the size bound, so ``rows`` is not
+    shuffled. Beyond the bound the join is a sort-merge join; rows whose key is null can
+    never match, so they bypass it (they would all hash to one reducer), and AQE splits
+    any other hot key.
+    """
+    table, small = bounded(lookup)
+    extra = [c for c in table.columns if c != lookup_key]
+    if small:
+        out = rows.join(F.broadcast(table), F.col(key) == F.col(lookup_key), "left")
+        return out.drop(lookup_key)
+    matched = rows.where(F.col(key).isNotNull()).join(table, F.col(key) == F.col(lookup_key), "left")
+    unmatched = rows.where(F.col(key).isNull()).select(
+        "*", *[F.lit(None).cast(table.schema[c].dataType).alias(c) for c in extra])
+    return matched.drop(lookup_key).unionByName(unmatched)
