@@ -3,6 +3,12 @@
 Every query derives the raw disclosure table from the driver's tables (see
 ``salarium.sources.fixture``) and runs the pipeline over all of it; the warehouse stages a
 query needs are built once per session and input folder (``salarium.plans.warehouse``).
+
+A LIMIT appears only where it is the reference's feature, and the ranking still reads the
+whole table: the top-k reports (``top_earners`` 50, ``top_earners_display`` 10,
+``top10_directors`` 10), the first mappings of the sequence-number profile
+(``seq_no_sample`` 5) and the review CLI's slices (``fact_slice`` 500,
+``anomaly_flagged_slice`` 1,000). Every other anomaly and audit key reviews the whole fact.
 """
 
 from __future__ import annotations
