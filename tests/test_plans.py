@@ -93,3 +93,11 @@ def test_relationship_check_both_paths(spark):
     finally:
         spark.conf.unset("salarium.broadcast.maxRows")
     assert small == large == 3
+
+
+def test_empty_inputs(spark):
+    empty = spark.createDataFrame([], "g string, v long")
+    assert exact_percentiles(empty, ["g"], "v", {"m": 0.5}, stats_prefix="s_").count() == 0
+    assert with_sequence(empty, ["v"], "id").count() == 0
+    only_nulls = spark.createDataFrame([("a", None)], "g string, v long")
+    assert exact_percentiles(only_nulls, ["g"], "v", {"m": 0.5}).count() == 0
