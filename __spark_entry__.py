@@ -13,12 +13,19 @@ whole table: the top-k reports (``top_earners`` 50, ``top_earners_display`` 10,
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# importable however this file is loaded (by path, from another working directory)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import oracle_queries
+import oracle_queries  # noqa: E402
 from salarium.operators import analytics, anomaly, audit, cleaning, quality
 from salarium.plans.warehouse import warehouse_for
 from salarium.sources import fixture
