@@ -34,7 +34,18 @@ def test_sequence_descending_with_ties(spark):
     assert [r for _, _, r in out][1:3] == ["0", "2"]
 
 
-def test_exact_percentiles_brute_force_with_hot_group(spark):
+import pytest
+
+
+@pytest.fixture(params=["per_group", "sliced"])
+def pct_path(spark, request):
+    if request.param == "sliced":
+        spark.conf.set("salarium.percentile.maxGroupValues", "0")
+    yield request.param
+    spark.conf.unset("salarium.percentile.maxGroupValues")
+
+
+def test_exact_percentiles_brute_force_with_hot_group(spark, pct_path):
     rnd = random.Random(7)
     rows = []
     for g, n in [("hot", 4000), ("a", 1), ("b", 2), ("c", 37), (None, 5)]:
@@ -56,6 +67,7 @@ def test_exact_percentiles_brute_force_with_hot_group(spark):
 def test_hot_group_spans_several_slices(spark):
     # one group only: the range partitioning must split it and the offsets must stitch it
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("salarium.percentile.maxGroupValues", "100")
     try:
         vals = list(range(20000))
         df = spark.createDataFrame([("x", v) for v in vals], "g string, v long")
@@ -63,6 +75,7 @@ def test_hot_group_spans_several_slices(spark):
         assert r.m == _pg_percentile(vals, 0.5) and r.q == _pg_percentile(vals, 0.37)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.unset("salarium.percentile.maxGroupValues")
 
 
 def test_lookup_join_beyond_bound_still_exact(spark):
@@ -95,7 +108,7 @@ def test_relationship_check_both_paths(spark):
     assert small == large == 3
 
 
-def test_empty_inputs(spark):
+def test_empty_inputs(spark, pct_path):
     empty = spark.createDataFrame([], "g string, v long")
     assert exact_percentiles(empty, ["g"], "v", {"m": 0.5}, stats_prefix="s_").count() == 0
     assert with_sequence(empty, ["v"], "id").count() == 0

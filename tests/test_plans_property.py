@@ -30,8 +30,13 @@ def test_sequence_property(spark, keys, parts, start):
 @SETTINGS
 @given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-50, 50))),
                      min_size=1, max_size=300),
-       p=st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0]))
-def test_percentile_property(spark, rows, p):
+       p=st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0]),
+       sliced=st.booleans())
+def test_percentile_property(spark, rows, p, sliced):
+    if sliced:
+        spark.conf.set("salarium.percentile.maxGroupValues", "0")
+    else:
+        spark.conf.unset("salarium.percentile.maxGroupValues")
     df = spark.createDataFrame(rows, "g string, v long")
     got = {r.g: r.q for r in exact_percentiles(df, ["g"], "v", {"q": p}).collect()}
     expect = {}
@@ -39,4 +44,5 @@ def test_percentile_property(spark, rows, p):
         vals = [v for gg, v in rows if gg == g and v is not None]
         if vals:
             expect[g] = _pg(vals, p)
+    spark.conf.unset("salarium.percentile.maxGroupValues")
     assert got == expect
