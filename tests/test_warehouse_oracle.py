@@ -64,3 +64,14 @@ def test_fact_rows_equal_sum_of_multiplicities(spark):
              .join(c, b.cui == c.company_id, "left")
              .select((F.coalesce(p["count"], F.lit(1)) * F.coalesce(c["count"], F.lit(1))).alias("m")))
     assert wh.fact.count() == mult.agg(F.sum("m")).first()[0]
+
+
+def test_marts_are_parquet_tables_in_the_checkpoint_folder(spark):
+    from salarium.plans.warehouse import warehouse_for
+    from salarium.session import checkpoint_dir
+    wh = warehouse_for(spark, SF)
+    root = checkpoint_dir(spark).replace("file:", "")
+    for table in (wh.loaded, wh.fact, wh.dim_persons, wh.dim_companies):
+        files = table.inputFiles()
+        assert files and all(root in f and f.endswith(".parquet") for f in files)
+    assert wh.stg.inputFiles() == wh.loaded.inputFiles()   # staging is a view over the loaded table
