@@ -75,3 +75,11 @@ def test_marts_are_parquet_tables_in_the_checkpoint_folder(spark):
         files = table.inputFiles()
         assert files and all(root in f and f.endswith(".parquet") for f in files)
     assert wh.stg.inputFiles() == wh.loaded.inputFiles()   # staging is a view over the loaded table
+
+
+def test_adapter_rows_equal_in_both_engines(spark, con):
+    from salarium.sources.fixture import RAW_COLUMNS, RAW_SQL, raw_table
+    cols = ["src_row", *RAW_COLUMNS]
+    s = sorted(tuple(r[c] for c in cols) for r in raw_table(spark, SF).select(*cols).collect())
+    o = sorted(con.execute(f"SELECT {', '.join(cols)} FROM ({RAW_SQL})").fetchall())
+    assert len(s) == 1500 and s == o
