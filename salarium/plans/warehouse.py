@@ -82,11 +82,12 @@ class Warehouse:
 
     @cached_property
     def int_persons(self) -> DataFrame:
-        return models.persons(self.stg)
+        # read by the fact's lookup and by the dimension: one distinct pass, written once
+        return self._table(models.persons(self.stg), "int_persoane_clean")
 
     @cached_property
     def int_companies(self) -> DataFrame:
-        return models.companies(self.stg)
+        return self._table(models.companies(self.stg), "int_companii_clean")
 
     @cached_property
     def fact(self) -> DataFrame:
