@@ -26,6 +26,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_queries  # noqa: E402
+
+try:  # the training-data operators are an optional subpackage
+    import corpus_pipeline
+    from salarium.llm import queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_queries = None
 from salarium.operators import analytics, anomaly, audit, cleaning, quality
 from salarium.plans.warehouse import warehouse_for
 from salarium.sources import fixture
@@ -350,9 +356,17 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    out = dict(_QUERIES)
+    if llm_queries is not None:
+        out.update(llm_queries.QUERIES)
+        out["pipeline"] = corpus_pipeline.run
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = oracle_queries.oracle_sql()
-    return {k: v for k, v in sql.items() if k in _QUERIES}
+    sql = {k: v for k, v in oracle_queries.oracle_sql().items() if k in _QUERIES}
+    if llm_queries is not None:
+        sql.update(llm_queries.ORACLE_SQL)
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
