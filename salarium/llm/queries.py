@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salarium.llm import exact_dedup, sharding
+from salarium.llm import exact_dedup, huffman, sharding, token_counts
 from salarium.llm.tables import configure
 
 
@@ -16,16 +16,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, the same on every machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_token_file(spark, sf_dir):
+    return huffman.token_file_round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op7_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), limit=2048)
+
+
 def op8_sharding(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 24)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_file": op1_token_file,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
 }
 

@@ -1,4 +1,4 @@
-"""Session settings and stored intermediate tables shared by the operators.
+"""Session settings, stored intermediate tables and worker state shared by the operators.
 
 Everything an operator reads twice is written once as a Parquet table in the folder that
 ``spark.checkpoint.dir`` names, so a lost executor costs a re-read and never a recomputation
@@ -7,10 +7,19 @@ of an upstream stage.
 
 from __future__ import annotations
 
+import sys
+import types
+import uuid
+from collections.abc import Callable
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salarium.session import write_table
+from salarium.session import checkpoint_dir
+
+# functions that run inside tasks travel with the task, so executors need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules["salarium.llm"])
 
 # Arrow batches are cut by bytes, because one text may be as long as thousands of others;
 # shuffle files of a finished query are removed at once, because later steps read its table.
@@ -28,14 +37,22 @@ def configure(spark: SparkSession) -> None:
         spark.conf.set(key, value)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/llm-{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Write ``df`` once to the shared folder and return it as read back."""
-    configure(df.sparkSession)
-    return write_table(df, f"llm-{name}")
+    spark = df.sparkSession
+    configure(spark)
+    path = table_path(spark, name)
+    df.write.option("compression", compression).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def column(df: DataFrame, name: str) -> Column:
-    """Column by exact name, also where the name holds dots or clashes only in case."""
+    """Column by exact name, also where the name holds dots."""
     return df[f"`{name}`"]
 
 
@@ -47,3 +64,11 @@ def text_of(df: DataFrame, name: str) -> Column:
 def partitions(df: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def per_process(key: str, make: Callable):
+    """What ``make`` builds, once for each Python worker and kept between its tasks."""
+    store = sys.modules.setdefault("_salarium_worker", types.ModuleType("_salarium_worker")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
