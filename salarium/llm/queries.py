@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salarium.llm import exact_dedup, huffman, sharding, token_counts
+from salarium.llm import exact_dedup, huffman, sharding, simhash_dedup, token_counts
 from salarium.llm.tables import configure
 
 
@@ -27,6 +27,10 @@ def op1_token_file(spark, sf_dir):
     return huffman.token_file_round_trip(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2)
 
 
+def op2_simhash_dedup(spark, sf_dir):
+    return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), radius=4, shingle=4, seed=42)
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -41,6 +45,7 @@ def op8_sharding(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
+    "op2_simhash_dedup": op2_simhash_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
