@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salarium.llm import exact_dedup, huffman, sharding, simhash_dedup, token_counts
+from salarium.llm import exact_dedup, huffman, mixing, quality, sharding, simhash_dedup, token_counts
 from salarium.llm.tables import configure
 
 
@@ -31,6 +31,26 @@ def op2_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), radius=4, shingle=4, seed=42)
 
 
+def op3_quality(spark, sf_dir):
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_col="quality")
+
+
+# the domain is the source's number modulo 4
+MIXING_LEVELS = {
+    "domain": "'domain' || try_cast(regexp_extract(source, '([0-9]+)$', 1) AS bigint) % 4",
+    "lang": "lang",
+    "source": "source",
+}
+MIXING_WEIGHTS = {
+    "domain": {"domain0": 2.0, "domain1": 1.0, "domain2": 1.0, "domain3": 1.0},
+    "lang": {"en": 3.0, "de": 1.0, "fr": 1.0, "es": 1.0},
+}
+
+
+def op10_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), MIXING_LEVELS, MIXING_WEIGHTS, budget_share=1.0, max_epochs=4)
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -46,9 +66,11 @@ def op8_sharding(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_quality": op3_quality,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {
