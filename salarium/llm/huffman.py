@@ -1,6 +1,6 @@
 """Token-id files: canonical length-limited Huffman codes over global id counts.
 
-Writing takes three passes. Texts are tokenised, range-partitioned and sorted by id, and the
+Writing takes three passes. Texts are range-partitioned, sorted by id and tokenised, and the
 token ids stored; the ids are counted over the whole corpus and a length-limited canonical
 code is made from the counts (package-merge; the vocabulary bounds what reaches the
 driver); the ids are packed into blocks. A block holds whole documents in order and stands
@@ -21,7 +21,6 @@ A token file is a folder with two Parquet tables:
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,20 +40,26 @@ CHECKPOINT_IDS = 128
 # ---- tokenising ------------------------------------------------------------------------
 
 
-class ChunkEncoder:
+class UnitEncoder:
     """Token ids of UTF-8 texts exactly as the tokenizers library gives them.
 
-    A byte-level pre-tokenizer never joins characters across the start of a space that
-    follows a non-space or precedes one, so a text is the sum of its chunks (a space and
-    what follows it up to the next space). Chunks are encoded by the library once and kept
-    in a bounded cache. A text where a space lies inside a run of white space goes to the
-    library whole, as do all texts of tokenizers of another kind.
+    A byte-level pre-tokenizer never joins characters across these places, so a text is the
+    sum of the units between them:
+
+    * before a space that a character other than white space follows;
+    * after an ASCII letter, before any other ASCII character;
+    * after a line feed that follows a printable ASCII character, before an ASCII letter.
+
+    Units are found and told apart with array operations (two 64-bit hashes each); every
+    different unit of a lot is looked up once in a bounded cache, and new ones are encoded by
+    the library, many joined in one text. Texts with special strings, and all texts of
+    tokenizers of another kind, go to the library whole.
     """
 
-    # a space between white space (any, over-approximated byte-wise) and white space or the end
-    INSIDE = re.compile(rb"[\x09-\x0d\x1c-\x20\x80-\xaf] (?:[\x09-\x0d\x1c-\x20\xc2\xe1\xe2\xe3]|$)")
+    LOT = 2 << 20  # bytes of text handled at once
+    JOINED = 48  # new units in one text for the library, which is slower on long ones
 
-    def __init__(self, path: str, cache_bytes: int = 48 << 20):
+    def __init__(self, path: str, cache_entries: int = 250_000):
         import json
 
         from tokenizers import Tokenizer
@@ -63,73 +68,188 @@ class ChunkEncoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
-        self.by_chunk = (
+        self.by_unit = (
             pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
             and not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding")
-            and not any(" " in a["content"] or a["lstrip"] or a["rstrip"] or a["single_word"] for a in spec["added_tokens"])
         )
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.token_bytes = np.zeros(size, np.int64)  # a byte-level token has one letter for each byte
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.token_bytes[i] = len(token)
+        self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
-        self.cache_bytes, self.held = cache_bytes, 0
+        self.cache_entries = cache_entries
         self.cache: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.letter = np.zeros(256, bool)
+        self.letter[[*range(65, 91), *range(97, 123)]] = True
+        self.printable = np.zeros(256, bool)
+        self.printable[33:127] = True
+        # first bytes of characters that are surely no white space
+        self.solid = self.printable.copy()
+        self.solid[[0xC3, *range(0xC4, 0xE1), *range(0xE4, 0xF5)]] = True
+        self.powers = []
+        for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+            up = np.cumprod(np.full(self.LOT + 1, base, np.uint64), dtype=np.uint64)
+            down = np.cumprod(np.full(self.LOT + 1, pow(base, -1, 1 << 64), np.uint64), dtype=np.uint64)
+            self.powers.append((up, down))
 
     def _library(self, texts: list[bytes]) -> list[bytes]:
         strings = [t.decode(errors="replace") for t in texts]
         encoded = self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in encoded]
 
+    # -- new units
+
+    def _joined(self, units: list[bytes], before: bytes) -> dict[bytes, bytes]:
+        """The ids of each unit, from texts of ``before + unit`` many times over; nothing if
+        the tokens don't end where the units do. ``before`` is empty or one token."""
+        texts = [before + before.join(units[at : at + self.JOINED]) for at in range(0, len(units), self.JOINED)]
+        flat = np.frombuffer(b"".join(self._library(texts)), self.dtype)
+        ends = np.cumsum(self.token_bytes[flat])
+        want = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + len(before))
+        cuts = np.searchsorted(ends, want) + 1
+        if not len(ends) or ends[-1] != want[-1] or (ends[cuts - 1] != want).any():
+            return {}
+        raw, width = flat.tobytes(), self.dtype.itemsize
+        begins = (np.concatenate([[0], cuts[:-1]]) + len(before)) * width
+        return dict(zip(units, map(raw.__getitem__, map(slice, begins.tolist(), (cuts * width).tolist()))))
+
+    def _new(self, units: list[bytes]) -> dict[bytes, bytes]:
+        spaced = [u for u in units if len(u) > 1 and u[0] == 32 and self.solid[u[1]]]
+        found = self._joined(spaced, b"") if spaced else {}
+        words = [u for u in units if u.isalpha()]  # bytes: ASCII letters; a line feed before them is one token
+        found.update(self._joined(words, b"\n") if words else {})
+        odd = [u for u in units if u not in found]
+        found.update(zip(odd, self._library(odd)))
+        return found
+
+    def _ids(self, units: list[bytes]) -> list[bytes]:
+        if len(self.cache) > self.cache_entries:  # what the next lots need moves back from the older half
+            self.cache, self.older = {}, self.cache
+        got = list(map(self.cache.get, units))
+        gaps = [i for i, x in enumerate(got) if x is None]
+        fresh = []
+        for i in gaps:
+            got[i] = self.older.get(units[i])
+            if got[i] is None:
+                fresh.append(i)
+        if fresh:
+            new = self._new([units[i] for i in fresh])
+            for i in fresh:
+                got[i] = new[units[i]]
+        self.cache.update((units[i], got[i]) for i in gaps if len(units[i]) <= 64)
+        return got
+
+    # -- texts
+
+    def _lot(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of texts of at most ``LOT`` bytes together, none with special strings."""
+        joined = b"".join(texts)
+        n = len(joined)
+        if not n:
+            return [b""] * len(texts)
+        b = np.frombuffer(joined, np.uint8)
+        letter = self.letter[b]
+        cut = np.zeros(n, bool)
+        cut[:-1] = (b[:-1] == 32) & self.solid[b[1:]]
+        cut[1:] |= letter[:-1] & ~letter[1:] & (b[1:] < 128)
+        cut[2:] |= (b[1:-1] == 10) & self.printable[b[:-2]] & letter[2:]
+        text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        text_starts = np.concatenate([[0], text_ends[:-1]])
+        cut[text_starts[text_starts < n]] = True
+        starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], n)
+        hashes = []
+        for up, down in self.powers:
+            sums = np.zeros(n + 1, np.uint64)
+            np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+            hashes.append((sums[ends] - sums[starts]) * down[starts])
+        _, first, which = np.unique(hashes[0], return_index=True, return_inverse=True)
+        if (hashes[1][first][which] != hashes[1]).any():
+            return self._library(texts)
+        units = list(map(joined.__getitem__, map(slice, starts[first].tolist(), ends[first].tolist())))
+        ids = self._ids(units)
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        begins = np.cumsum(sizes) - sizes
+        each = sizes[which]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        out = flat[np.repeat(begins[which] - upto[:-1], each) + np.arange(upto[-1])].tobytes()
+        at = upto[np.searchsorted(starts, np.append(text_starts, n))] * self.dtype.itemsize
+        return [out[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
+
+    def _long(self, text: bytes) -> bytes:
+        """A text longer than a lot, in pieces that end before a space and an ASCII letter."""
+        out, at = [], 0
+        while at < len(text):
+            end = min(len(text), at + self.LOT)
+            while end < len(text) and not (text[end] == 32 and text[end + 1 : end + 2].isalpha()):
+                end = text.rfind(b" ", at, end)
+                if end <= at:
+                    return self._library([text])[0]
+            out += self._lot([text[at:end]])
+            at = end
+        return b"".join(out)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, as little-endian integers of ``dtype``."""
-        if not self.by_chunk:
+        if not self.by_unit:
             return self._library(texts)
-        if self.held > self.cache_bytes:
-            self.cache, self.held = {}, 0
-        split: list[list[bytes] | None] = []
-        missing: set[bytes] = set()
+        out: list[bytes] = []
+        lot, size = [], 0
+
+        def flush() -> None:
+            nonlocal lot, size
+            if lot:
+                out.extend(self._lot(lot))
+            lot, size = [], 0
+
         for text in texts:
-            if b"\0" in text or self.INSIDE.search(text):
-                split.append(None)
+            special = any(s in text for s in self.specials)
+            if special or len(text) > self.LOT:
+                flush()
+                out.append(self._library([text])[0] if special else self._long(text))
                 continue
-            chunks = text.split(b" ")
-            chunks[0] = b"\0" + chunks[0]  # marks the chunk at the start, which has no space before it
-            split.append(chunks)
-            missing.update(chunks)
-        missing.difference_update(self.cache)
-        new = list(missing)
-        found = self._library([c[1:] if c[:1] == b"\0" else b" " + c for c in new])
-        self.cache.update(zip(new, found))
-        self.held += sum(map(len, new)) + sum(map(len, found)) + 80 * len(new)
-        get = self.cache.__getitem__
-        return [b"".join(map(get, c)) if c is not None else self._library([t])[0] for t, c in zip(texts, split)]
-
-
-def _small_lots(values: list[bytes], most: int = 4 << 20) -> Iterator[list[bytes]]:
-    lot, size = [], 0
-    for v in values:
-        lot.append(v)
-        size += len(v)
-        if size >= most:
-            yield lot
-            lot, size = [], 0
-    if lot:
-        yield lot
+            if size + len(text) > self.LOT:
+                flush()
+            lot.append(text)
+            size += len(text)
+        flush()
+        return out
+
 
+def _ordered_ids(docs: DataFrame, vocabulary: str, end_id: int | None, text_col: str, id_col: str) -> tuple[DataFrame, str]:
+    """Token ids in ascending id order, and their numpy type: (part, seq, first, id, ids).
 
-def tokenised(docs: DataFrame, vocabulary: str, end_id: int | None, text_col: str, id_col: str) -> tuple[DataFrame, str]:
-    """(id, ids) with ids as little-endian integers, and their numpy type."""
-    dtype = ChunkEncoder(vocabulary).dtype.str
+    Texts are sorted before they are tokenised, as finding the range boundaries reads its
+    input twice. Each row has its part, its place and the ids before it in the part, so
+    later reads may cut and group the stored files as they like.
+    """
+    dtype = UnitEncoder(vocabulary).dtype
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = per_process(f"chunks {vocabulary}", lambda: ChunkEncoder(vocabulary))
-        end = b"" if end_id is None else np.array([end_id], encoder.dtype).tobytes()
+        encoder = per_process(f"units {vocabulary}", lambda: UnitEncoder(vocabulary))
+        end = b"" if end_id is None else np.array([end_id], dtype).tobytes()
+        part, seq, first = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
+            n = batch.num_rows
             texts = batch.column(1).cast(pa.binary()).to_pylist()
-            ids = [x + end for lot in _small_lots(texts) for x in encoder.encode(lot)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
+            ids = [x + end for x in encoder.encode(texts)]
+            ends = first + np.cumsum(np.fromiter(map(len, ids), np.int64, n) // dtype.itemsize)
+            firsts = np.concatenate([[first], ends])[:n]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(seq, seq + n)), pa.array(firsts, pa.int64()),
+                 batch.column(0), pa.array(ids, pa.binary())], ["part", "seq", "first", "id", "ids"])
+            seq, first = seq + n, int(ends[-1]) if n else first
 
     read = docs.select(column(docs, id_col).alias("id"), text_of(docs, text_col).alias("text"))
-    schema = T.StructType([T.StructField("id", read.schema["id"].dataType), T.StructField("ids", T.BinaryType())])
-    return read.mapInArrow(run, schema), dtype
+    ordered = read.repartitionByRange(partitions(docs), "id").sortWithinPartitions("id", "text")
+    schema = T.StructType([
+        T.StructField("part", T.IntegerType()), T.StructField("seq", T.LongType()), T.StructField("first", T.LongType()),
+        T.StructField("id", read.schema["id"].dataType), T.StructField("ids", T.BinaryType()),
+    ])
+    return ordered.mapInArrow(run, schema), dtype.str
 
 
 # ---- the code --------------------------------------------------------------------------
@@ -245,25 +365,6 @@ def _counts(tokens: DataFrame, dtype: str) -> DataFrame:
     return tokens.select("ids").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
 
 
-def _placed(ordered: DataFrame, dtype: str) -> DataFrame:
-    """Adds each row's part, place and ids before it in its part: later reads may cut and
-    group the stored files as they like."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seq, first = TaskContext.get().partitionId(), 0, 0
-        for batch in batches:
-            n = batch.num_rows
-            counts = np.fromiter((len(x) for x in batch.column(1).to_pylist()), np.int64, n) // np.dtype(dtype).itemsize
-            ends = first + np.cumsum(counts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(seq, seq + n)), pa.array(ends - counts), *batch.columns],
-                ["part", "seq", "first", "id", "ids"])
-            seq, first = seq + n, int(ends[-1]) if n else first
-
-    place = [T.StructField("part", T.IntegerType()), T.StructField("seq", T.LongType()), T.StructField("first", T.LongType())]
-    return ordered.mapInArrow(run, T.StructType(place + ordered.schema.fields))
-
-
 def _blocks(tokens: DataFrame, ids: np.ndarray, bits: np.ndarray, dtype: str, block_ids: int) -> DataFrame:
     key_type = tokens.schema["id"].dataType
 
@@ -315,14 +416,13 @@ def write_token_file(
     """Write the token ids of ``docs`` as a token file, documents in ascending id order.
 
     ``end_id`` is appended to each document. A null text is the empty text. A null id comes
-    first; rows that repeat an id are ordered by their token ids. Other columns are not
+    first; rows that repeat an id are ordered by text. Other columns are not
     read. An empty table gives a file without documents.
     """
     spark = docs.sparkSession
     configure(spark)
-    ids, dtype = tokenised(docs, vocabulary, end_id, text_col, id_col)
-    ordered = ids.repartitionByRange(partitions(docs), "id").sortWithinPartitions("id", "ids")
-    tokens = stored(_placed(ordered, dtype), "token-ids")
+    ordered, dtype = _ordered_ids(docs, vocabulary, end_id, text_col, id_col)
+    tokens = stored(ordered, "token-ids")
     counted = _counts(tokens, dtype).collect()  # at most one row per vocabulary entry
     seen = np.array([r["token"] for r in counted], np.int64)
     bits = code_lengths(np.array([r["n"] for r in counted], np.int64), max_bits)

@@ -19,12 +19,19 @@ def library(texts):
     return [e.ids for e in Tokenizer.from_file(BYTES).encode_batch(texts, add_special_tokens=False)]
 
 
-def test_chunks_equal_to_the_library():
-    encoder = huffman.ChunkEncoder(BYTES, cache_bytes=500)
-    assert encoder.by_chunk
-    for _ in range(2):
-        got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode([t.encode() for t in TEXTS])]
-        assert got == library(TEXTS)
+@pytest.mark.parametrize("lot", [None, 40])
+def test_units_equal_to_the_library(monkeypatch, lot):
+    if lot:  # every text is cut into pieces
+        monkeypatch.setattr(huffman.UnitEncoder, "LOT", lot)
+    pieces = ["a", "B", " ", "  ", "\n", "\t", ",", ".", "'s", "!", "1", "é", "\xa0", "<|endoftext|>", ". ", ", ", ".\n", "\r\n", "ll", "\x1c", "\0"]
+    rng = np.random.default_rng(4)
+    texts = TEXTS + ["".join(rng.choice(pieces, int(n))) for n in rng.integers(0, 40, 4000)]
+    encoder = huffman.UnitEncoder(BYTES, cache_entries=200)
+    assert encoder.by_unit
+    want = library(texts)
+    for _ in range(3):
+        got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode([t.encode() for t in texts])]
+        assert got == want
 
 
 def huffman_cost(counts):
@@ -72,7 +79,7 @@ def test_pack_round_trip(n):
 def expected(rows):
     out, start = [], 0
     ids = {t: x + [2] for t, x in zip({t for _, t in rows}, library([t or "" for t in {t for _, t in rows}]))}
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, np.array(ids[r[1]], "<u2").tobytes())):
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, (r[1] or "").encode())):
         out.append((i, start, len(ids[t]), zlib.crc32(np.array(ids[t], "<u4").tobytes())))
         start += len(ids[t])
     return out
