@@ -8,9 +8,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from salarium.llm import decontaminate, huffman, mixing, quality, simhash_dedup
+from salarium.llm.queries import MIXING_LEVELS, MIXING_WEIGHTS, vocabulary
 from salarium.llm.tables import configure, stored
 
-STAGES: list = []
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), label_col="quality")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each SimHash group."""
+    return simhash_dedup.drop_near_duplicates(docs, radius=4, shingle=4)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the target weights of their sources take them."""
+    return mixing.mixed_documents(docs, MIXING_LEVELS, MIXING_WEIGHTS, budget_share=1.0, max_epochs=4)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token file of the mixed corpus, as read back: one row per document."""
+    return huffman.token_file_round_trip(docs, vocabulary("byte_bpe_50k.json"), end_id=2)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("SimHash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing sources to target weights", mix_sources),
+    ("token-ID / binary output", write_tokens),
+]
 
 # SQL can express neither the trained classifier nor the SimHash groups: see tests/llm
 ORACLE_SQL = None
@@ -20,8 +54,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages to ``documents``."""
     configure(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    for _, stage in STAGES[-1:]:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), "pipeline")
+    return STAGES[-1][1](spark, docs, sf_dir)
