@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salarium.llm import decontaminate, exact_dedup, huffman, mixing, quality, sharding, simhash_dedup, token_counts
+from salarium.llm import decontaminate, exact_dedup, huffman, license_scan, mixing, quality, sharding, simhash_dedup, token_counts
 from salarium.llm.tables import configure
 
 
@@ -51,6 +51,10 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), MIXING_LEVELS, MIXING_WEIGHTS, budget_share=1.0, max_epochs=4)
 
 
+def op4_license_scan(spark, sf_dir):
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark, sf_dir):
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
     "op2_simhash_dedup": op2_simhash_dedup,
     "op3_quality": op3_quality,
+    "op4_license_scan": op4_license_scan,
     "op5_decontamination": op5_decontamination,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
