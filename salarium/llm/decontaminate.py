@@ -36,15 +36,18 @@ _LANES = 0x0001000100010001
 
 def words_of(text: Column) -> Column:
     """Lower-cased runs of letters and digits, in order."""
-    spaced = F.btrim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
+    return F.array_remove(F.split(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), " "), "")
+
+
+def _run_from(words: str, length: int):
+    # by index: slice() would copy the whole array for each shingle
+    return lambda word, i: F.xxhash64(word, *[F.get(words, i + j) for j in range(1, length)])
 
 
 def shingles_of(words: str, length: int) -> Column:
     """Hash of each run of ``length`` words, in order; empty for fewer words."""
-    last = F.size(words) - F.lit(length - 1)
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.xxhash64(F.slice(words, i, length)))).otherwise(
-        F.array().cast("array<bigint>"))
+    starts = F.slice(words, 1, F.greatest(F.size(words) - (length - 1), F.lit(0)))
+    return F.transform(starts, _run_from(words, length))
 
 
 def _add_lanes(j: int):
@@ -136,14 +139,16 @@ def contaminated(
 def _matches(docs: DataFrame, items: DataFrame, k: int, threshold: float, radius: int) -> DataFrame:
     """(id, item, start, similarity, distance) for items whose shingles are ``k`` words long."""
     hashed = docs.select("id", F.size("words").alias("doc_words"), shingles_of("words", k).alias("hashes"))
-    each = hashed.select("id", "doc_words", "hashes", F.posexplode("hashes").alias("pos", "h"))
+    # outer: for a plain explode Spark adds a filter on the array's size, with the words' pattern inside its loop
+    each = hashed.select("id", "doc_words", "hashes", F.posexplode_outer("hashes").alias("pos", "h"))
     sizes = items.select("n_words", F.explode("hashes").alias("item_h")).groupBy("item_h").agg(F.collect_set("n_words").alias("sizes"))
     shared = each.join(F.broadcast(sizes), F.col("h") == F.col("item_h"))
     shared = shared.select("id", "doc_words", "hashes", "pos", F.explode("sizes").alias("n_words"))
     start = F.greatest(F.lit(0), F.least(F.col("pos"), F.col("doc_words") - F.col("n_words")))
-    windows = shared.select("id", "n_words", start.alias("start"), F.slice("hashes", start + 1, F.col("n_words") - (k - 1)).alias("window"))
-    windows = with_simhash(windows, "window", "fp").withColumn("cut", F.explode(_blocks("fp", radius)))
-    windows = windows.select("*", "cut.block", "cut.value").drop("cut")
+    windows = stored(shared.select(
+        "id", "n_words", start.alias("start"), F.slice("hashes", start + 1, F.col("n_words") - (k - 1)).alias("window")), "windows")
+    windows = stored(with_simhash(windows, "window", "fp"), "window-fingerprints")
+    windows = windows.withColumn("cut", F.explode(_blocks("fp", radius))).select("*", "cut.block", "cut.value").drop("cut")
 
     marked = stored(with_simhash(items, "hashes", "item_fp"), "item-fingerprints")
     index = marked.select("item_key", "item_fp", F.col("n_words").alias("item_words"), F.explode(_blocks("item_fp", radius)).alias("cut"))
