@@ -71,9 +71,8 @@ NEAR_MISSES = [
 
 def grams_of(words: str) -> Column:
     """Single words and pairs, each once."""
-    n = F.size(words)
-    pairs = F.when(n >= 2, F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, 2), " "))).otherwise(
-        F.array().cast("array<string>"))
+    firsts = F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
+    pairs = F.transform(firsts, lambda word, i: F.concat_ws(" ", word, F.get(words, i + 1)))
     return F.array_distinct(F.concat(F.col(words), pairs))
 
 
@@ -166,7 +165,8 @@ def scan(
     lines = paragraphs(docs, text_col, id_col).withColumn("line_key", F.xxhash64(F.array_join("words", " ")))
     classes, weights, intercepts, temperature = train(lines, known, sample_rows)
 
-    found = lines.select("id", "paragraph", "line_key", F.explode(grams_of("words")).alias("found")).join(
+    # outer: for a plain explode Spark adds a filter on the array's size, with the words' pattern inside its loop
+    found = lines.select("id", "paragraph", "line_key", F.explode_outer(grams_of("words")).alias("found")).join(
         F.broadcast(weights), F.col("found") == F.col("gram"))
     sums = found.groupBy("id", "paragraph", "line_key").agg(*[F.sum(F.element_at("w", i + 1)).alias(f"m{i}") for i in range(len(classes))])
     margins = F.array(*[(F.col(f"m{i}") + F.lit(b)) / temperature for i, b in enumerate(intercepts)])
