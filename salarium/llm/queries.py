@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salarium.llm import decontaminate, exact_dedup, huffman, license_scan, mixing, quality, sharding, simhash_dedup, token_counts
+from salarium.llm import decontaminate, exact_dedup, huffman, license_scan, mixing, quality, sharding, simhash_dedup, suffix_dedup, token_counts
 from salarium.llm.tables import configure
 
 
@@ -47,6 +47,10 @@ MIXING_WEIGHTS = {
 }
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeats(table(spark, sf_dir, "documents"), length=100)
+
+
 def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), MIXING_LEVELS, MIXING_WEIGHTS, budget_share=1.0, max_epochs=4)
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_exact_dedup": op6_exact_dedup,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
 }
 
