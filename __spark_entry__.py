@@ -231,7 +231,7 @@ def q_fact_slice(spark, sf_dir):
 
 
 def q_anomaly_peer_stats(spark, sf_dir):
-    by_company, by_year = anomaly.split_levels(_wh(spark, sf_dir).slice_stats(None, None)[0])
+    by_company, by_year, _ = _wh(spark, sf_dir).slice_stats(None, None)
     j = by_company.join(by_year, "year", "left")
     return j.select("year", "company_id", "mean", F.round("std", 6).alias("std"), "mean_y",
                     F.round("std_y", 6).alias("std_y"))

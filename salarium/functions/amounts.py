@@ -141,15 +141,22 @@ def split_base_variable_stages(df: DataFrame, suma: str, variabila: str) -> Data
 # ---- P8 -----------------------------------------------------------------------------------
 
 
+def cast_or_fail(c: Column, kind: str) -> Column:
+    """``c`` as ``kind``; a text that is none is an error whatever the ANSI setting is."""
+    value = c.try_cast(kind)
+    failed = F.raise_error(F.concat(F.lit(f"not a valid {kind}: "), c.cast("string"))).cast(kind)
+    return F.when(c.isNotNull() & value.isNull(), failed).otherwise(value)
+
+
 def digits_to_int(c: Column) -> Column:
     """Delete every non-digit, '' -> 0, as bigint (sign and decimal point are lost)."""
     d = _digits(F.coalesce(c, F.lit("")))
-    return F.when(d == F.lit(""), F.lit("0")).otherwise(d).cast("bigint")
+    return cast_or_fail(F.when(d == F.lit(""), F.lit("0")).otherwise(d), "bigint")
 
 
 def digits_to_int_stages(df: DataFrame, pairs: dict[str, str]) -> DataFrame:
     """P8 on a table: ``{source column: output column}``, the digit text computed once."""
     df = df.withColumns({f"_d8_{out}": _digits(F.coalesce(F.col(src), F.lit(""))) for src, out in pairs.items()})
-    df = df.withColumns({out: F.when(F.col(f"_d8_{out}") == F.lit(""), F.lit("0"))
-                         .otherwise(F.col(f"_d8_{out}")).cast("bigint") for out in pairs.values()})
+    df = df.withColumns({out: cast_or_fail(F.when(F.col(f"_d8_{out}") == F.lit(""), F.lit("0"))
+                         .otherwise(F.col(f"_d8_{out}")), "bigint") for out in pairs.values()})
     return df.drop(*[f"_d8_{out}" for out in pairs.values()])

@@ -7,6 +7,7 @@ per-partition offsets), never with a single-partition window.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,7 +97,10 @@ def review_run(flagged: DataFrame, run_id: str, source_table: str, candidates_pa
     cands = candidates(flagged, run_id, source_table, existing_c, with_timestamp=True)
     cand_out = cands.select(*CANDIDATE_COLUMNS, "created_at")
     append(cand_out, candidates_path)
-    stored = spark.read.parquet(candidates_path).where(F.col("run_id") == run_id)
+    # a repeated run id must not bring back the candidates of the earlier run
+    first_new = _max_id(existing_c, "candidate_id") + 1
+    stored = spark.read.parquet(candidates_path).where(
+        (F.col("run_id") == run_id) & (F.col("candidate_id") >= first_new))
     revs = reviews(stored.join(cands.select("candidate_id", "suma_clean", "variabila_clean"), "candidate_id"),
                    existing_r, with_timestamp=True)
     append(revs, reviews_path)
@@ -106,5 +110,7 @@ def review_run(flagged: DataFrame, run_id: str, source_table: str, candidates_pa
 def _read_if_exists(spark, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first run: nothing stored yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":  # first run; any other failure must not restart the ids
+            return None
+        raise

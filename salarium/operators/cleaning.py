@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from salarium.functions.amounts import clean_amount_stages, digits_to_int_stages, split_base_variable_stages
 from salarium.functions.text import blank_placeholder, clean_cell, is_blank, seq_no_text
-from salarium.plans.joins import bounded
+from salarium.plans.joins import bounded, hinted
 
 # Normalised source headers -> short column names.
 SOURCE_RENAMES = {
@@ -46,10 +46,10 @@ def position(df: DataFrame):
 
 
 def normalize_column_name(name: str) -> str:
-    """Drop non-ASCII, lowercase, space/LF/CR -> '_', strip '_' at the ends, collapse '_+'."""
-    ascii_only = name.encode("ascii", "ignore").decode()
-    s = ascii_only.lower().replace(" ", "_").replace("\n", "_").replace("\r", "_").strip("_")
-    return re.sub(r"_+", "_", s)
+    """The lower-case ASCII words of a header cell (separated by blanks, line ends or
+    underscores), joined by one underscore each."""
+    words = re.split(r"[ \r\n_]+", "".join(ch for ch in name if ch.isascii()))
+    return "_".join(w.lower() for w in words if w)
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -137,10 +137,8 @@ def infer_seq_no(df: DataFrame) -> DataFrame:
     """
     if "nr_crt" not in df.columns or "cui" not in df.columns:
         return df
-    mapping, small = bounded(seq_no_mapping(df))
-    right = mapping.select(F.col("cui").alias("_lk_cui"), "_mapped_nr_crt")
-    if small:
-        right = F.broadcast(right)
+    mapping, fits = bounded(seq_no_mapping(df))
+    right = hinted(mapping.select(F.col("cui").alias("_lk_cui"), "_mapped_nr_crt"), fits)
     joined = df.join(right, df["cui"].eqNullSafe(right["_lk_cui"]), "left")
     filled = F.when(is_blank(F.col("nr_crt")), F.coalesce(F.col("_mapped_nr_crt"), F.lit(""))).otherwise(F.col("nr_crt"))
     return joined.withColumn("nr_crt", filled).select(*df.columns)

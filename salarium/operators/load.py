@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salarium.operators.cleaning import position_cols
+from salarium.functions.amounts import cast_or_fail
 from salarium.plans.sequence import TAGS, number_tagged, with_sequence
 
 # Column order of the bulk load (fixed by the load statement of the reference).
@@ -33,7 +34,7 @@ def as_loaded(clean: DataFrame, with_timestamp: bool = False, counted: DataFrame
     order = position_cols(clean)
     typed = clean.select(
         *order, *(TAGS if tagged else []),
-        *[(F.nullif(F.col(c).cast("string"), F.lit("")).cast(INT_COLUMNS[c]) if c in INT_COLUMNS
+        *[(cast_or_fail(F.nullif(F.col(c).cast("string"), F.lit("")), INT_COLUMNS[c]) if c in INT_COLUMNS
            else F.nullif(F.col(c), F.lit(""))).alias(c) for c in LOAD_COLUMNS])
     numbered = number_tagged(typed, "id", counted=counted) if tagged else with_sequence(typed, order, "id")
     loaded = numbered.select("id", *LOAD_COLUMNS)

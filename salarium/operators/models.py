@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salarium.plans.joins import bounded
+from salarium.plans.joins import bounded, hinted
 
 DEFAULT_YEAR = 2025
 
@@ -98,16 +98,14 @@ def fact(int_base: DataFrame, int_persons: DataFrame, int_companies: DataFrame,
 def _left_lookup(rows: DataFrame, key: str, lookup: DataFrame, lookup_key: str) -> DataFrame:
     """Left join of ``rows`` with a lookup keyed by ``lookup_key`` (duplicates multiply rows).
 
-    The lookup is written once and broadcast when it fits the size bound, so ``rows`` is not
-    shuffled. Beyond the bound the join is a sort-merge join; rows whose key is null can
-    never match, so they bypass it (they would all hash to one reducer), and AQE splits
-    any other hot key.
+    Rows whose key is null can never match, so they bypass the join (they would all hash to
+    one reducer). The lookup is written once and gets a broadcast hint when it fits the size
+    bound; without the hint AQE splits hot keys of the sort-merge join. Either way the plan
+    above and the rows are the same.
     """
-    table, small = bounded(lookup)
+    written, fits = bounded(lookup)
+    table = hinted(written, fits)
     extra = [c for c in table.columns if c != lookup_key]
-    if small:
-        out = rows.join(F.broadcast(table), F.col(key) == F.col(lookup_key), "left")
-        return out.drop(lookup_key)
     matched = rows.where(F.col(key).isNotNull()).join(table, F.col(key) == F.col(lookup_key), "left")
     unmatched = rows.where(F.col(key).isNull()).select(
         "*", *[F.lit(None).cast(table.schema[c].dataType).alias(c) for c in extra])

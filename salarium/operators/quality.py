@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from salarium.functions.text import is_blank, py_strip
 from salarium.operators.cleaning import BOOKKEEPING, position, position_cols
-from salarium.plans.joins import bounded
+from salarium.plans.joins import bounded, hinted
 from salarium.session import materialize
 
 CRITICAL_COLUMNS = ["autoritate_tutelara", "intreprindere", "cui", "personal", "calitate_membru"]
@@ -43,20 +43,15 @@ def expect_relationship(child: DataFrame, child_model: str, fk: str, parent: Dat
                         parent_model: str, pk: str) -> DataFrame:
     """V3: child rows whose non-null key has no parent row.
 
-    The distinct parent keys are size-checked: under the bound they are broadcast and the
-    anti join runs map-side on the child (no shuffle of child rows). Beyond it the child
-    keys are counted first and materialised (partial aggregation: a key held by a third of
-    the rows becomes one row per partition), so only distinct keys are shuffled for the
-    sort-merge anti join; materialising also stops the optimizer from pushing the anti
-    join back below the aggregation.
+    The child keys are counted first and materialised (partial aggregation: a key held by a
+    third of the rows becomes one row per partition), so only distinct keys meet the distinct
+    parent keys; materialising also stops the optimizer from pushing the anti join back
+    below the aggregation. The parent keys get a broadcast hint when they fit the bound.
     """
-    parent_keys, small = bounded(
+    parent_keys, fits = bounded(
         parent.select(F.col(pk).alias("_parent_key")).where(F.col("_parent_key").isNotNull()).distinct())
-    child_keys = child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_rows"))
-    if small:
-        parent_keys = F.broadcast(parent_keys)
-    else:
-        child_keys = materialize(child_keys)
+    parent_keys = hinted(parent_keys, fits)
+    child_keys = materialize(child.where(F.col(fk).isNotNull()).groupBy(fk).agg(F.count(F.lit(1)).alias("_rows")))
     orphans = child_keys.join(parent_keys, F.col(fk) == F.col("_parent_key"), "left_anti")
     return orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("failures")).select(
         F.lit(f"relationships_{child_model}_{fk}__{parent_model}_{pk}").alias("check_name"), "failures")
@@ -76,7 +71,7 @@ def require_columns(df: DataFrame, columns: list[str] = CRITICAL_COLUMNS) -> lis
     """V5: names of required columns that are absent; raises when any is missing."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"Missing critical columns: {missing}")
+        raise ValueError(f"required columns are absent: {', '.join(missing)}")
     return missing
 
 

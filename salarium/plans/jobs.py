@@ -48,6 +48,7 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
         mark = now
 
     raw = files.read_raw(spark, raw_csv)
+    quality.require_columns(raw)  # before anything is written
     bad_lines = files.count_malformed(spark, raw_csv)
     wh = Warehouse(raw, year=year)
 

@@ -48,34 +48,15 @@ def _row_bytes(df: DataFrame) -> Column:
 def bounded(small: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """Materialise ``small``; return it with whether it fits the broadcast bounds.
 
-    Row count and estimated bytes are checked together, over at most ``max_rows + 1`` rows,
-    in one small job on the materialised table.
+    Row count and estimated bytes of the whole written table are checked in one aggregation.
     """
     rows_bound = max_broadcast_rows(small) if max_rows is None else max_rows
     bytes_bound = _conf_int(small, _BYTES_KEY, DEFAULT_MAX_BROADCAST_BYTES) if max_bytes is None else max_bytes
     small = write_table(small, "lookup")
-    n, size = small.limit(rows_bound + 1).agg(F.count(F.lit(1)), F.sum(_row_bytes(small))).first()
+    n, size = small.agg(F.count(F.lit(1)), F.sum(_row_bytes(small))).first()
     return small, n <= rows_bound and (size or 0) <= bytes_bound
 
 
-def checked_broadcast(small: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Materialise ``small`` and return it broadcast-hinted iff it fits the bounds."""
-    small, ok = bounded(small, max_rows)
-    return F.broadcast(small) if ok else small
-
-
-def lookup_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "left",
-                null_safe: bool = False, max_rows: int | None = None) -> DataFrame:
-    """``big`` joined with a derived lookup table on equal ``on`` columns.
-
-    The lookup's key columns are not repeated in the output. ``null_safe`` makes null keys
-    match each other (a dictionary lookup semantics); otherwise null keys never match.
-    """
-    renamed = small.select(*[F.col(c).alias(f"_lk_{c}") if c in on else F.col(c) for c in small.columns])
-    right = checked_broadcast(renamed, max_rows)
-    cond: Column | None = None
-    for c in on:
-        term = big[c].eqNullSafe(right[f"_lk_{c}"]) if null_safe else big[c] == right[f"_lk_{c}"]
-        cond = term if cond is None else cond & term
-    out = big.join(right, cond, how)
-    return out.drop(*[f"_lk_{c}" for c in on])
+def hinted(table: DataFrame, fits: bool) -> DataFrame:
+    """``table`` with a broadcast hint if it fits the bounds; the join itself stays the same."""
+    return F.broadcast(table) if fits else table

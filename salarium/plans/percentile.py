@@ -1,22 +1,15 @@
 """Exact ``PERCENTILE_CONT`` per group, distributed even for a group holding most rows.
 
 First ``(group, value) -> count`` is aggregated (partial aggregation, so a hot group spreads
-over all reducers) and written once. Then the widest group decides the path:
-
-* **per group** (every group has at most ``salarium.percentile.maxGroupValues`` distinct
-  values, default 1,000,000 — a proven bound on what one task holds): one aggregation
-  collects each group's sorted (value, count) list, and a running count over it finds the
-  ranks around ``(n - 1) * p``;
-* **sliced** (a wider group, e.g. one holding a third of all rows): the pairs are
-  range-partitioned on (group, value) and written with the partition id as a column, so a
-  group spans several slices. Running counts inside each (partition, group) slice plus the
-  prefix sums of the slice totals (at most #partitions rows per group) locate the ranks,
-  and only the pairs holding them (at most two per percentile and group) are kept.
+over all reducers). The pairs are range-partitioned on (group, value) and written with the
+partition id as a column, so a group of any width spans as many slices as it needs. Running
+counts inside each (partition, group) slice plus the prefix sums of the slice totals (at
+most #partitions rows per group) locate the ranks, and only the pairs holding them (at most
+two per percentile and group) are kept. The plan is the same at every size.
 
 Spark's built-in ``percentile`` would merge a group's whole value->count map in one task
-with no bound. Both paths interpolate as PostgreSQL does,
-``lo + (pos - floor(pos)) * (hi - lo)``, so they give identical results, and both yield the
-group's count, min, max and sum, so callers need no second aggregation.
+with no bound. Interpolation follows PostgreSQL, ``lo + (pos - floor(pos)) * (hi - lo)``,
+and the group's count, min, max and sum come along, so callers need no second aggregation.
 """
 
 from __future__ import annotations
@@ -27,18 +20,6 @@ from pyspark.sql import functions as F
 from salarium.session import write_table
 
 
-DEFAULT_MAX_GROUP_VALUES = 1_000_000
-_MAX_GROUP_VALUES_KEY = "salarium.percentile.maxGroupValues"
-
-
-def _max_group_values(df: DataFrame) -> int:
-    try:
-        v = df.sparkSession.conf.get(_MAX_GROUP_VALUES_KEY)
-    except Exception:
-        v = None
-    return int(v) if v else DEFAULT_MAX_GROUP_VALUES
-
-
 def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
                       probs: dict[str, float], stats_prefix: str | None = None,
                       weight_col: str | None = None) -> DataFrame:
@@ -54,13 +35,7 @@ def exact_percentiles(df: DataFrame, group_cols: list[str], value_col: str,
     g = list(group_cols)
     v = value_col
     weight = F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)
-    counts = write_table(df.where(F.col(v).isNotNull()).groupBy(*g, v).agg(weight.alias("_pc_n")),
-                         "percentile_counts")
-    # the largest number of distinct values of one group decides the path: under the bound a
-    # group's sorted (value, count) list fits one task; beyond it the slices spread it
-    widest = counts.groupBy(*g).count().agg(F.max("count")).first()[0] or 0
-    if widest <= _max_group_values(df):
-        return _per_group(counts, g, v, probs, stats_prefix)
+    counts = df.where(F.col(v).isNotNull()).groupBy(*g, v).agg(weight.alias("_pc_n"))
     return _sliced(counts, g, v, probs, stats_prefix)
 
 
@@ -69,39 +44,9 @@ def _interpolate(lo, hi, frac):
     return lo + frac * (hi - lo)
 
 
-def _per_group(counts: DataFrame, g: list[str], v: str, probs: dict[str, float],
-               stats_prefix: str | None) -> DataFrame:
-    """Groups with a bounded number of distinct values: one aggregation collects each
-    group's sorted (value, count) list; the ranks around ``(n - 1) * p`` are found with a
-    running count over that list."""
-    grouped = counts.groupBy(*g).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(v).alias("v"), F.col("_pc_n").alias("n")))).alias("_pc_list"),
-        F.sum("_pc_n").alias("_pc_total"), F.min(v).alias("_pc_min"), F.max(v).alias("_pc_max"),
-        F.sum(F.col(v) * F.col("_pc_n")).alias("_pc_sum"))
-
-    def value_at(rank):
-        # first list entry whose running count passes ``rank`` (0-based)
-        init = F.struct(F.lit(0).cast("long").alias("upto"), F.lit(None).cast(counts.schema[v].dataType).alias("found"))
-        step = F.aggregate(
-            "_pc_list", init,
-            lambda acc, x: F.struct(
-                (acc["upto"] + x["n"]).alias("upto"),
-                F.when(acc["found"].isNull() & (acc["upto"] + x["n"] > rank), x["v"])
-                 .otherwise(acc["found"]).alias("found")))
-        return step["found"]
-
-    outs = []
-    for name, p in probs.items():
-        pos = (F.col("_pc_total") - 1).cast("double") * F.lit(float(p))
-        outs.append(_interpolate(value_at(F.floor(pos)), value_at(F.ceil(pos)), pos - F.floor(pos)).alias(name))
-    if stats_prefix is not None:
-        outs += [F.col(c).alias(f"{stats_prefix}{c[len('_pc_'):]}") for c in ["_pc_total", "_pc_min", "_pc_max", "_pc_sum"]]
-    return grouped.select(*g, *outs)
-
-
 def _sliced(counts: DataFrame, g: list[str], v: str, probs: dict[str, float],
             stats_prefix: str | None) -> DataFrame:
-    """Groups too wide for one task: range slices, running counts per slice, slice offsets."""
+    """Range slices, running counts per slice, slice offsets."""
     order = [F.col(c).asc_nulls_first() for c in g] + [F.col(v).asc()]
     sliced = write_table(counts.repartitionByRange(*order).withColumn("_pc_part", F.spark_partition_id()),
                          "percentile_slices")

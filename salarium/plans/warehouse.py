@@ -111,7 +111,7 @@ class Warehouse:
     def review_slice(self, year: int | None = None, limit: int | None = None) -> DataFrame:
         return anomaly.fact_slice(self.fact, year, limit)
 
-    def slice_stats(self, year: int | None = None, limit: int | None = None) -> tuple[DataFrame, bool]:
+    def slice_stats(self, year: int | None = None, limit: int | None = None) -> tuple[DataFrame, DataFrame, bool]:
         """Peer statistics of one review slice, written once and shared by its queries."""
         key = ("stats", year, limit)
         if key not in self._runs:

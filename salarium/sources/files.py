@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from salarium.functions.text import na_token_blank
-from salarium.operators.cleaning import BOOKKEEPING, normalize_columns, rename_source
+from salarium.operators.cleaning import BOOKKEEPING, POSITION, normalize_columns, rename_source
 
 BAD = "_bad"
 # RFC 4180 quoting as the reference's CSV files use it: a quote inside a quoted field is
@@ -103,12 +103,18 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
 
 def write_clean(df: DataFrame, path: str) -> None:
     """Persist the cleaned table as CSV with a header (UTF-8)."""
-    df.drop(*BOOKKEEPING).write.mode("overwrite").options(**CSV_WRITE).option("header", True).csv(path)
+    _in_file_order(df).write.mode("overwrite").options(**CSV_WRITE).option("header", True).csv(path)
+
+
+def _in_file_order(df: DataFrame) -> DataFrame:
+    """``df`` sorted by its place in the input, where it has one, without the bookkeeping."""
+    order = [c for c in POSITION if c in df.columns]
+    return (df.orderBy(*order) if order else df).drop(*BOOKKEEPING)
 
 
 def write_validated(df: DataFrame, path: str) -> None:
     """Every field quoted, '\\n' line ends."""
-    (df.drop(*BOOKKEEPING).write.mode("overwrite").options(**{**CSV_WRITE, "emptyValue": '""'})
+    (_in_file_order(df).write.mode("overwrite").options(**{**CSV_WRITE, "emptyValue": '""'})
        .option("header", True).option("quoteAll", True).option("lineSep", "\n").csv(path))
 
 
@@ -138,7 +144,7 @@ def read_json_records(spark: SparkSession, path: str, schema: StructType | str |
         reader = reader.schema(schema)
     df = reader.json(path)
     if df.isEmpty():
-        raise ValueError("No data returned from API")
+        raise ValueError(f"no record landed at {path}")
     return df
 
 

@@ -101,5 +101,5 @@ def test_required_columns_fail_the_run(spark):
     import pytest
     from salarium.operators.quality import quality_report
     df = spark.createDataFrame([(1, "x")], "src_row long, personal string")
-    with pytest.raises(ValueError, match="Missing critical columns"):
+    with pytest.raises(ValueError, match="required columns are absent"):
         quality_report(df)

@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from salarium.plans.joins import bounded, lookup_join
+from salarium.plans.joins import bounded
 from salarium.plans.percentile import exact_percentiles
 from salarium.plans.sequence import with_sequence
 
@@ -37,15 +37,7 @@ def test_sequence_descending_with_ties(spark):
 import pytest
 
 
-@pytest.fixture(params=["per_group", "sliced"])
-def pct_path(spark, request):
-    if request.param == "sliced":
-        spark.conf.set("salarium.percentile.maxGroupValues", "0")
-    yield request.param
-    spark.conf.unset("salarium.percentile.maxGroupValues")
-
-
-def test_exact_percentiles_brute_force_with_hot_group(spark, pct_path):
+def test_exact_percentiles_brute_force_with_hot_group(spark):
     rnd = random.Random(7)
     rows = []
     for g, n in [("hot", 4000), ("a", 1), ("b", 2), ("c", 37), (None, 5)]:
@@ -67,7 +59,6 @@ def test_exact_percentiles_brute_force_with_hot_group(spark, pct_path):
 def test_hot_group_spans_several_slices(spark):
     # one group only: the range partitioning must split it and the offsets must stitch it
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    spark.conf.set("salarium.percentile.maxGroupValues", "100")
     try:
         vals = list(range(20000))
         df = spark.createDataFrame([("x", v) for v in vals], "g string, v long")
@@ -75,17 +66,11 @@ def test_hot_group_spans_several_slices(spark):
         assert r.m == _pg_percentile(vals, 0.5) and r.q == _pg_percentile(vals, 0.37)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        spark.conf.unset("salarium.percentile.maxGroupValues")
 
 
-def test_lookup_join_beyond_bound_still_exact(spark):
-    big = spark.createDataFrame([(i % 5, i) for i in range(100)], "k long, v long")
+def test_bounded_counts_the_whole_table(spark):
     small = spark.createDataFrame([(k, k * 10) for k in range(4)], "k long, w long")
-    _, ok = bounded(small, max_rows=2)
-    assert not ok
-    out = lookup_join(big, small, ["k"], "left", max_rows=2)
-    assert sorted((r.v, r.w) for r in out.collect()) == sorted(
-        (i, (i % 5) * 10 if i % 5 < 4 else None) for i in range(100))
+    assert not bounded(small, max_rows=3)[1] and bounded(small, max_rows=4)[1]
 
 
 def test_bounded_checks_bytes(spark):
@@ -108,7 +93,7 @@ def test_relationship_check_both_paths(spark):
     assert small == large == 3
 
 
-def test_empty_inputs(spark, pct_path):
+def test_empty_inputs(spark):
     empty = spark.createDataFrame([], "g string, v long")
     assert exact_percentiles(empty, ["g"], "v", {"m": 0.5}, stats_prefix="s_").count() == 0
     assert with_sequence(empty, ["v"], "id").count() == 0
