@@ -109,14 +109,20 @@ def _training_rows(sample: DataFrame, templates: DataFrame, misses: DataFrame) -
     return rows.where(F.size("words") > 0).withColumn("part", F.pmod(F.xxhash64("words", "family"), F.lit(4)))
 
 
-def train(lines: DataFrame, templates: DataFrame, sample_rows: int = 3_000) -> tuple[list[str], DataFrame, list[float], float]:
+def train(lines: DataFrame, templates: DataFrame, n_docs: int, sample_rows: int = 3_000) -> tuple[list[str], DataFrame, list[float], float]:
     """(classes, weights (gram, w: one weight for each class), intercepts, temperature)."""
     spark = lines.sparkSession
     misses = spark.createDataFrame([(t,) for t in NEAR_MISSES], "text string").select(words_of(F.col("text")).alias("words"))
     # the corpus's own paragraphs, but none that holds a template
-    stream = lines.select("words", F.xxhash64("words").alias("order")).orderBy("order").limit(sample_rows).distinct()
-    held = F.broadcast(templates.select(F.array_join("words", " ").alias("template")))
-    sample = stored(stream.join(held, F.instr(F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" ")), F.concat(F.lit(" "), "template", F.lit(" "))) > 0, "left_anti"), "license-sample")
+    # (every m-th by hash first, so that the tasks pass on a number of rows that doesn't grow)
+    order = F.xxhash64("words")
+    every = max(1, n_docs // (4 * sample_rows))
+    stream = lines.select("words", order.alias("order")).where(F.pmod("order", F.lit(every)) == 0)
+    padded = lambda words: F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
+    held = F.lit(False)
+    for r in templates.select(padded("words").alias("text")).collect():
+        held = held | F.contains(padded("words"), F.lit(r["text"]))
+    sample = stored(stream.orderBy("order").limit(sample_rows).distinct().where(~held), "license-sample")
     rows = stored(_training_rows(sample, templates, misses).withColumn("grams", grams_of("words")), "license-rows")
 
     # n-grams of the templates and near misses, without words that are common in the corpus
@@ -163,7 +169,7 @@ def scan(
     configure(spark)
     known = stored(_templates(spark, templates or TEMPLATES), "license-templates")
     lines = paragraphs(docs, text_col, id_col).withColumn("line_key", F.xxhash64(F.array_join("words", " ")))
-    classes, weights, intercepts, temperature = train(lines, known, sample_rows)
+    classes, weights, intercepts, temperature = train(lines, known, docs.count(), sample_rows)
 
     # outer: for a plain explode Spark adds a filter on the array's size, with the words' pattern inside its loop
     found = lines.select("id", "paragraph", "line_key", F.explode_outer(grams_of("words")).alias("found")).join(
