@@ -14,8 +14,9 @@ import time
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from salarium.operators import analytics, audit, models, quality
+from salarium.operators import analytics, anomaly, audit, models, quality
 from salarium.plans.warehouse import Warehouse
+from salarium.session import write_table
 from salarium.sources import files
 
 SOURCE_TABLE = "analytics.fact_indemnizatii"
@@ -27,7 +28,7 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
     """Run clean -> validate -> load -> models -> analytics -> review on ``raw_csv``.
 
     Layout under ``out_dir``: ``clean/`` and ``validated/`` (CSV), ``quality/`` (one JSON
-    object), ``warehouse/<table>/`` (Parquet, replaced each run), ``expectations/`` (one
+    object per run), ``warehouse/<table>/`` (Parquet, replaced each run), ``expectations/`` (one
     row per data test with its failure count), ``diagnostics/<name>/`` (malformed records,
     rows missing critical fields, names under several companies, lost identifiers, the
     sequence-number profile), ``artifacts/review_queue/`` (CSV),
@@ -61,7 +62,7 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
 
     # warehouse tables (full reload)
     tables = {
-        "indemnizatii_clean": wh.loaded,
+        "indemnizatii_clean": wh.loaded.withColumn("created_at", F.current_timestamp()),
         "fact_indemnizatii": wh.fact,
         "dim_persoane": wh.dim_persons,
         "dim_companii": wh.dim_companies,
@@ -73,7 +74,7 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
         "duplicate_person_contracts": analytics.duplicate_contracts(wh.fact),
     }
     for name, df in tables.items():
-        files.full_reload(df, f"{out}/warehouse/{name}")
+        files.full_reload(df, f"{out}/warehouse/{name}", allowed_prefixes=(f"{out}/",))
     stage_done("load_models")
 
     # data tests over the models (failures are reported, not raised), and the diagnostics
@@ -113,3 +114,16 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
         "failed_checks long, duration_seconds map<string, double>")
     record.coalesce(1).write.mode("append").json(f"{out}/runs")
     return summary
+
+
+def run_review(spark: SparkSession, fact_path: str, out_dir: str, year: int | None = None, limit: int | None = 500,
+               min_score: float = 3.0, write_audit: bool = False, run_id: str | None = None) -> int:
+    """Review a stored fact table on its own: the queue as CSV, and, only if asked for, the
+    audit trail (candidates and reviews appended). Returns the number of flagged records."""
+    out = out_dir.rstrip("/")
+    run_id = run_id or _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+    flagged = write_table(anomaly.review_queue(spark.read.parquet(fact_path), year, limit, min_score), "flagged")
+    audit.export_review_queue(flagged, f"{out}/review_queue")
+    if write_audit:
+        audit.review_run(flagged, run_id, SOURCE_TABLE, f"{out}/audit/candidates", f"{out}/audit/reviews")
+    return flagged.count()

@@ -8,6 +8,7 @@ parallel.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,11 +123,21 @@ def full_reload(df: DataFrame, path: str, allowed_prefixes: tuple[str, ...] | No
                 fmt: str = "parquet") -> None:
     """Idempotent replace — the state after a run depends only on the current input.
 
-    ``allowed_prefixes`` guards destructive overwrites: a target outside them is refused.
+    The new state is written beside the target and takes its place when it is complete, so a
+    failed run leaves the old state. ``allowed_prefixes`` guards destructive overwrites: a
+    target outside them is refused.
     """
     if allowed_prefixes is not None and not any(path.startswith(p) for p in allowed_prefixes):
         raise PermissionError(f"refusing to overwrite {path!r}: not under an allowed prefix")
-    df.write.mode("overwrite").format(fmt).save(path)
+    spark = df.sparkSession
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    df.write.format(fmt).save(staging)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target, new = hadoop(path.rstrip("/")), hadoop(staging)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    if not fs.rename(new, target):
+        raise OSError(f"{staging} could not take the place of {path}")
 
 
 def publish(df: DataFrame, uri: str, partition_by: list[str] | None = None) -> None:
@@ -157,8 +168,8 @@ def json_records_summary(df: DataFrame) -> tuple[int, str]:
 
 
 def write_quality_report(report: DataFrame, path: str, input_file: str, output_file: str) -> None:
-    """One JSON object per run with the counts plus timestamp, paths and status."""
+    """One JSON object per run, appended, with the counts plus timestamp, paths and status."""
     ts = _dt.datetime.now(_dt.timezone.utc).replace(microsecond=0).isoformat().replace("+00:00", "Z")
     (report.select(F.lit(ts).alias("run_timestamp_utc"), F.lit(input_file).alias("input_file"),
                    F.lit(output_file).alias("output_file"), *report.columns)
-           .coalesce(1).write.mode("overwrite").json(path))
+           .coalesce(1).write.mode("append").json(path))

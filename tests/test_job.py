@@ -102,3 +102,32 @@ def test_csv_path_equals_table_path(spark, tmp_dir):
     load_cols = ["id", "nr_crt", "cui", "personal", "suma_num", "indemnizatie_variabila_num"]
     assert rows_of(spark.read.parquet(f"{out}/warehouse/indemnizatii_clean"), load_cols) == \
         rows_of(E.queries()["load_typed"](spark, sf), load_cols)
+
+
+def test_review_of_a_stored_fact(spark, tmp_dir):
+    from salarium.plans.jobs import run_review
+
+    rows = [(i, "p", "c", 100 + i, 100, i, 2025) for i in range(20)] + [(99, None, "", 5_000_000, 5_000_000, 0, 2025)]
+    fact = spark.createDataFrame(rows, "pk long, person_id string, company_id string, total_plata long, "
+                                       "suma_clean long, variabila_clean long, an_raportare int")
+    fact.write.parquet(f"{tmp_dir}/fact")
+    assert run_review(spark, f"{tmp_dir}/fact", f"{tmp_dir}/a", year=2025) == 1
+    assert not os.path.exists(f"{tmp_dir}/a/audit")
+    for n in (1, 2):  # the same run id twice: ids go on
+        assert run_review(spark, f"{tmp_dir}/fact", f"{tmp_dir}/a", write_audit=True, run_id="r") == 1
+        assert sorted(r.candidate_id for r in spark.read.parquet(f"{tmp_dir}/a/audit/candidates").collect()) == list(range(1, n + 1))
+        assert sorted(r.review_id for r in spark.read.parquet(f"{tmp_dir}/a/audit/reviews").collect()) == list(range(1, n + 1))
+
+
+def test_reload_keeps_the_old_state_when_a_run_fails(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from salarium.sources import files
+
+    target = f"{tmp_dir}/t"
+    files.full_reload(spark.range(3), target)
+    try:
+        files.full_reload(spark.range(5).withColumn("x", F.raise_error(F.lit("stop"))), target)
+    except Exception:
+        pass
+    assert spark.read.parquet(target).count() == 3
