@@ -14,6 +14,7 @@ from salarium.plans.joins import bounded, hinted
 
 DEFAULT_YEAR = 2025
 
+# Column names of the loaded and the staging table.
 STAGING_RENAMES = {
     "id": "pk",
     "personal": "nume",
