@@ -56,10 +56,10 @@ class UnitEncoder:
     tokenizers of another kind, go to the library whole.
     """
 
-    LOT = 2 << 20  # bytes of text handled at once
+    LOT = 1 << 20  # bytes of text handled at once
     JOINED = 48  # new units in one text for the library, which is slower on long ones
 
-    def __init__(self, path: str, cache_entries: int = 250_000):
+    def __init__(self, path: str, cache_entries: int = 150_000):
         import json
 
         from tokenizers import Tokenizer

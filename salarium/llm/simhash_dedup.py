@@ -31,8 +31,8 @@ from salarium.llm.components import components
 from salarium.llm.tables import column, configure, stored, text_of
 
 BITS = 64
-_SLICE_VARIANTS = 1 << 21  # aimed at in one slice
-_MOST_VARIANTS = 1 << 23  # a slice with more is dealt again
+_SLICE_VARIANTS = 1 << 20  # aimed at in one slice
+_MOST_VARIANTS = 1 << 22  # a slice with more is dealt again
 _MOST_HOT = 100_000  # hot slices that may be broadcast (8 bytes each); beyond, all are dealt again
 
 
