@@ -40,3 +40,18 @@ def test_empty_and_clashing_columns(spark):
     assert sorted((r.doc_id, r.keep_id) for r in got.collect()) == [(1, 1), (2, 1)]
     kept = exact_dedup.drop_duplicates(df)
     assert kept.columns == df.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from salarium.llm.queries import ORACLE_SQL, QUERIES
+
+    directory = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{directory}/documents.parquet'")
+    got = QUERIES["op6_exact_dedup"](spark, directory)
+    cur = con.execute(ORACLE_SQL["op6_exact_dedup"])
+    names = [d[0] for d in cur.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(map(tuple, got.select(*names).collect())) == sorted(cur.fetchall())
