@@ -56,7 +56,7 @@ def op10_mixing(spark, sf_dir):
 
 
 def op4_license_scan(spark, sf_dir):
-    return license_scan.scan(table(spark, sf_dir, "documents"))
+    return license_scan.scan(table(spark, sf_dir, "documents"), license_scan.TEMPLATES | license_scan.RESERVED)
 
 
 def op5_decontamination(spark, sf_dir):
