@@ -7,7 +7,8 @@ without being merged. All other pre-tokens go through the library's merge table,
 are kept per run of non-space characters in a bounded cache.
 
 Texts are cut at ASCII white space only, where neither the normaliser nor the pre-tokenizer
-can join anything. A text that holds a special string of the tokenizer goes to the library
+can join anything. Runs that are all ASCII share one cache entry whatever their case; other
+runs keep it. A text that holds a special string of the tokenizer goes to the library
 whole.
 """
 
@@ -80,7 +81,11 @@ class WholeTokenCounter:
     def count(self, raw: bytes) -> int:
         if any(x in raw for x in self.specials):
             return len(self.tokenizer.encode(raw.decode(errors="replace"), add_special_tokens=False).ids)
-        runs = (raw.lower() if self.folds else raw).split()
+        runs = raw.split()
+        if self.folds:
+            # ASCII only: the normaliser composes before it folds, so case decides what a mark joins
+            folded = raw.lower().split()
+            runs = folded if raw.isascii() else [f if f.isascii() else r for f, r in zip(folded, runs)]
         counts = self.counts
         try:
             return sum(map(counts.__getitem__, runs))

@@ -25,6 +25,13 @@ def test_equal_to_the_library():
         assert [counter.count(t.encode()) for t in TEXTS] == library(TEXTS)
 
 
+def test_capitals_whose_mark_composes_only_in_lower_case():
+    texts = ["J\u030cayhun", "H\u0331afs H\u0331", "T\u0308aha", "W\u030aarda Y\u030aarda", "aJ\u030cB j\u030cayhun J\u030cAYHUN", "E\u0301COLE \xc9cole A\u030angstr\xf6m"]
+    counter = WholeTokenCounter(WORDS)
+    for _ in range(2):
+        assert [counter.count(t.encode()) for t in texts] == library(texts)
+
+
 def test_documents_equal_to_the_library(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in token_counts(docs, WORDS).collect()}
