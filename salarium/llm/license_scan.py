@@ -163,13 +163,16 @@ def texts(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
     return read.select("id", F.xxhash64("text").alias("doc_key"), "text")
 
 
-def paragraphs(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
-    """(id, doc_key, pos, word, next) of each word; words are numbered from 0 over the text."""
+def paragraphs(docs: DataFrame, text_col: str, id_col: str, only: list[str] | None = None) -> DataFrame:
+    """(id, doc_key, pos, word, next) of each word, or of each that is in ``only``; words are
+    numbered from 0 over the text."""
     words = texts(docs, text_col, id_col).select("id", "doc_key", notice_words(F.col("text")).alias("words"))
-    pairs = F.transform("words", lambda word, i: F.struct(word.alias("word"), F.get("words", i + 1).alias("next")))
+    places = F.slice(F.sequence(F.lit(0), F.size("words")), 1, F.size("words"))
+    if only is not None:  # before the explode, which costs far more than a look into a set
+        places = F.filter(places, lambda i: F.get("words", i).isin(only))
+    pairs = F.transform(places, lambda i: F.struct(i.alias("pos"), F.get("words", i).alias("word"), F.get("words", i + 1).alias("next")))
     # outer: for a plain explode Spark adds a filter on the array's size, with the words' pattern inside its loop
-    each = words.select("id", "doc_key", F.posexplode_outer(pairs).alias("pos", "pair"))
-    return each.select("id", "doc_key", "pos", "pair.word", "pair.next")
+    return words.select("id", "doc_key", F.explode_outer(pairs).alias("pair")).select("id", "doc_key", "pair.*")
 
 
 def _plain(text: str) -> list[str]:
@@ -216,19 +219,19 @@ def train(read: DataFrame, templates: DataFrame, sample_rows: int = 3_000) -> tu
     spark = read.sparkSession
     misses = spark.createDataFrame([(t,) for t in NEAR_MISSES], "text string").select(words_of(F.col("text")).alias("words"))
     # the corpus's own windows, but none that holds a template
-    # (of every m-th text by hash, so that the tasks pass on a number of rows that doesn't grow)
-    n_docs = read.count()
-    every = max(1, n_docs // (4 * sample_rows))
-    some = read.where(F.pmod("doc_key", F.lit(every)) == 0).select(notice_words(F.col("text")).alias("words"))
+    # (of every m-th different text by hash, so that the tasks pass on a number of rows that
+    # doesn't grow; copies go before the limit, so that they take no place of the sample)
+    n_texts = read.agg(F.approx_count_distinct("doc_key")).first()[0]
+    every = max(1, n_texts // (4 * sample_rows))
+    some = read.where(F.pmod("doc_key", F.lit(every)) == 0).groupBy("doc_key").agg(F.first("text").alias("text"))
+    some = some.select(notice_words(F.col("text")).alias("words"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(STEP))
     stream = some.select(F.explode_outer(F.transform(starts, lambda i: F.slice("words", i + 1, WINDOW))).alias("words"))
     stream = stream.where(F.size("words") > 0).select("words", F.xxhash64("words").alias("order"))
     padded = lambda words: F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
-    held = F.lit(False)
-    for r in templates.select(padded("words").alias("text")).collect():
-        held = held | F.contains(F.col("held"), F.lit(r["text"]))
-    sample = stream.orderBy("order").limit(sample_rows).distinct()
-    sample = stored(sample.withColumn("held", padded("words")).where(~held).drop("held"), "license-sample")
+    sample = stream.distinct().orderBy("order").limit(sample_rows).withColumn("held", padded("words"))
+    wordings = templates.select(padded("words").alias("wording"))
+    sample = stored(sample.join(F.broadcast(wordings), F.contains("held", "wording"), "left_anti").drop("held"), "license-sample")
     rows = stored(_training_rows(sample, templates, misses).withColumn("grams", grams_of("words")), "license-rows")
 
     # n-grams of the templates and near misses, without words that are common in the corpus
@@ -256,6 +259,10 @@ def train(read: DataFrame, templates: DataFrame, sample_rows: int = 3_000) -> tu
     return classes, used, [float(x) for x in intercepts], temperature
 
 
+def _first_words(trained: tuple) -> list[str]:
+    return sorted({gram.split(" ")[0] for gram, _ in trained[1]})
+
+
 def _standing(words: DataFrame, trained: tuple, min_probability: float) -> DataFrame:
     """(id, doc_key, window, probability) of the windows that are not unknown."""
     classes, weights, intercepts, temperature = trained
@@ -347,7 +354,7 @@ def scan(
     configure(docs.sparkSession)
     known = stored(_templates(docs.sparkSession, templates or TEMPLATES), "license-templates")
     read = texts(docs, text_col, id_col)
-    standing = stored(
-        _standing(paragraphs(docs, text_col, id_col), train(read, known, sample_rows), min_probability), "license-predicted")
+    trained = train(read, known, sample_rows)
+    standing = stored(_standing(paragraphs(docs, text_col, id_col, _first_words(trained)), trained, min_probability), "license-predicted")
     best = _confirmed(read, standing, known, similarity)
     return best.select(F.col("id").alias(id_col), "paragraph", "family", "probability", "similarity")
