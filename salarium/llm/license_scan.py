@@ -214,10 +214,8 @@ def _training_rows(sample: DataFrame, templates: DataFrame, misses: DataFrame) -
     return rows.where(F.size("words") > 0).withColumn("part", F.pmod(F.xxhash64("words", "family"), F.lit(4)))
 
 
-def train(read: DataFrame, templates: DataFrame, sample_rows: int = 3_000) -> tuple[list[str], list[tuple[str, list[float]]], list[float], float]:
-    """(classes, weights (gram, one weight for each class), intercepts, temperature)."""
-    spark = read.sparkSession
-    misses = spark.createDataFrame([(t,) for t in NEAR_MISSES], "text string").select(words_of(F.col("text")).alias("words"))
+def _sample(read: DataFrame, templates: DataFrame, sample_rows: int) -> DataFrame:
+    """(words, order) of different windows of the corpus."""
     # the corpus's own windows, but none that holds a template
     # (of every m-th different text by hash, so that the tasks pass on a number of rows that
     # doesn't grow; copies go before the limit, so that they take no place of the sample)
@@ -231,7 +229,14 @@ def train(read: DataFrame, templates: DataFrame, sample_rows: int = 3_000) -> tu
     padded = lambda words: F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
     sample = stream.distinct().orderBy("order").limit(sample_rows).withColumn("held", padded("words"))
     wordings = templates.select(padded("words").alias("wording"))
-    sample = stored(sample.join(F.broadcast(wordings), F.contains("held", "wording"), "left_anti").drop("held"), "license-sample")
+    return sample.join(F.broadcast(wordings), F.contains("held", "wording"), "left_anti").drop("held")
+
+
+def train(read: DataFrame, templates: DataFrame, sample_rows: int = 3_000) -> tuple[list[str], list[tuple[str, list[float]]], list[float], float]:
+    """(classes, weights (gram, one weight for each class), intercepts, temperature)."""
+    spark = read.sparkSession
+    misses = spark.createDataFrame([(t,) for t in NEAR_MISSES], "text string").select(words_of(F.col("text")).alias("words"))
+    sample = stored(_sample(read, templates, sample_rows), "license-sample")
     rows = stored(_training_rows(sample, templates, misses).withColumn("grams", grams_of("words")), "license-rows")
 
     # n-grams of the templates and near misses, without words that are common in the corpus

@@ -84,3 +84,10 @@ def test_several_notices_in_one_line(found):
 
 def test_licence_words_alone_are_no_notice(found):
     assert not [t for t in NONE if t in found]
+
+
+def test_copies_take_no_place_of_the_sample(spark):
+    rows = [(i, f"line {i % 40} of copies") for i in range(2000)] + [(i, f"text {i} alone") for i in range(3000, 3300)]
+    read = license_scan.texts(spark.createDataFrame(rows, "doc_id long, text string"), "text", "doc_id")
+    known = license_scan._templates(spark, license_scan.TEMPLATES)
+    assert license_scan._sample(read, known, 200).distinct().count() == 200
