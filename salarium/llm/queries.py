@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salarium.llm import decontaminate, exact_dedup, huffman, license_scan, mixing, quality, sharding, simhash_dedup, suffix_dedup, token_counts
+from salarium.llm import decontaminate, exact_dedup, huffman, license_scan, merkle, mixing, quality, sharding, simhash_dedup, suffix_dedup, token_counts
 from salarium.llm.tables import configure
 
 
@@ -75,6 +75,10 @@ def op8_sharding(spark, sf_dir):
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 24)
 
 
+def op11_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -97,4 +102,57 @@ ORACLE_SQL: dict[str, str] = {
         g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM d JOIN g USING (text_sha256)""",
+    "op11_merkle_manifest": """
+        WITH RECURSIVE coded AS (
+            SELECT doc_id, lang, n_chars, doc_id::VARCHAR AS digits,
+                   coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                   coalesce(strlen(text) || ':' || text, '-') AS tail
+            FROM documents),
+        leaves AS (
+            SELECT doc_id, lang, n_chars, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+                   sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) AS bumped,
+                   xor(4294967295, list_reduce(
+                       list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(digits) + 1), lambda i: ascii(substr(digits, i, 1))::BIGINT)),
+                       lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                           lambda a, z: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END)))) % 7 AS remainder
+            FROM coded),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                   row_number() OVER () AS row_no, count(*) OVER (PARTITION BY lang) AS n
+            FROM leaves),
+        low AS (
+            SELECT lang, 0 AS lev, pos, leaf AS hash, n FROM placed
+            UNION ALL
+            SELECT lang, lev + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), any_value((n + 1) // 2)
+            FROM low WHERE n > 1 GROUP BY lang, lev, pos // 2),
+        subs AS (
+            SELECT lang, hash AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+            FROM low WHERE n = 1),
+        high AS (
+            SELECT 0 AS lev, pos, subroot AS hash, n FROM subs
+            UNION ALL
+            SELECT lev + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), any_value((n + 1) // 2)
+            FROM high WHERE n > 1 GROUP BY lev, pos // 2),
+        steps AS (
+            SELECT p.row_no, 0 AS tier, l.lev, p.pos >> l.lev AS spot, o.hash
+            FROM placed p JOIN (SELECT DISTINCT lang, lev FROM low WHERE n > 1) l ON p.lang IS NOT DISTINCT FROM l.lang
+            LEFT JOIN low o ON o.lang IS NOT DISTINCT FROM l.lang AND o.lev = l.lev AND o.pos = xor(p.pos >> l.lev, 1)
+            UNION ALL
+            SELECT p.row_no, 1, l.lev, s.pos >> l.lev, o.hash
+            FROM placed p JOIN subs s ON p.lang IS NOT DISTINCT FROM s.lang
+            CROSS JOIN (SELECT DISTINCT lev FROM high WHERE n > 1) l
+            LEFT JOIN high o ON o.lev = l.lev AND o.pos = xor(s.pos >> l.lev, 1)),
+        proofs AS (
+            SELECT row_no, string_agg(hash, '' ORDER BY tier, lev) AS siblings,
+                   list(CASE WHEN hash IS NULL THEN 'N' WHEN spot % 2 = 1 THEN 'L' || hash ELSE 'R' || hash END ORDER BY tier, lev) AS path
+            FROM steps GROUP BY row_no),
+        folded AS (
+            SELECT p.*, s.subroot, (SELECT hash FROM high WHERE n = 1) AS root, sha256(coalesce(siblings, '')) AS proof_sha256,
+                   list_reduce(
+                       list_prepend(CASE WHEN remainder = 0 AND n_chars IS NOT NULL THEN bumped ELSE leaf END, coalesce(path, [])),
+                       lambda a, s: CASE s[1] WHEN 'L' THEN sha256(s[2:] || a) WHEN 'R' THEN sha256(a || s[2:]) ELSE sha256(a) END) AS folded_root
+            FROM placed p
+            LEFT JOIN proofs USING (row_no) JOIN subs s ON p.lang IS NOT DISTINCT FROM s.lang)
+        SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded""",
 }
