@@ -36,7 +36,7 @@ from salarium.plans.sequence import with_sequence
 
 CHUNK_LEVELS = 6
 _TOP = -1  # number of the top tree
-_BROADCAST_BYTES = 64 << 20
+_BROADCAST_BYTES = 8 << 20
 
 _NODE = ("tree", "level", "pos")
 _POINTER = ("to_tree", "to_level", "to_pos")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salarium.llm import decontaminate, exact_dedup, huffman, license_scan, merkle, mixing, quality, sharding, simhash_dedup, suffix_dedup, token_counts
+from salarium.llm import decontaminate, exact_dedup, huffman, lexical, license_scan, merkle, mixing, quality, sharding, simhash_dedup, suffix_dedup, token_counts
 from salarium.llm.tables import configure
 
 
@@ -79,6 +79,10 @@ def op11_merkle_manifest(spark, sf_dir):
     return merkle.manifest(table(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -91,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_mixing": op10_mixing,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_lexical_search": op12_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -155,4 +160,33 @@ ORACLE_SQL: dict[str, str] = {
             FROM placed p
             LEFT JOIN proofs USING (row_no) JOIN subs s ON p.lang IS NOT DISTINCT FROM s.lang)
         SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM folded""",
+    "op12_lexical_search": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS row_no,
+                   regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        sized AS (SELECT row_no, doc_id, len(terms)::BIGINT AS n, terms FROM d WHERE len(terms) > 0),
+        totals AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sized),
+        tf AS (
+            SELECT row_no, doc_id, n, term, count(*) AS tf
+            FROM (SELECT row_no, doc_id, n, unnest(terms) AS term FROM sized) GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+            FROM tf, totals GROUP BY term, n_docs),
+        asked AS (
+            SELECT DISTINCT item_no, item_id, unnest(terms) AS term
+            FROM (SELECT row_number() OVER () AS item_no, item_id,
+                         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+                  FROM benchmark)),
+        scored AS (
+            SELECT item_no, item_id, row_no, doc_id,
+                   sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN tf USING (term), totals
+            GROUP BY item_no, item_id, row_no, doc_id),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY item_no ORDER BY score DESC, doc_id NULLS LAST) AS rank
+            FROM scored WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10""",
 }
