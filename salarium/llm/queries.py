@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salarium.llm import decontaminate, exact_dedup, huffman, lexical, license_scan, merkle, mixing, quality, sharding, simhash_dedup, suffix_dedup, token_counts
+from salarium.llm import decontaminate, exact_dedup, huffman, lexical, license_scan, merkle, mixing, quality, sharding, simhash_dedup, suffix_dedup, token_counts, url_filter
 from salarium.llm.tables import configure
 
 
@@ -83,6 +83,15 @@ def op12_lexical_search(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+URL_RULES = [
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+]
+
+
+def op13_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_file": op1_token_file,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -96,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_lexical_search": op12_lexical_search,
+    "op13_url_filter": op13_url_filter,
 }
 
 ORACLE_SQL: dict[str, str] = {
