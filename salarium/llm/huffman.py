@@ -16,7 +16,7 @@ A token file is a folder with two Parquet tables:
 ``blocks``  part, seq (place of the block's first document; blocks in (part, seq) order are
             the corpus), first (ids before the block in its part), doc_ids, doc_tokens,
             payload (bits from the highest of the first byte on), checkpoints (little-endian
-            unsigned 32-bit bit offsets).
+            unsigned 64-bit bit offsets).
 """
 
 from __future__ import annotations
@@ -50,9 +50,9 @@ class UnitEncoder:
     * after an ASCII letter, before any other ASCII character;
     * after a line feed that follows a printable ASCII character, before an ASCII letter.
 
-    Units are found and told apart with array operations (two 64-bit hashes each); every
-    different unit of a lot is looked up once in a bounded cache, and new ones are encoded by
-    the library, many joined in one text. Texts with special strings, and all texts of
+    Units are found with array operations and told apart by their bytes (Arrow's dictionary
+    encoding); every different unit of a lot is looked up once in a bounded cache, and new ones
+    are encoded by the library, many joined in one text. Texts with special strings, and all texts of
     tokenizers of another kind, go to the library whole.
     """
 
@@ -88,11 +88,6 @@ class UnitEncoder:
         # first bytes of characters that are surely no white space
         self.solid = self.printable.copy()
         self.solid[[0xC3, *range(0xC4, 0xE1), *range(0xE4, 0xF5)]] = True
-        self.powers = []
-        for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-            up = np.cumprod(np.full(self.LOT + 1, base, np.uint64), dtype=np.uint64)
-            down = np.cumprod(np.full(self.LOT + 1, pow(base, -1, 1 << 64), np.uint64), dtype=np.uint64)
-            self.powers.append((up, down))
 
     def _library(self, texts: list[bytes]) -> list[bytes]:
         strings = [t.decode(errors="replace") for t in texts]
@@ -159,16 +154,10 @@ class UnitEncoder:
         text_starts = np.concatenate([[0], text_ends[:-1]])
         cut[text_starts[text_starts < n]] = True
         starts = np.flatnonzero(cut)
-        ends = np.append(starts[1:], n)
-        hashes = []
-        for up, down in self.powers:
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-            hashes.append((sums[ends] - sums[starts]) * down[starts])
-        _, first, which = np.unique(hashes[0], return_index=True, return_inverse=True)
-        if (hashes[1][first][which] != hashes[1]).any():
-            return self._library(texts)
-        units = list(map(joined.__getitem__, map(slice, starts[first].tolist(), ends[first].tolist())))
+        offsets = np.append(starts, n).astype(np.int32)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined)]
+        each_unit = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+        which, units = each_unit.indices.to_numpy(), each_unit.dictionary.to_pylist()
         ids = self._ids(units)
         flat = np.frombuffer(b"".join(ids), self.dtype)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
@@ -244,7 +233,10 @@ def _ordered_ids(docs: DataFrame, vocabulary: str, end_id: int | None, text_col:
             seq, first = seq + n, int(ends[-1]) if n else first
 
     read = docs.select(column(docs, id_col).alias("id"), text_of(docs, text_col).alias("text"))
-    ordered = read.repartitionByRange(partitions(docs), "id").sortWithinPartitions("id", "text")
+    # rows that repeat an id, null included, are dealt on by text and place, so they don't meet in one task
+    order = ["id", "head", "place"]
+    keyed = read.withColumn("head", F.substring("text", 1, 32)).withColumn("place", F.monotonically_increasing_id())
+    ordered = keyed.repartitionByRange(partitions(docs), *order).sortWithinPartitions(*order).select("id", "text")
     schema = T.StructType([
         T.StructField("part", T.IntegerType()), T.StructField("seq", T.LongType()), T.StructField("first", T.LongType()),
         T.StructField("id", read.schema["id"].dataType), T.StructField("ids", T.BinaryType()),
@@ -314,7 +306,7 @@ class Code:
 def pack(ids: np.ndarray, codes: np.ndarray, bits: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bit string of ``ids`` and the bit offset of every ``CHECKPOINT_IDS``-th id."""
     if not len(ids):
-        return b"", np.empty(0, np.uint32)
+        return b"", np.empty(0, np.uint64)
     lengths, code = bits[ids], codes[ids]
     ends = np.cumsum(lengths)
     starts = ends - lengths
@@ -326,7 +318,7 @@ def pack(ids: np.ndarray, codes: np.ndarray, bits: np.ndarray) -> tuple[bytes, n
     at = np.flatnonzero(np.diff(word, prepend=-1))
     out[word[at]] = np.add.reduceat(first, at)
     out[word[over] + 1] += code[over] << (64 + room[over]).astype(np.uint64)
-    return out.astype(">u8").tobytes()[: (int(ends[-1]) + 7) // 8], starts[::CHECKPOINT_IDS].astype(np.uint32)
+    return out.astype(">u8").tobytes()[: (int(ends[-1]) + 7) // 8], starts[::CHECKPOINT_IDS].astype(np.uint64)
 
 
 def unpack(payload: bytes, checkpoints: np.ndarray, n: int, tables: tuple[np.ndarray, np.ndarray], max_bits: int) -> np.ndarray:
@@ -377,7 +369,7 @@ def _blocks(tokens: DataFrame, ids: np.ndarray, bits: np.ndarray, dtype: str, bl
             pieces = [np.frombuffer(h[4], dtype) for h in held]
             payload, checkpoints = pack(np.concatenate(pieces), *tables)
             values = [*held[0][:3], sum(map(len, pieces)), [h[3] for h in held], [len(p) for p in pieces], payload,
-                      checkpoints.astype("<u4").tobytes()]
+                      checkpoints.astype("<u8").tobytes()]
             kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(key), pa.list_(pa.int64()), pa.binary(), pa.binary()]
             names = ["part", "seq", "first", "n", "doc_ids", "doc_tokens", "payload", "checkpoints"]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
@@ -416,7 +408,8 @@ def write_token_file(
     """Write the token ids of ``docs`` as a token file, documents in ascending id order.
 
     ``end_id`` is appended to each document. A null text is the empty text. A null id comes
-    first; rows that repeat an id are ordered by text. Other columns are not
+    first; rows that repeat an id are ordered by their first
+    32 characters, then as read. Other columns are not
     read. An empty table gives a file without documents.
     """
     spark = docs.sparkSession
@@ -462,7 +455,7 @@ def _decoded(spark: SparkSession, path: str, digest: bool) -> DataFrame:
             for row in range(batch.num_rows):
                 doc_ids, doc_tokens, payload, checkpoints, first = (batch.column(i)[row] for i in range(5))
                 n_tokens = np.array(doc_tokens.as_py(), np.int64)
-                marks = np.frombuffer(checkpoints.as_py(), "<u4")
+                marks = np.frombuffer(checkpoints.as_py(), "<u8")
                 got = unpack(payload.as_py(), marks, int(n_tokens.sum()), tables, coder.max_bits).astype("<u4")
                 ends = np.cumsum(n_tokens)
                 begins = ends - n_tokens

@@ -34,6 +34,15 @@ def test_units_equal_to_the_library(monkeypatch, lot):
         assert got == want
 
 
+def test_units_that_collide_in_polynomial_hashes():
+    # a Thue-Morse string and its complement agree in every polynomial hash modulo 2^64 with an odd base
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    texts = ["".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)]
+    encoder = huffman.UnitEncoder(BYTES)
+    got = [np.frombuffer(x, encoder.dtype).tolist() for x in encoder.encode([t.encode() for t in texts])]
+    assert got == library(texts) and got[0] != got[1]
+
+
 def huffman_cost(counts):
     heap, cost = list(counts), 0
     heapq.heapify(heap)
@@ -101,6 +110,15 @@ def test_small_blocks_stand_alone_and_ids_come_back(spark, tmp_dir):
     assert [np.frombuffer(r.ids, "<u4").tolist() for r in got] == [x + [2] for x in library([r.text for r in rows])]
 
 
+def test_one_id_and_text_in_most_rows(spark):
+    rows = [(5, "the same text")] * 900 + [(None, f"n{i % 3}") for i in range(200)] + [(i, f"doc {i}") for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    ordered, _ = huffman._ordered_ids(df, BYTES, 2, "text", "doc_id")
+    assert max(r["count"] for r in ordered.groupBy("part").count().collect()) < 500
+    got = huffman.token_file_round_trip(df, BYTES, end_id=2)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == expected(rows)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert huffman.token_file_round_trip(df, BYTES, end_id=2).count() == 0
