@@ -29,9 +29,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salarium.llm.tables import column, configure, stored, text_of
+from salarium.llm.tables import column, configure, keyed, rows_of, stored, text_of
 
-_LANES = 0x0001000100010001
+_LANES = 0x0000000100000001
 
 
 def words_of(text: Column) -> Column:
@@ -55,16 +55,16 @@ def _add_lanes(j: int):
 
 
 def with_simhash(df: DataFrame, hashes: str, name: str) -> DataFrame:
-    """Adds the bits set in over half of the hashes (fewer than 65,536 of them)."""
-    # four 16-bit lanes: bits j, j + 16, j + 32 and j + 48 are counted in one pass
-    for j in range(16):
+    """Adds the bits set in over half of the hashes."""
+    # two 32-bit lanes: bits j and j + 32 are counted in one pass; an array is too short to fill a lane
+    for j in range(32):
         df = df.withColumn(f"_lanes{j}", F.aggregate(hashes, F.lit(0).cast("bigint"), _add_lanes(j)))
     out, zero, one = F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    for j in range(16):
-        for lane in range(4):
-            ones = F.shiftrightunsigned(f"_lanes{j}", 16 * lane).bitwiseAND(F.lit(0xFFFF))
-            out = out.bitwiseOR(F.when(ones * 2 > F.size(hashes), F.shiftleft(one, 16 * lane + j)).otherwise(zero))
-    return df.withColumn(name, out).drop(*[f"_lanes{j}" for j in range(16)])
+    for j in range(32):
+        for lane in range(2):
+            ones = F.shiftrightunsigned(f"_lanes{j}", 32 * lane).bitwiseAND(F.lit(0xFFFFFFFF))
+            out = out.bitwiseOR(F.when(ones * 2 > F.size(hashes), F.shiftleft(one, 32 * lane + j)).otherwise(zero))
+    return df.withColumn(name, out).drop(*[f"_lanes{j}" for j in range(32)])
 
 
 def _cuts(radius: int) -> list[tuple[int, int]]:
@@ -81,11 +81,24 @@ def _blocks(fp: str, radius: int) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("block"), _block(F.col(fp), lo, hi).alias("value")) for i, (lo, hi) in enumerate(_cuts(radius))])
 
 
+def _on_side(s: int):
+    return lambda x: F.struct(x.alias("h"), F.lit(s).alias("side"))
+
+
 def similarity(a: str, b: str) -> Column:
-    """Weighted Jaccard similarity of two arrays of hashes with repeats."""
-    times = lambda array, h: F.size(F.filter(array, lambda x: x == h))
-    both = F.aggregate(F.array_distinct(b), F.lit(0), lambda n, h: n + F.least(times(F.col(a), h), times(F.col(b), h)))
-    return both / (F.size(a) + F.size(b) - both)
+    """Weighted Jaccard similarity of two arrays of hashes with repeats, from one pass over
+    both, sorted together: each run of equal hashes adds the smaller of its two counts."""
+    marked = [F.transform(F.col(c), _on_side(s)) for s, c in enumerate((a, b))]
+    start = F.struct(F.lit(None).cast("bigint").alias("h"), *(F.lit(0).alias(n) for n in ("in_a", "in_b", "both")))
+
+    def step(run: Column, x: Column) -> Column:
+        same = x["h"].eqNullSafe(run["h"])
+        counts = [F.when(same, run[n]).otherwise(0) + (x["side"] == s).cast("int") for s, n in enumerate(("in_a", "in_b"))]
+        both = run["both"] + F.when(same, 0).otherwise(F.least(run["in_a"], run["in_b"]))
+        return F.struct(x["h"].alias("h"), counts[0].alias("in_a"), counts[1].alias("in_b"), both.alias("both"))
+
+    shared = F.aggregate(F.sort_array(F.concat(*marked)), start, step, lambda run: run["both"] + F.least(run["in_a"], run["in_b"]))
+    return shared / (F.size(a) + F.size(b) - shared)
 
 
 def contaminated(
@@ -167,7 +180,11 @@ def _matches(docs: DataFrame, items: DataFrame, k: int, threshold: float, radius
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", **settings) -> DataFrame:
-    """``docs`` without the contaminated documents, all columns kept. A null id stays."""
-    found = contaminated(docs, benchmark, text_col=text_col, id_col=id_col, **settings)
-    ids = found.select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(ids, docs[f"`{id_col}`"] == F.col("_id"), "left_anti")
+    """``docs`` without the contaminated rows.
+
+    A row is known by a key of its own: rows that repeat an id, null included, are judged by
+    their own text. All columns are kept, whatever their names.
+    """
+    whole, slim = keyed(docs, id_col, text_col)
+    found = contaminated(slim, benchmark, text_col="text", id_col="key", **settings)
+    return rows_of(whole.join(found.select("key").distinct(), "key", "left_anti"))

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salarium.llm.tables import LOWER, UPPER, column, stored, text_of
+from salarium.llm.tables import LOWER, UPPER, column, keyed, rows_of, stored, text_of
 
 _KEY = ("digest", "length", "check")
 
@@ -118,6 +118,14 @@ def _run(level: DataFrame, done: int, rank_bits: int) -> DataFrame:
 
 
 def drop_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", keep: str = "smallest") -> DataFrame:
-    """``docs`` without the rows whose text is kept under another id."""
-    dropped = exact_duplicates(docs, text_col, id_col, keep).where(~F.col("kept")).select(F.col(id_col).alias("_id"))
-    return docs.join(dropped.distinct(), docs[f"`{id_col}`"].eqNullSafe(F.col("_id")), "left_anti")
+    """``docs`` with one row of each group of equal texts, the one with the smallest or largest id.
+
+    A row is known by a key of its own: rows that repeat an id are judged by their own text,
+    and of rows with equal id and text one stays. A null id stays only where no row of the
+    group has an id. All columns are kept, whatever their names.
+    """
+    whole, slim = keyed(docs, id_col, text_col)
+    has_id = F.col("id").isNull() if keep == "smallest" else F.col("id").isNotNull()
+    named = slim.select(F.struct(has_id.alias("first"), F.col("id").alias("second"), F.col("key").alias("third")).alias("id"), "text")
+    dropped = exact_duplicates(named, "text", "id", keep).where(~F.col("kept")).select(F.col("id.third").alias("key"))
+    return rows_of(whole.join(dropped, "key", "left_anti"))

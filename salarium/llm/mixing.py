@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from salarium.llm.tables import column, configure, stored, text_of
+from salarium.llm.tables import column, configure, keyed, rows_of, stored, text_of
 
 _PART_BITS = 12
 
@@ -104,8 +104,8 @@ def _same(cols: list[str], others: list[str]) -> Column:
     return on
 
 
-def _taken(docs: DataFrame, levels: dict[str, str], weights: dict[str, dict[str, float]], budget_share: float, max_epochs: int, seed: int, text_col: str, id_col: str) -> DataFrame:
-    """(id, text_key, leaf, n_tokens, copies) of the rows taken."""
+def _taken(docs: DataFrame, levels: dict[str, str], weights: dict[str, dict[str, float]], budget_share: float, max_epochs: int, seed: int, text_col: str, id_col: str, key_col: str | None = None) -> DataFrame:
+    """(id, row_key, leaf, n_tokens, copies) of the rows taken; ``row_key`` is ``key_col``."""
     configure(docs.sparkSession)
     names = list(levels)
     level_cols = [f"level_{i}" for i in range(len(names))]
@@ -117,6 +117,7 @@ def _taken(docs: DataFrame, levels: dict[str, str], weights: dict[str, dict[str,
             *[F.expr(e).cast("string").alias(c) for c, e in zip(level_cols, levels.values())],
             word_tokens(text).alias("n_tokens"),
             F.xxhash64(text).alias("text_key"),
+            (column(docs, key_col) if key_col else F.lit(None)).cast("bigint").alias("row_key"),
         ),
         "mixing-rows",
     )
@@ -147,10 +148,10 @@ def _taken(docs: DataFrame, levels: dict[str, str], weights: dict[str, dict[str,
     taken_before = F.col("before") + F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0))
     inside = cut.where("bin = last_bin").withColumn("extra", (taken_before < F.col("rest")).cast("int"))
     others = cut.where("last_bin is null or bin <> last_bin").withColumn("extra", F.coalesce(F.col("bin") < F.col("last_bin"), F.lit(False)).cast("int"))
-    wanted = ["id", "text_key", *level_cols, "n_tokens", "epochs", "extra"]
+    wanted = ["id", "row_key", *level_cols, "n_tokens", "epochs", "extra"]
     both = inside.select(wanted).unionAll(others.select(wanted)).withColumn("copies", F.col("epochs") + F.col("extra"))
     leaf = F.struct(*[F.col(c).alias(n) for c, n in zip(level_cols, names)])
-    return both.where(F.col("copies") > 0).select("id", "text_key", leaf.alias("leaf"), "n_tokens", "copies")
+    return both.where(F.col("copies") > 0).select("id", "row_key", leaf.alias("leaf"), "n_tokens", "copies")
 
 
 def mix(
@@ -176,15 +177,22 @@ def mix(
     the order and are taken together. Null ids are ids like any other. An empty table gives
     an empty result.
     """
-    return _taken(docs, levels, weights, budget_share, max_epochs, seed, text_col, id_col).drop("text_key").withColumnRenamed("id", id_col)
+    return _taken(docs, levels, weights, budget_share, max_epochs, seed, text_col, id_col).drop("row_key").withColumnRenamed("id", id_col)
 
 
 def mixed_documents(docs: DataFrame, levels: dict[str, str], weights: dict[str, dict[str, float]], **settings) -> DataFrame:
-    """The rows of ``docs`` that ``mix`` takes, each as often as it is taken, all columns kept."""
+    """The rows of ``docs`` that ``mix`` takes, each as often as it is taken.
+
+    A row is known by a key of its own: each of several equal rows comes as often as ``mix``
+    takes that row. All columns are kept, whatever their names.
+    """
     text_col, id_col = settings.get("text_col", "text"), settings.get("id_col", "doc_id")
+    whole, _ = keyed(docs, id_col, text_col)
+    key = "row_key"
+    while key.lower() in (c.lower() for c in docs.columns):
+        key += "_"
+    read = whole.select(F.col("key").alias(key), *(F.col("row").getField(c).alias(c) for c in docs.columns))
     settings = {"budget_share": 1.0, "max_epochs": 4, "seed": 17, **settings, "text_col": text_col, "id_col": id_col}
-    taken = _taken(docs, levels, weights, **settings)
-    once = taken.groupBy(F.col("id").alias("_mix_id"), F.col("text_key").alias("_mix_text")).agg(F.max("copies").alias("_mix_copies"))
-    on = docs[f"`{id_col}`"].eqNullSafe(F.col("_mix_id")) & (F.xxhash64(text_of(docs, text_col)) == F.col("_mix_text"))
-    repeats = F.explode(F.sequence(F.lit(1), F.col("_mix_copies")))
-    return docs.join(once, on).withColumn("_mix_copy", repeats).drop("_mix_id", "_mix_text", "_mix_copies", "_mix_copy")
+    taken = _taken(read, levels, weights, **settings, key_col=key).select(F.col("row_key").alias("key"), "copies")
+    repeated = whole.join(taken, "key").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return rows_of(repeated)

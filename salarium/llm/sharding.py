@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from salarium.llm.tables import column, stored, text_of
+from salarium.llm.tables import column, keyed, stored, text_of
 
 KEY_BITS = 62
 _PROBE_BITS = 12
@@ -188,8 +188,16 @@ def assign_shards(
 
 
 def write_shards(docs: DataFrame, path: str, shards: int, text_col: str = "text", id_col: str = "doc_id") -> None:
-    """Write ``docs`` as one folder per shard (``shard=0``, ``shard=1``, ...), all columns kept."""
-    where = assign_shards(docs, shards, text_col, id_col).select(F.col(id_col).alias("_id"), F.col("shard").alias("_shard"))
-    where = where.groupBy("_id").agg(F.min("_shard").alias("_shard"))
-    rows = docs.join(where, docs[f"`{id_col}`"].eqNullSafe(F.col("_id"))).drop("_id")
-    rows.repartition("_shard", F.xxhash64(column(docs, id_col)) % 16).write.mode("overwrite").partitionBy("_shard").parquet(path)
+    """Write ``docs`` as one folder per shard (``_shard=0``, ``_shard=1``, ...), all columns kept.
+
+    A row is known by a key of its own, so null and repeated ids are dealt like any other.
+    Where ``docs`` has a column of the folders' name, the folders' name gets one more ``_``.
+    """
+    whole, slim = keyed(docs, id_col, text_col)
+    where = assign_shards(slim, shards, "text", "key").select("key", F.col("shard").alias("to"))
+    name = "_shard"
+    while name in (c.lower() for c in docs.columns):
+        name += "_"
+    dealt = whole.join(where, "key").repartition("to", F.pmod(F.xxhash64("key"), F.lit(16)))
+    rows = dealt.select(*(F.col("row").getField(c).alias(c) for c in docs.columns), F.col("to").alias(name))
+    rows.write.mode("overwrite").partitionBy(name).parquet(path)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salarium.llm.components import components
-from salarium.llm.tables import column, configure, stored, text_of
+from salarium.llm.tables import column, configure, keyed, rows_of, stored, text_of
 
 BITS = 64
 _SLICE_VARIANTS = 1 << 20  # aimed at in one slice
@@ -266,7 +266,14 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, radius: int = 4, shingle: int = 4, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that have a smaller id in their component."""
-    found = near_duplicates(docs, radius, shingle, text_col=text_col, id_col=id_col)
-    dropped = found.where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(dropped, docs[f"`{id_col}`"] == F.col("_id"), "left_anti")
+    """``docs`` with one row of each component, the one with the smallest id.
+
+    A row is known by a key of its own: rows that repeat an id are judged by their own text,
+    and of equal rows one stays. Rows with a null id link like any other and stay only where
+    no row of the component has an id. All columns are kept, whatever their names.
+    """
+    whole, slim = keyed(docs, id_col, text_col)
+    found = near_duplicates(slim, radius, shingle, text_col="text", id_col="key").select(F.col("key").alias("of"), "component_id")
+    named = slim.select("key", "id").join(found, F.col("key") == F.col("of"))
+    stays = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("best")).select("best.key")
+    return rows_of(whole.join(stays, "key", "left_semi"))

@@ -61,6 +61,25 @@ def text_of(df: DataFrame, name: str) -> Column:
     return F.coalesce(column(df, name).cast("string"), F.lit(""))
 
 
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``docs`` stored once with a key for each row, in two views: ``(key, row)`` with all
+    columns in one struct, whatever their names, and ``(key, id, text)``.
+
+    The key is written with the row, so it is the same in every later read; repeated ids,
+    null ids and equal rows have keys of their own.
+    """
+    configure(docs.sparkSession)
+    whole = docs.select(
+        F.monotonically_increasing_id().alias("key"), F.struct(*(column(docs, c).alias(c) for c in docs.columns)).alias("row"))
+    whole = stored(whole, "keyed")
+    return whole, whole.select("key", F.col("row").getField(id_col).alias("id"), F.col("row").getField(text_col).alias("text"))
+
+
+def rows_of(whole: DataFrame) -> DataFrame:
+    """The rows of ``(key, row)`` as they were before ``keyed``."""
+    return whole.select(*(F.col("row").getField(c).alias(c) for c in whole.schema["row"].dataType.names))
+
+
 def partitions(df: DataFrame) -> int:
     """The session's number of shuffle partitions."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
