@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +37,25 @@ from salarium.llm.tables import column, configure, partitions, per_process, stor
 
 CHECKPOINT_IDS = 128
 
+# classes of bytes; a solid one surely begins a character that is no white space
+_ASCII, _PRINTABLE, _SOLID, _LETTER, _SPACE, _LINE_FEED = (np.uint8(1 << i) for i in range(6))
+
+
+def _runs(begins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers from each begin on, ``sizes`` of them, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(begins - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
 
 # ---- tokenising ------------------------------------------------------------------------
 
 
+def _buffers(units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets (from 0) and bytes of a binary array."""
+    offsets = np.frombuffer(units.buffers()[1], np.int32, len(units) + 1, units.offset * 4).astype(np.int64)
+    return offsets - offsets[0], np.frombuffer(units.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+
+
 class UnitEncoder:
     """Token ids of UTF-8 texts exactly as the tokenizers library gives them.
 
@@ -56,14 +72,16 @@ class UnitEncoder:
     tokenizers of another kind, go to the library whole.
     """
 
-    LOT = 1 << 20  # bytes of text handled at once
+    LOT = 1 << 21  # bytes of text handled at once
     JOINED = 48  # new units in one text for the library, which is slower on long ones
 
     def __init__(self, path: str, cache_entries: int = 150_000):
         import json
+        import os
 
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -79,15 +97,15 @@ class UnitEncoder:
         self.specials = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.dtype = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.cache_entries = cache_entries
-        self.cache: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.letter = np.zeros(256, bool)
-        self.letter[[*range(65, 91), *range(97, 123)]] = True
-        self.printable = np.zeros(256, bool)
-        self.printable[33:127] = True
-        # first bytes of characters that are surely no white space
-        self.solid = self.printable.copy()
-        self.solid[[0xC3, *range(0xC4, 0xE1), *range(0xE4, 0xF5)]] = True
+        self._forget(pa.array([], pa.binary()), np.empty(0, np.int64), np.empty(0, np.int64))
+        classes = np.zeros(256, np.uint8)
+        classes[:128] |= _ASCII
+        classes[33:127] |= _PRINTABLE | _SOLID
+        classes[[*range(65, 91), *range(97, 123)]] |= _LETTER
+        classes[[0xC3, *range(0xC4, 0xE1), *range(0xE4, 0xF5)]] |= _SOLID
+        classes[32] |= _SPACE
+        classes[10] |= _LINE_FEED
+        self.class_of, self.classes = classes, classes.tobytes()
 
     def _library(self, texts: list[bytes]) -> list[bytes]:
         strings = [t.decode(errors="replace") for t in texts]
@@ -96,45 +114,76 @@ class UnitEncoder:
 
     # -- new units
 
-    def _joined(self, units: list[bytes], before: bytes) -> dict[bytes, bytes]:
-        """The ids of each unit, from texts of ``before + unit`` many times over; nothing if
-        the tokens don't end where the units do. ``before`` is empty or one token."""
-        texts = [before + before.join(units[at : at + self.JOINED]) for at in range(0, len(units), self.JOINED)]
+    def _cut(self, texts: list[bytes], ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of ``texts``, one after the other, and how many stand before each of the byte
+        offsets ``ends`` (the last is the end); nothing if a token crosses one."""
         flat = np.frombuffer(b"".join(self._library(texts)), self.dtype)
-        ends = np.cumsum(self.token_bytes[flat])
-        want = np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + len(before))
-        cuts = np.searchsorted(ends, want) + 1
-        if not len(ends) or ends[-1] != want[-1] or (ends[cuts - 1] != want).any():
+        upto = np.cumsum(self.token_bytes[flat])
+        cuts = np.searchsorted(upto, ends) + 1
+        if not len(upto) or upto[-1] != ends[-1] or (upto[cuts - 1] != ends).any():
+            return None
+        return flat, cuts
+
+    def _spaced(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and their number for units of a space and a word, which stay apart when joined."""
+        offsets, data = _buffers(units)
+        edges = [*range(0, len(units), self.JOINED), len(units)]
+        raw = data.tobytes()
+        got = self._cut([raw[x:y] for x, y in zip(offsets[edges[:-1]].tolist(), offsets[edges[1:]].tolist())], offsets[1:])
+        return got and (got[0], np.diff(got[1], prepend=0))
+
+    def _words(self, units: list[bytes]) -> dict[bytes, bytes]:
+        """The ids of units of ASCII letters, from texts with a line feed, one token, before each."""
+        texts = [b"\n" + b"\n".join(units[at : at + self.JOINED]) for at in range(0, len(units), self.JOINED)]
+        got = self._cut(texts, np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + 1))
+        if not got:
             return {}
-        raw, width = flat.tobytes(), self.dtype.itemsize
-        begins = (np.concatenate([[0], cuts[:-1]]) + len(before)) * width
-        return dict(zip(units, map(raw.__getitem__, map(slice, begins.tolist(), (cuts * width).tolist()))))
-
-    def _new(self, units: list[bytes]) -> dict[bytes, bytes]:
-        spaced = [u for u in units if len(u) > 1 and u[0] == 32 and self.solid[u[1]]]
-        found = self._joined(spaced, b"") if spaced else {}
-        words = [u for u in units if u.isalpha()]  # bytes: ASCII letters; a line feed before them is one token
-        found.update(self._joined(words, b"\n") if words else {})
-        odd = [u for u in units if u not in found]
-        found.update(zip(odd, self._library(odd)))
-        return found
-
-    def _ids(self, units: list[bytes]) -> list[bytes]:
-        if len(self.cache) > self.cache_entries:  # what the next lots need moves back from the older half
-            self.cache, self.older = {}, self.cache
-        got = list(map(self.cache.get, units))
-        gaps = [i for i, x in enumerate(got) if x is None]
-        fresh = []
-        for i in gaps:
-            got[i] = self.older.get(units[i])
-            if got[i] is None:
-                fresh.append(i)
-        if fresh:
-            new = self._new([units[i] for i in fresh])
-            for i in fresh:
-                got[i] = new[units[i]]
-        self.cache.update((units[i], got[i]) for i in gaps if len(units[i]) <= 64)
-        return got
+        flat, cuts = got
+        return {u: flat[x:y].tobytes() for u, x, y in zip(units, [1, *(cuts[:-1] + 1).tolist()], cuts.tolist())}
+
+    def _new(self, units: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """New units in an order of its own, with their ids one after the other and their numbers."""
+        offsets, data = _buffers(units)
+        begins, width = offsets[:-1], np.diff(offsets)
+        second = self.class_of[data[np.minimum(begins + 1, len(data) - 1)]]
+        spaced = pa.array((width > 1) & (data[begins] == 32) & ((second & _SOLID) != 0))
+        some, odd = units.filter(spaced), units.filter(pc.invert(spaced))
+        got = self._spaced(some) if len(some) else None
+        if got is None:
+            got, some, odd = (np.empty(0, self.dtype), np.empty(0, np.int64)), some[:0], pa.concat_arrays([some, odd])
+        listed = odd.to_pylist()
+        found = self._words([u for u in listed if u.isalpha()])  # bytes: ASCII letters
+        rest = [u for u in listed if u not in found]
+        found.update(zip(rest, self._library(rest)))
+        ids = [found[u] for u in listed]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        flat = np.concatenate([got[0], np.frombuffer(b"".join(ids), self.dtype)])
+        return pa.concat_arrays([some, odd]), flat, np.concatenate([got[1], sizes])
+
+    # -- units known from earlier lots: their bytes, and where their ids stand in one array
+
+    def _forget(self, units: pa.Array, begins: np.ndarray, sizes: np.ndarray) -> None:
+        """Know only the given units, whose ids stand at ``begins`` now."""
+        self.known, self.sizes = units, sizes
+        self.begins = np.cumsum(sizes) - sizes
+        self.flat = np.empty(0, self.dtype) if not len(sizes) else self.flat[_runs(begins, sizes)]
+
+    def _places(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each of the different ``units`` begin in ``flat``, and how many there are."""
+        at = pc.index_in(units, value_set=self.known)
+        if at.null_count:
+            fresh, flat, sizes = self._new(units.filter(at.is_null()))
+            self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.flat = np.concatenate([self.flat, flat])
+            self.known = pa.concat_arrays([self.known, fresh])
+            at = pc.index_in(units, value_set=self.known)
+        place = at.to_numpy()
+        begins, sizes = self.begins[place], self.sizes[place]
+        if len(self.sizes) > self.cache_entries or self.known.nbytes > self.LOT * 8:
+            self._forget(units, begins, sizes)  # what this lot needed stays
+            begins = self.begins
+        return begins, sizes
 
     # -- texts
 
@@ -144,27 +193,23 @@ class UnitEncoder:
         n = len(joined)
         if not n:
             return [b""] * len(texts)
-        b = np.frombuffer(joined, np.uint8)
-        letter = self.letter[b]
+        here = np.frombuffer(joined.translate(self.classes), np.uint8)
+        before = here[:-1]
         cut = np.zeros(n, bool)
-        cut[:-1] = (b[:-1] == 32) & self.solid[b[1:]]
-        cut[1:] |= letter[:-1] & ~letter[1:] & (b[1:] < 128)
-        cut[2:] |= (b[1:-1] == 10) & self.printable[b[:-2]] & letter[2:]
+        cut[:-1] = ((before & _SPACE) != 0) & ((here[1:] & _SOLID) != 0)
+        cut[1:] |= ((before & _LETTER) != 0) & ((here[1:] & (_LETTER | _ASCII)) == _ASCII)
+        cut[2:] |= ((before[1:] & _LINE_FEED) != 0) & ((here[:-2] & _PRINTABLE) != 0) & ((here[2:] & _LETTER) != 0)
         text_ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
         text_starts = np.concatenate([[0], text_ends[:-1]])
         cut[text_starts[text_starts < n]] = True
         starts = np.flatnonzero(cut)
-        offsets = np.append(starts, n).astype(np.int32)
-        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(joined)]
-        each_unit = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
-        which, units = each_unit.indices.to_numpy(), each_unit.dictionary.to_pylist()
-        ids = self._ids(units)
-        flat = np.frombuffer(b"".join(ids), self.dtype)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
-        begins = np.cumsum(sizes) - sizes
+        buffers = [None, pa.py_buffer(np.append(starts, n).astype(np.int32)), pa.py_buffer(joined)]
+        units = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+        which = units.indices.to_numpy()
+        begins, sizes = self._places(units.dictionary)
         each = sizes[which]
         upto = np.concatenate([[0], np.cumsum(each)])
-        out = flat[np.repeat(begins[which] - upto[:-1], each) + np.arange(upto[-1])].tobytes()
+        out = self.flat[_runs(begins[which], each)].tobytes()
         at = upto[np.searchsorted(starts, np.append(text_starts, n))] * self.dtype.itemsize
         return [out[x:y] for x, y in zip(at[:-1].tolist(), at[1:].tolist())]
 
