@@ -18,6 +18,7 @@ from salarium.operators import analytics, anomaly, audit, models, quality
 from salarium.plans.warehouse import Warehouse
 from salarium.session import write_table
 from salarium.sources import files
+from salarium.sources.csv_records import land_records
 
 SOURCE_TABLE = "analytics.fact_indemnizatii"
 
@@ -48,9 +49,10 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
         durations[name] = round(now - mark, 3)
         mark = now
 
-    raw = files.read_raw(spark, raw_csv)
-    quality.require_columns(raw)  # before anything is written
-    bad_lines = files.count_malformed(spark, raw_csv)
+    landed = land_records(spark, raw_csv)
+    raw = files.read_raw(spark, raw_csv, landed)
+    quality.require_columns(raw)  # before any output is written
+    bad_lines = files.count_malformed(spark, raw_csv, landed)
     wh = Warehouse(raw, year=year)
 
     # clean artifact, validated export and the quality report
@@ -81,7 +83,7 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
     # the reference prints from its tool scripts, kept as tables
     files.full_reload(quality.all_checks(wh), f"{out}/expectations")
     diagnostics = {
-        "malformed_records": files.malformed_records(spark, raw_csv),
+        "malformed_records": files.malformed_records(spark, raw_csv, landed),
         "missing_critical_rows": quality.missing_critical(wh.clean_reread),
         "names_multi_company": quality.names_multi_company(wh.clean_reread),
         "lost_identifiers": quality.lost_identifiers(raw, wh.clean),

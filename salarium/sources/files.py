@@ -1,8 +1,7 @@
 """File sources and sinks S1-S6, S10, S12, S14.
 
-Multi-line CSV cannot be split inside a file, so each raw file is read by one task; the
-engine lands it once (``src_file``, ``src_row`` keep file order) and everything after is
-parallel.
+Raw CSV files are landed once as records (``csv_records``), read by as many tasks as they
+have splits; the table and the report on malformed records are made from the landed records.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from salarium.functions.text import na_token_blank
 from salarium.operators.cleaning import BOOKKEEPING, POSITION, normalize_columns, rename_source
+from salarium.sources.csv_records import count_fields, land_records
 
 BAD = "_bad"
 # RFC 4180 quoting as the reference's CSV files use it: a quote inside a quoted field is
@@ -24,8 +24,6 @@ CSV_QUOTING = {"quote": '"', "escape": '"'}
 # Writers keep cell text exactly (Spark would trim surrounding blanks on write by default)
 # and write an empty cell as nothing, not as "" (only quote-all output quotes it).
 CSV_WRITE = {**CSV_QUOTING, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
-# A comma outside double quotes (an even number of quotes follows it up to the end).
-_FIELD_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
 
 
 def _header(spark: SparkSession, path: str) -> list[str]:
@@ -44,53 +42,38 @@ def _read_strings(spark: SparkSession, path: str, columns: list[str]) -> DataFra
             .csv(path))
 
 
-def field_count(record: str = BAD):
-    """Number of comma-separated fields of a raw record, commas inside quotes excluded."""
-    return F.size(F.split(F.col(record), _FIELD_SPLIT, -1))
-
-
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
+def read_raw(spark: SparkSession, path: str, landed: DataFrame | None = None) -> DataFrame:
     """S1 (+P1, P2): every cell a string, '' for missing cells, no NA inference.
 
     Records with more fields than the header are dropped (the reference warns and skips
-    them); shorter records are padded with ''. ``src_file`` and ``src_row`` give each row's
-    place: a multi-line CSV file is read whole by one task, so the read position orders the
-    rows of one file as in the file, and the file path orders the files.
+    them); shorter records are padded with ''; blank lines are skipped. ``src_file`` and
+    ``src_row`` (the record's number in its file) give each row's place. ``landed``: the
+    result of ``land_records`` for ``path``, where the caller has it already.
     Header texts may hold dots, parentheses or line breaks, so columns are handled by
     position until the names are normalised.
     """
     header = _header(spark, path)
     pos = [f"_c{i}" for i in range(len(header))]
-    df = _read_strings(spark, path, header)
-    df = df.select(*[F.col(f"`{c}`") for c in df.columns], F.col("_metadata.file_path").alias("src_file"))
-    df = df.toDF(*pos, BAD, "src_file")
-    df = (df.withColumn("src_row", F.monotonically_increasing_id())
-            .where(F.col(BAD).isNull() | (field_count() <= F.lit(len(header))))
-            .select("src_file", "src_row", *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in pos]))
+    records = land_records(spark, path) if landed is None else landed
+    rows = records.where((F.col("record_no") > 1) & F.col("n_fields").between(1, len(header)))
+    cells = F.from_csv("content", ", ".join(f"{c} string" for c in pos), {**CSV_QUOTING, "mode": "PERMISSIVE"})
+    rows = rows.select("src_file", F.col("record_no").alias("src_row"), cells.alias("cells"))
+    df = rows.select("src_file", "src_row", *[F.coalesce(F.col(f"cells.{c}"), F.lit("")).alias(c) for c in pos])
     return rename_source(normalize_columns(df.toDF("src_file", "src_row", *header)))
 
 
-def malformed_records(spark: SparkSession, path: str) -> DataFrame:
-    """Records whose field count differs from the header's: position, first field,
-    field count and content (the parsed first field also keeps the scan from reading only
-    the corrupt-record column, which Spark refuses)."""
-    header = _header(spark, path)
-    pos = [f"_c{i}" for i in range(len(header))]
-    df = _read_strings(spark, path, header).toDF(*pos, BAD).withColumn("record_no", F.monotonically_increasing_id())
-    bad = df.where(F.col(BAD).isNotNull()).select(
-        "record_no", F.col(pos[0]).alias("first_field"), field_count().alias("n_fields"), F.col(BAD).alias("content"))
-    return bad.where(F.col("n_fields") != F.lit(len(header)))
-
+def malformed_records(spark: SparkSession, path: str, landed: DataFrame | None = None) -> DataFrame:
+    """Records whose field count differs from the header's: file, number of the record in
+    its file (from 1, the header and blank lines included), field count and content."""
+    records = land_records(spark, path) if landed is None else landed
+    expected = len(_header(spark, path))
+    return records.where((F.col("record_no") > 1) & (F.col("n_fields") != expected)).select(
+        "src_file", "record_no", "n_fields", "content")
 
-def count_malformed(spark: SparkSession, path: str) -> int:
-    """Number of malformed records (the quality report's ``bad_line_count``).
 
-    The count references the parsed first field as well: a plain ``count()`` would prune
-    the scan down to the corrupt-record column alone, which Spark refuses to read.
-    """
-    bad = malformed_records(spark, path)
-    n = bad.agg((F.count("first_field") + F.count_if(F.col("first_field").isNull())).alias("n")).first()
-    return int(n[0])
+def count_malformed(spark: SparkSession, path: str, landed: DataFrame | None = None) -> int:
+    """Number of malformed records (the quality report's ``bad_line_count``)."""
+    return malformed_records(spark, path, landed).count()
 
 
 def read_clean(spark: SparkSession, path: str) -> DataFrame:
@@ -98,7 +81,7 @@ def read_clean(spark: SparkSession, path: str) -> DataFrame:
     header = _header(spark, path)
     pos = [f"_c{i}" for i in range(len(header))]
     df = _read_strings(spark, path, header).toDF(*pos, BAD)
-    df = df.where(F.col(BAD).isNull() | (field_count() <= F.lit(len(header))))
+    df = df.where(F.col(BAD).isNull() | (count_fields(F.col(BAD)) <= F.lit(len(header))))
     return df.select(*[na_token_blank(F.col(c)).alias(c) for c in pos]).toDF(*header)
 
 
