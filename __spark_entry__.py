@@ -211,6 +211,23 @@ def q_expect_earners_in_dim(spark, sf_dir):
     return quality.singular_checks(_wh(spark, sf_dir))
 
 
+# parents with rows removed: the relationship checks must find what hangs loose
+KEPT_PERSONS, KEPT_COMPANIES = "person_id >= '4'", "company_id NOT LIKE '%7'"
+
+
+def q_expect_relationships_gaps(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    persons = quality.expect_relationship(
+        wh.fact, "fact_indemnizatii", "person_id", wh.dim_persons.where(KEPT_PERSONS), "dim_persoane", "person_id")
+    return persons.unionAll(quality.expect_relationship(
+        wh.fact, "fact_indemnizatii", "company_id", wh.dim_companies.where(KEPT_COMPANIES), "dim_companii", "company_id"))
+
+
+def q_expect_earners_gaps(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return quality.expect_earners_in_dim(analytics.top_earners(wh.fact, wh.dim_persons), wh.dim_persons.where(KEPT_PERSONS))
+
+
 # ---- anomaly review and audit --------------------------------------------------------------
 
 RUN_ID = "20250101T000000Z"
@@ -233,8 +250,8 @@ def q_fact_slice(spark, sf_dir):
 def q_anomaly_peer_stats(spark, sf_dir):
     by_company, by_year, _ = _wh(spark, sf_dir).slice_stats(None, None)
     j = by_company.join(by_year, "year", "left")
-    return j.select("year", "company_id", "mean", F.round("std", 6).alias("std"), "mean_y",
-                    F.round("std_y", 6).alias("std_y"))
+    return j.select("year", "company_id", "mean", F.round("std", 2).alias("std"), "mean_y",
+                    F.round("std_y", 2).alias("std_y"))
 
 
 def q_anomaly_rules(spark, sf_dir):
@@ -245,6 +262,24 @@ def q_anomaly_scores(spark, sf_dir):
     return _score_out(_wh(spark, sf_dir).scores(None, None))
 
 
+def _signed_slice(spark, sf_dir):
+    """The whole fact as a source that keeps signs and gaps would deliver it (the cleaning of
+    this one drops both): some amounts negative, some totals missing or zero."""
+    sl, pk = _whole_slice(spark, sf_dir), F.col("record_pk").cast("bigint")
+    total = F.when(pk % 19 == 0, F.lit(None)).when(pk % 23 == 0, -F.col("total_ron")).when(pk % 29 == 0, F.lit(0)).otherwise(F.col("total_ron"))
+    return sl.withColumns({
+        "suma_clean": F.when(pk % 13 == 0, -F.col("suma_clean")).otherwise(F.col("suma_clean")),
+        "variabila_clean": F.when(pk % 17 == 0, -F.col("variabila_clean")).otherwise(F.col("variabila_clean")),
+        "total_ron": total.cast("bigint")})
+
+
+def q_anomaly_signed_labels(spark, sf_dir):
+    scored = anomaly.anomaly_scores(_signed_slice(spark, sf_dir)).where("anomaly_score >= 0.5")
+    return anomaly.classify_offline(scored).select(
+        "record_pk", "company_id", "person_id", "anomaly_score", F.array_join("anomaly_reasons", ";").alias("anomaly_reasons"),
+        "label", "confidence", "rationale")
+
+
 def _flagged(spark, sf_dir):
     return _wh(spark, sf_dir).flagged(None, None, 3.0)
 
@@ -335,10 +370,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expect_unique": q_expect_unique,
     "expect_relationships": q_expect_relationships,
     "expect_earners_in_dim": q_expect_earners_in_dim,
+    "expect_relationships_gaps": q_expect_relationships_gaps,
+    "expect_earners_gaps": q_expect_earners_gaps,
     "fact_slice": q_fact_slice,
     "anomaly_peer_stats": q_anomaly_peer_stats,
     "anomaly_rules": q_anomaly_rules,
     "anomaly_scores": q_anomaly_scores,
+    "anomaly_signed_labels": q_anomaly_signed_labels,
     "anomaly_flagged": q_anomaly_flagged,
     "anomaly_flagged_slice": q_anomaly_flagged_slice,
     "anomaly_queue_csv": q_anomaly_queue_csv,

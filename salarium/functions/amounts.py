@@ -16,8 +16,9 @@ from salarium.functions.text import py_strip
 # Texts (after strip, lower-cased) that mean "no amount".
 NO_AMOUNT_TEXTS = ["-", "n/a", "nu a fost stabilită"]
 
-# Digits are summed/compared exactly; 38 digits is the widest exact integer Spark holds.
-_BIG = "decimal(38,0)"
+# Texts of up to _SHORT characters are summed and compared as decimals, which cannot overflow
+# then; longer ones as digit strings, in chunks of _CHUNK digits.
+_BIG, _SHORT, _CHUNK = "decimal(38,0)", 28, 18
 
 
 def _digits(c: Column) -> Column:
@@ -26,12 +27,40 @@ def _digits(c: Column) -> Column:
 
 def _numeric_parts(text: Column, sep: str) -> Column:
     """The digit runs of the ``sep``-separated parts of ``text`` (parts without digits
-    dropped), as exact decimals. Deleting every character except digits and the separator
+    dropped). Deleting every character except digits and the separator
     first gives each part's digits directly, so no per-element lambda is needed and the
     expression stays in whole-stage code generation."""
     digits_and_sep = F.regexp_replace(text, rf"[^0-9{sep}]", "")
-    parts = F.array_remove(F.split(digits_and_sep, "\\" + sep), "")
-    return parts.cast(f"array<{_BIG}>")
+    return F.array_remove(F.split(digits_and_sep, "\\" + sep), "")
+
+
+def _no_leading_zeros(digits: Column) -> Column:
+    return F.regexp_replace(digits, "^0+(?=.)", "")
+
+
+def sum_of_digits(parts: Column) -> Column:
+    """The sum of digit strings of any length, as text: chunk by chunk from the lowest, with carry."""
+    longest = F.array_max(F.transform(parts, lambda p: F.length(p)))
+    n = F.ceil(longest / _CHUNK).cast("int")
+    unit = F.lit(10**_CHUNK).cast(_BIG)
+
+    def chunk(p: Column, i: Column) -> Column:
+        return F.substring(F.lpad(p, n * _CHUNK, F.lit("0")), (n - i) * _CHUNK + 1, F.lit(_CHUNK)).cast(_BIG)
+
+    def add(state: Column, i: Column) -> Column:
+        total = F.aggregate(parts, state["carry"], lambda acc, p: (acc + chunk(p, i)).cast(_BIG))
+        low = F.pmod(total, unit)
+        text = F.concat(F.lpad(low.cast("string"), _CHUNK, "0"), state["text"])
+        return F.struct(((total - low) / unit).cast(_BIG).alias("carry"), text.alias("text"))  # without rest: exact
+
+    start = F.struct(F.lit(0).cast(_BIG).alias("carry"), F.lit("").alias("text"))
+    return F.aggregate(F.sequence(F.lit(1), n), start, add, lambda s: _no_leading_zeros(F.concat(s["carry"].cast("string"), s["text"])))
+
+
+def max_of_digits(parts: Column) -> Column:
+    """The greatest of digit strings of any length, as text: by length, then as text."""
+    bare = F.transform(parts, lambda p: F.struct(F.length(_no_leading_zeros(p)).alias("n"), _no_leading_zeros(p).alias("digits")))
+    return F.array_max(bare)["digits"]
 
 
 # ---- P7 -----------------------------------------------------------------------------------
@@ -64,12 +93,14 @@ def _amount_stage3(kept: Column) -> tuple[Column, Column]:
 def _amount_stage4(no_amount: Column, kept: Column, plus: Column, slash: Column) -> Column:
     # the one higher-order function of the cleaning (no built-in array sum); it sits in the
     # last, small projection so the stages before it keep whole-stage code generation
-    plus_sum = F.aggregate(plus, F.lit(0).cast(_BIG), lambda acc, p: acc + p)
-    slash_max = F.array_max(slash)
+    short = F.length(kept) <= _SHORT
+    plus_sum = F.when(short, F.aggregate(plus, F.lit(0).cast(_BIG), lambda acc, p: (acc + p.cast(_BIG)).cast(_BIG)).cast("string")).otherwise(
+        sum_of_digits(plus))
+    slash_max = F.when(short, F.array_max(slash.cast(f"array<{_BIG}>")).cast("string")).otherwise(max_of_digits(slash))
     return (
         F.when(no_amount, F.lit(""))
-        .when(plus.isNotNull(), F.when(F.size(plus) >= 2, plus_sum.cast("string")).otherwise(kept))
-        .when(slash.isNotNull() & (F.size(slash) >= 2), slash_max.cast("string"))
+        .when(plus.isNotNull(), F.when(F.size(plus) >= 2, plus_sum).otherwise(kept))
+        .when(slash.isNotNull() & (F.size(slash) >= 2), slash_max)
         .otherwise(kept)
     )
 

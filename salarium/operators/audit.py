@@ -7,6 +7,8 @@ per-partition offsets), never with a single-partition window.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +42,10 @@ def _max_id(existing: DataFrame | None, column: str) -> int:
 
 
 def candidates(flagged: DataFrame, run_id: str, source_table: str,
-               existing: DataFrame | None = None, with_timestamp: bool = False) -> DataFrame:
-    """Candidate rows with ids after the stored ones, ordered by score desc, record id."""
-    start = _max_id(existing, "candidate_id") + 1
+               existing: DataFrame | None = None, with_timestamp: bool = False, start: int | None = None) -> DataFrame:
+    """Candidate rows with ids after the stored ones (or from ``start``), ordered by
+    score desc, record id."""
+    start = _max_id(existing, "candidate_id") + 1 if start is None else start
     rows = flagged.select(
         F.lit(run_id).alias("run_id"), F.lit(source_table).alias("source_table"), "record_pk",
         F.col("year").cast("int").alias("year"), "company_id", "person_id",
@@ -88,22 +91,52 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+LEDGER = "run_id string, state string, first_id long, noted_at long"
+
+
+def _note(spark, path: str, run_id: str, state: str, first_id: int) -> None:
+    """One line in the run ledger; times order the lines of a run."""
+    spark.createDataFrame([(run_id, state, first_id, time.time_ns())], LEDGER).coalesce(1).write.mode("append").parquet(path)
+
+
+def _unfinished(spark, path: str, run_id: str) -> int | None:
+    """First candidate id of the run if its last line in the ledger is not ``done``."""
+    ledger = _read_if_exists(spark, path)
+    if ledger is None:
+        return None
+    last = ledger.where(F.col("run_id") == run_id).agg(F.max(F.struct("noted_at", "state", "first_id"))).first()[0]
+    return last["first_id"] if last and last["state"] != "done" else None
+
+
 def review_run(flagged: DataFrame, run_id: str, source_table: str, candidates_path: str,
-               reviews_path: str) -> tuple[DataFrame, DataFrame]:
-    """Candidates are appended first, then one review per candidate."""
+               reviews_path: str, ledger_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Candidates are appended first, then one review per candidate.
+
+    A ledger beside the candidates notes where a run's ids begin before anything is appended,
+    and that it is done after everything is. A rerun of a run that ended in between takes up
+    the same ids and appends only what is missing; any other run gets new ids.
+    """
     spark = flagged.sparkSession
+    ledger_path = ledger_path or candidates_path.rstrip("/") + "_ledger"
     existing_c = _read_if_exists(spark, candidates_path)
     existing_r = _read_if_exists(spark, reviews_path)
-    cands = candidates(flagged, run_id, source_table, existing_c, with_timestamp=True)
-    cand_out = cands.select(*CANDIDATE_COLUMNS, "created_at")
-    append(cand_out, candidates_path)
-    # a repeated run id must not bring back the candidates of the earlier run
-    first_new = _max_id(existing_c, "candidate_id") + 1
-    stored = spark.read.parquet(candidates_path).where(
-        (F.col("run_id") == run_id) & (F.col("candidate_id") >= first_new))
-    revs = reviews(stored.join(cands.select("candidate_id", "suma_clean", "variabila_clean"), "candidate_id"),
-                   existing_r, with_timestamp=True)
-    append(revs, reviews_path)
+    first = _unfinished(spark, ledger_path, run_id)
+    resumed = first is not None
+    if not resumed:
+        first = _max_id(existing_c, "candidate_id") + 1
+        _note(spark, ledger_path, run_id, "started", first)
+    cands = candidates(flagged, run_id, source_table, with_timestamp=True, start=first)
+    own = (F.col("run_id") == run_id) & (F.col("candidate_id") >= first)
+    if not (resumed and existing_c is not None and not existing_c.where(own).isEmpty()):
+        append(cands.select(*CANDIDATE_COLUMNS, "created_at"), candidates_path)
+    stored = spark.read.parquet(candidates_path).where(own)
+    reviewed = resumed and existing_r is not None and not existing_r.join(
+        stored.select("candidate_id"), "candidate_id", "left_semi").isEmpty()
+    if not reviewed:
+        revs = reviews(stored.join(cands.select("candidate_id", "suma_clean", "variabila_clean"), "candidate_id"),
+                       existing_r, with_timestamp=True)
+        append(revs, reviews_path)
+    _note(spark, ledger_path, run_id, "done", first)
     return stored, spark.read.parquet(reviews_path)
 
 

@@ -49,6 +49,8 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
         durations[name] = round(now - mark, 3)
         mark = now
 
+    # all reloads stay under the configured prefixes, or else under the job's own folder
+    guard = None if spark.conf.get(files.RELOAD_GUARD, None) else (f"{out}/",)
     landed = land_records(spark, raw_csv)
     raw = files.read_raw(spark, raw_csv, landed)
     quality.require_columns(raw)  # before any output is written
@@ -76,12 +78,12 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
         "duplicate_person_contracts": analytics.duplicate_contracts(wh.fact),
     }
     for name, df in tables.items():
-        files.full_reload(df, f"{out}/warehouse/{name}", allowed_prefixes=(f"{out}/",))
+        files.full_reload(df, f"{out}/warehouse/{name}", guard)
     stage_done("load_models")
 
     # data tests over the models (failures are reported, not raised), and the diagnostics
     # the reference prints from its tool scripts, kept as tables
-    files.full_reload(quality.all_checks(wh), f"{out}/expectations")
+    files.full_reload(quality.all_checks(wh), f"{out}/expectations", guard)
     diagnostics = {
         "malformed_records": files.malformed_records(spark, raw_csv, landed),
         "missing_critical_rows": quality.missing_critical(wh.clean_reread),
@@ -90,7 +92,7 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
         "seq_no_profile": quality.seq_no_profile(wh.before_inference),
     }
     for name, df in diagnostics.items():
-        files.full_reload(df, f"{out}/diagnostics/{name}")
+        files.full_reload(df, f"{out}/diagnostics/{name}", guard)
     stage_done("data_tests")
 
     # anomaly review: queue artifact, then candidates and reviews (append-only)

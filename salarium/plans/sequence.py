@@ -63,3 +63,18 @@ def number_tagged(df: DataFrame, name: str = "id", start: int = 1, counted: Data
 def with_sequence(df: DataFrame, order: list[Column | str], name: str = "id", start: int = 1) -> DataFrame:
     """Append ``name`` = start, start+1, ... following ``order`` (ties in arbitrary order)."""
     return number_tagged(write_table(add_tags(sort_and_tag(df, order)), "sequenced"), name, start)
+
+
+MAX_TOP_ROWS = 100_000
+
+
+def first_rows(df: DataFrame, order: list[Column | str], n: int, max_top_rows: int = MAX_TOP_ROWS) -> DataFrame:
+    """The first ``n`` rows in ``order`` (ties in arbitrary order).
+
+    Few rows are a top-k: each task keeps its own first ``n`` and one task merges them. More
+    than ``max_top_rows`` would be too many for that one task: the rows are numbered over range
+    partitions, and those up to ``n`` kept.
+    """
+    if n <= max_top_rows:
+        return df.orderBy(*_sort_exprs(order)).limit(n)
+    return with_sequence(df, order, name="_first_rows").where(F.col("_first_rows") <= n).drop("_first_rows")

@@ -102,25 +102,54 @@ def write_validated(df: DataFrame, path: str) -> None:
        .option("header", True).option("quoteAll", True).option("lineSep", "\n").csv(path))
 
 
+RELOAD_GUARD = "salarium.reload.allowedPrefixes"
+
+
+def _folder(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _previous(path: str) -> str:
+    return f"{path.rstrip('/')}.previous"
+
+
 def full_reload(df: DataFrame, path: str, allowed_prefixes: tuple[str, ...] | None = None,
                 fmt: str = "parquet") -> None:
     """Idempotent replace — the state after a run depends only on the current input.
 
-    The new state is written beside the target and takes its place when it is complete, so a
-    failed run leaves the old state. ``allowed_prefixes`` guards destructive overwrites: a
-    target outside them is refused.
+    The new state is written beside the target; the old one is set aside under
+    ``<path>.previous`` and deleted only when the new one stands in its place, so at every
+    moment one whole state is there (``read_reloaded`` finds it). Destructive overwrites are
+    guarded: a target outside ``allowed_prefixes`` (default: those that the session setting
+    ``salarium.reload.allowedPrefixes`` lists, separated by commas) is refused.
     """
+    spark = df.sparkSession
+    if allowed_prefixes is None:
+        listed = spark.conf.get(RELOAD_GUARD, None)
+        allowed_prefixes = tuple(p.strip() for p in listed.split(",")) if listed else None
     if allowed_prefixes is not None and not any(path.startswith(p) for p in allowed_prefixes):
         raise PermissionError(f"refusing to overwrite {path!r}: not under an allowed prefix")
-    spark = df.sparkSession
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
     df.write.format(fmt).save(staging)
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    target, new = hadoop(path.rstrip("/")), hadoop(staging)
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.delete(target, True)
+    target, fs = _folder(spark, path)
+    old, new = _folder(spark, _previous(path))[0], _folder(spark, staging)[0]
+    if fs.exists(target):
+        fs.delete(old, True)
+        if not fs.rename(target, old):
+            raise OSError(f"{path} could not be set aside")
     if not fs.rename(new, target):
+        fs.rename(old, target)
         raise OSError(f"{staging} could not take the place of {path}")
+    fs.delete(old, True)
+
+
+def read_reloaded(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The state that ``full_reload`` left: the target, or the one set aside by a reload that
+    ended between its steps."""
+    target, fs = _folder(spark, path)
+    return spark.read.format(fmt).load(path if fs.exists(target) else _previous(path))
 
 
 def publish(df: DataFrame, uri: str, partition_by: list[str] | None = None) -> None:

@@ -78,12 +78,16 @@ def raw_from_tables(orders: DataFrame, customer: DataFrame, nation: DataFrame,
     enterprise = (F.when(k % 503 == 0, F.concat(F.lit("COMPANIA "), company_no, F.lit(" "), seg, F.lit(" S.A.")))
                    .when(k % 13 == 0, F.concat(F.lit("  Compania "), company_no, F.lit("\n"), seg, F.lit(" ")))
                    .otherwise(F.concat(F.lit("COMPANIA "), company_no, F.lit(" "), seg)))
-    cui = F.when(k % 97 == 0, F.lit("")).otherwise(F.concat(F.lit("RO"), _s(ck + 1000)))
+    cui = (F.when(k % 97 == 0, F.lit(""))
+            .when(k % 709 == 0, F.lit("-"))
+            .when(k % 601 == 0, F.concat(F.lit("RO"), _s(ck + 1003)))
+            .otherwise(F.concat(F.lit("RO"), _s(ck + 1000))))
     person = (F.when(k % 401 == 0, F.lit("-"))
                .when(k % 50 == 0, F.lower(F.col("c_name")))
                .otherwise(F.concat(F.lit(" "), F.col("c_name"))))
     role = _case(F.col("o_orderpriority"), ROLE_BY_PRIORITY, OTHER_ROLE)
-    base = (F.when(k % 499 == 0, _s(amt * 1000))
+    base = (F.when(k % 1201 == 7, _s(amt * 5_000_000))
+             .when(k % 499 == 0, _s(amt * 1000))
              .when(k % 211 == 0, _s(amt * 6))
              .when(k % 10 == 1, F.concat(_s(thousands), F.lit(" "), low3))
              .when(k % 10 == 2, F.concat(_s(amt), F.lit("/"), _s(amt * 2)))
@@ -144,10 +148,11 @@ SELECT k + 1 AS src_row,
   CASE WHEN k % 503 = 0 THEN concat('COMPANIA ', CAST(nk % 20 AS VARCHAR), ' ', seg, ' S.A.')
        WHEN k % 13 = 0 THEN concat('  Compania ', CAST(nk % 20 AS VARCHAR), chr(10), seg, ' ')
        ELSE concat('COMPANIA ', CAST(nk % 20 AS VARCHAR), ' ', seg) END AS intreprindere,
-  CASE WHEN k % 97 = 0 THEN '' ELSE concat('RO', CAST(1000 + ck AS VARCHAR)) END AS cui,
+  CASE WHEN k % 97 = 0 THEN '' WHEN k % 709 = 0 THEN '-' WHEN k % 601 = 0 THEN concat('RO', CAST(1003 + ck AS VARCHAR)) ELSE concat('RO', CAST(1000 + ck AS VARCHAR)) END AS cui,
   CASE WHEN k % 401 = 0 THEN '-' WHEN k % 50 = 0 THEN lower(c_name) ELSE concat(' ', c_name) END AS personal,
   CASE pr WHEN '1-URGENT' THEN 'Director General' WHEN '2-HIGH' THEN 'DIRECTOR' WHEN '3-MEDIUM' THEN 'membru CA' WHEN '4-NOT SPECIFIED' THEN 'Membru directorat' ELSE 'presedinte CS' END AS calitate_membru,
-  CASE WHEN k % 499 = 0 THEN CAST(amt * 1000 AS VARCHAR)
+  CASE WHEN k % 1201 = 7 THEN CAST(amt * 5000000 AS VARCHAR)
+       WHEN k % 499 = 0 THEN CAST(amt * 1000 AS VARCHAR)
        WHEN k % 211 = 0 THEN CAST(amt * 6 AS VARCHAR)
        WHEN k % 10 = 1 THEN concat(CAST(CAST(floor(amt / 1000) AS BIGINT) AS VARCHAR), ' ', lpad(CAST(amt % 1000 AS VARCHAR), 3, '0'))
        WHEN k % 10 = 2 THEN concat(CAST(amt AS VARCHAR), '/', CAST(amt * 2 AS VARCHAR))
