@@ -8,7 +8,7 @@ from salarium.llm import url_filter
 from salarium.llm.queries import QUERIES, URL_RULES
 from salarium.llm.tables import LOWER, UPPER
 
-# addresses that the classifier has not seen
+# addresses outside the training table (the settings were chosen with them in view)
 UNSEEN = [
     ("https://www.casinoplanet.example.org/en/9", 1), ("http://slots-4u.example.net/de/1.html", 1), ("http://pokernight.example.org/", 1),
     ("http://bets-online.example.net/en/5", 1), ("http://adult-dating.example.org/de/8", 1), ("http://xxx-movies.example.net/en/2", 1),
