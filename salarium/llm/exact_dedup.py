@@ -6,6 +6,11 @@ exchange entries so that the next bits of the rank become bits of the digest, an
 merges what it gets, keeping the smallest (or largest) identifier and the copy count of
 each verified digest. After the last round a rank holds one digest range, fully merged.
 
+A merge is one streaming pass: the entries are dealt in order of ``(rank, key)``, so a
+rank's run lies in as many consecutive tasks as there is work, each task's part is sorted,
+and neighbours with the same key become one entry. No hash table is kept, and sorting
+spills where a part does not fit.
+
 The kept identifiers travel the same tree downwards, level by level. A digest has at most
 ``2**bits_per_round`` entries per rank and round in either direction, and the documents of
 one digest are spread over all first ranks, so a group holding a third of all rows never
@@ -37,11 +42,25 @@ def _digest_bits(rank_bits: int) -> Column:
 
 
 def _rank_after(bits_done: int, rank_bits: int) -> Column:
-    """Rank once the leading ``bits_done`` bits are digest bits and the rest first-rank bits."""
+    """The rank once the leading ``bits_done`` bits are digest bits; the rest stays as in ``rank``."""
     low = rank_bits - bits_done
-    return F.when(F.lit(low == 0), _digest_bits(rank_bits)).otherwise(
-        F.shiftleft(F.shiftright(_digest_bits(rank_bits), low), low)
-        .bitwiseOR(F.col("first_rank").bitwiseAND(F.lit((1 << low) - 1)))
+    return F.shiftleft(F.shiftright(_digest_bits(rank_bits), low), low).bitwiseOR(
+        F.col("rank").bitwiseAND(F.lit((1 << low) - 1)))
+
+
+def merged_runs(runs: DataFrame, done: int, rank_bits: int, keep: str) -> DataFrame:
+    """The runs ``(rank, key, best, n)`` after the round that brings ``done`` bits of the digest into the rank.
+
+    ``best`` is a struct (null without an id): its minimum has no fixed width, so Spark merges
+    neighbours of the sorted input instead of hashing the keys.
+    """
+    best = F.min if keep == "smallest" else F.max
+    return (
+        runs.withColumn("rank", _rank_after(done, rank_bits))
+        .repartitionByRange("rank", *_KEY)
+        .sortWithinPartitions("rank", *_KEY)
+        .groupBy("rank", *_KEY)
+        .agg(best("best").alias("best"), F.sum("n").alias("n"))
     )
 
 
@@ -66,7 +85,6 @@ def exact_duplicates(
     """
     if keep not in ("smallest", "largest"):
         raise ValueError("keep must be 'smallest' or 'largest'")
-    best = F.min if keep == "smallest" else F.max
     text = normalised(text_of(docs, text_col))
     read = docs.select(column(docs, id_col).alias("id"), text.alias("norm"))
     entries = stored(
@@ -75,34 +93,29 @@ def exact_duplicates(
             F.unhex(F.sha2("norm", 256)).alias("digest"),
             F.octet_length("norm").alias("length"),
             F.xxhash64("norm").alias("check"),
-            F.pmod(F.xxhash64(F.col("id"), F.lit(1)), F.lit(1 << rank_bits)).cast("int").alias("first_rank"),
+            F.pmod(F.xxhash64(F.col("id"), F.lit(1)), F.lit(1 << rank_bits)).cast("int").alias("rank"),
         ),
         "dedup-entries",
     )
 
-    # up: each level's runs, stored because the way down reads them again
-    level = entries.groupBy("first_rank", *_KEY).agg(best("id").alias("best"), F.count(F.lit(1)).alias("n"))
-    levels = [stored(_run(level, 0, rank_bits), "dedup-run")]
-    done = 0
-    while done < rank_bits:
-        done = min(rank_bits, done + bits_per_round)
-        merged = (
-            levels[-1]
-            .withColumn("first_rank", F.col("first_rank").bitwiseAND(F.lit((1 << (rank_bits - done)) - 1)))
-            .groupBy("first_rank", *_KEY)
-            .agg(best("best").alias("best"), F.sum("n").alias("n"))
-        )
-        levels.append(stored(_run(merged, done, rank_bits), "dedup-run"))
+    # up: each level's runs, stored because the way down reads them again; the first
+    # level merges the copies inside each input split before anything is exchanged
+    best = F.min if keep == "smallest" else F.max
+    own = F.when(F.col("id").isNotNull(), F.struct("id"))
+    first = entries.groupBy("rank", *_KEY).agg(best(own).alias("best"), F.count(F.lit(1)).alias("n"))
+    levels = [stored(first, "dedup-run")]
+    done_at = [*range(0, rank_bits, bits_per_round), rank_bits]
+    for done in done_at[1:]:
+        levels.append(stored(merged_runs(levels[-1], done, rank_bits, keep), "dedup-run"))
 
     # down: a run's entries take the verdict of the entry they were merged into
-    verdict = levels[-1].select("rank", *_KEY, F.col("best").alias("keep_id"), F.col("n").alias("group_size"))
-    done_at = [min(rank_bits, i * bits_per_round) for i in range(len(levels))]
+    verdict = levels[-1].select("rank", *_KEY, F.col("best.id").alias("keep_id"), F.col("n").alias("group_size"))
     for i in range(len(levels) - 2, -1, -1):
         run = levels[i].select(
             F.col("rank").alias("own_rank"), *_KEY, _rank_after(done_at[i + 1], rank_bits).alias("rank"))
         verdict = run.join(verdict, ["rank", *_KEY]).select(
             F.col("own_rank").alias("rank"), *_KEY, "keep_id", "group_size")
-    out = entries.withColumn("rank", F.col("first_rank")).join(verdict, ["rank", *_KEY])
+    out = entries.join(verdict, ["rank", *_KEY])
     return out.select(
         F.col("id").alias(id_col),
         "keep_id",
@@ -112,11 +125,6 @@ def exact_duplicates(
     )
 
 
-def _run(level: DataFrame, done: int, rank_bits: int) -> DataFrame:
-    """A level's entries with the rank they stand at, each task's part sorted by digest."""
-    return level.withColumn("rank", _rank_after(done, rank_bits)).sortWithinPartitions("rank", "digest")
-
-
 def drop_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", keep: str = "smallest") -> DataFrame:
     """``docs`` with one row of each group of equal texts, the one with the smallest or largest id.
 

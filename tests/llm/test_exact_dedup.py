@@ -42,6 +42,23 @@ def test_empty_and_clashing_columns(spark):
     assert kept.columns == df.columns and [r.doc_id for r in kept.collect()] == [1]
 
 
+def test_a_round_merges_sorted_runs_in_one_pass(spark):
+    runs = spark.range(1000).selectExpr(
+        "cast(id % 8 as int) rank", "unhex(sha2(cast(id % 50 as string), 256)) digest", "id % 50 % 3 length", "id % 50 check",
+        "named_struct('id', id) best", "1L n")
+    merged = exact_dedup.merged_runs(runs, 2, 3, "largest")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" in plan and "HashAggregate" not in plan
+    assert plan.count("Exchange") == 1 and "rangepartitioning(rank" in plan
+    got = {(r.rank, r.check): (r.best.id, r.n) for r in merged.collect()}
+    want = {}
+    for i in range(1000):
+        digest = hashlib.sha256(str(i % 50).encode()).digest()
+        key = ((digest[0] >> 6) << 1 | (i % 8) & 1, i % 50)
+        want[key] = (i, want.get(key, (0, 0))[1] + 1)
+    assert got == want
+
+
 def test_query_equals_its_sql(spark):
     import duckdb
 
