@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 # importable however this file is loaded (by path, from another working directory)
@@ -32,9 +33,10 @@ try:  # the training-data operators are an optional subpackage
     from salarium.llm import queries as llm_queries
 except ImportError:
     corpus_pipeline = llm_queries = None
-from salarium.operators import analytics, anomaly, audit, cleaning, quality
+from salarium.operators import analytics, anomaly, audit, cleaning, load, models, quality
 from salarium.plans.warehouse import warehouse_for
-from salarium.sources import fixture
+from salarium.session import checkpoint_dir
+from salarium.sources import files, fixture
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -331,6 +333,98 @@ def q_audit_reviews_pruned(spark, sf_dir):
     return audit.cascade_reviews(r, kept)
 
 
+# ---- reports in their order (O1, O3, O5) ------------------------------------------------
+
+
+def _report(name: str):
+    def query(spark, sf_dir):
+        wh = _wh(spark, sf_dir)
+        return analytics.ranked(name, analytics.all_reports(wh.loaded, wh.fact, wh.dim_companies)[name])
+
+    return query
+
+
+# ---- files: the raw table, or a stage of it, written and read again ----------------------
+
+# Headers of the source file that normalise to the known names.
+RAW_HEADERS = ["Nr.crt", "Autoritate Publică Tutelară (APT)", "Nume întreprindere publică", "CUI",
+               "Nume personal conducere", "Calitate (membru CA/CS\ndirector/membru directorat)",
+               "Valoare indemnizație fix lunar conform contract (brut-lei)*",
+               "Valoare indemnizație variabila anual conform contract (brut-lei)*"]
+
+
+def _folder_for(spark, name: str) -> str:
+    """A new folder in the shared place."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/files/{name}-{uuid.uuid4().hex}"
+
+
+def q_raw_csv(spark, sf_dir):
+    path = _folder_for(spark, "raw-csv")
+    raw = fixture.raw_table(spark, sf_dir).select(*fixture.RAW_COLUMNS).toDF(*RAW_HEADERS)
+    raw.write.options(**files.CSV_WRITE).option("header", True).csv(path)
+    return files.read_raw(spark, path).select(*fixture.RAW_COLUMNS)
+
+
+def q_malformed_records(spark, sf_dir):
+    """A file record of two to five cells for every order, one of them quoted with a comma and
+    quotes inside, under a header of three."""
+    path, key = _folder_for(spark, "malformed"), F.col("o_orderkey")
+    note = F.concat(F.lit('"'), F.col("o_orderpriority"), F.lit(',""x"""'))
+    record = F.concat_ws(",", key, F.when(key % 31 != 0, note), F.when(key % 37 == 0, F.lit("")),
+                         F.when(key % 41 == 0, F.lit("more")), F.col("o_custkey"))
+    lines = spark.read.parquet(f"{sf_dir}/orders.parquet").select(record.alias("k,note,c"))
+    lines.write.options(sep="\t", quote="", header=True).csv(path)  # one column: its text stays as it is
+    return files.malformed_records(spark, path).select("n_fields", "content")
+
+
+def q_clean_csv(spark, sf_dir):
+    path = _folder_for(spark, "clean-csv")
+    files.write_clean(_wh(spark, sf_dir).clean, path)
+    return files.read_clean(spark, path)
+
+
+def q_validated_csv(spark, sf_dir):
+    path = _folder_for(spark, "validated-csv")
+    files.write_validated(_wh(spark, sf_dir).clean_reread, path)
+    return files.read_clean(spark, path)
+
+
+def q_published(spark, sf_dir):
+    path = _folder_for(spark, "published")
+    files.publish(_wh(spark, sf_dir).clean, path)
+    return files.read_published(spark, path)
+
+
+def q_reloaded(spark, sf_dir):
+    """The state after two loads into one target is that of the second alone."""
+    path, base = _folder_for(spark, "reloaded"), _wh(spark, sf_dir).int_base.select("pk", "cui", "total_plata")
+    files.full_reload(base.where("total_plata > 0"), path)
+    files.full_reload(base, path)
+    return files.read_reloaded(spark, path)
+
+
+def q_quality_history(spark, sf_dir):
+    """Two runs' reports in one folder: the raw cells' and the cleaned cells'."""
+    path, wh = _folder_for(spark, "quality"), _wh(spark, sf_dir)
+    for step, df in (("before", wh.before_inference), ("after", wh.clean_reread)):
+        files.write_quality_report(quality.quality_report(df), path, "raw", step)
+    return spark.read.json(path).select("output_file", "row_count", "rows_with_missing_fields")
+
+
+def q_drop_empty_rows(spark, sf_dir):
+    """Every 17th row loses all its cells, every 19th all but one."""
+    raw, k = fixture.raw_table(spark, sf_dir), F.col("src_row")
+    gaps = raw.select("src_row", *[
+        F.when((k % 17 == 0) | ((k % 19 == 0) & F.lit(c != "cui")), F.lit(None)).otherwise(F.col(c)).alias(c)
+        for c in fixture.RAW_COLUMNS])
+    return cleaning.drop_empty_rows(gaps).select("src_row", "cui", "personal")
+
+
+def q_staging_load_time(spark, sf_dir):
+    loaded = load.as_loaded(_wh(spark, sf_dir).clean, loaded_at=F.lit("2025-01-01 06:30:00").cast("timestamp"))
+    return models.staging(loaded).select("pk", "nume", F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_text": q_clean_text,
     "clean_placeholders": q_clean_placeholders,
@@ -385,6 +479,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_candidates": q_audit_candidates,
     "audit_reviews": q_audit_reviews,
     "audit_reviews_pruned": q_audit_reviews_pruned,
+    **{f"report_{name}": _report(name) for name in analytics.REPORT_ORDER},
+    "raw_csv": q_raw_csv,
+    "malformed_records": q_malformed_records,
+    "clean_csv": q_clean_csv,
+    "validated_csv": q_validated_csv,
+    "published": q_published,
+    "reloaded": q_reloaded,
+    "quality_history": q_quality_history,
+    "drop_empty_rows": q_drop_empty_rows,
+    "staging_load_time": q_staging_load_time,
 }
 
 

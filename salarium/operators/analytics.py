@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salarium.plans.percentile import exact_percentiles
+from salarium.plans.sequence import with_sequence
 
 
 def _company_names(dim_companies: DataFrame) -> DataFrame:
@@ -164,7 +165,32 @@ REPORT_ORDER = {
 }
 
 
+def report_order(report: str, columns: list[str]) -> list:
+    """The report's sort keys, then its other columns, so that rows which differ have one order."""
+    keys = [F.col(c).desc_nulls_first() if d == "desc" else F.col(c).asc_nulls_last() for c, d in REPORT_ORDER[report]]
+    named = {c for c, _ in REPORT_ORDER[report]}
+    return keys + [F.col(c).asc_nulls_first() for c in columns if c not in named]
+
+
 def presented(report: str, df: DataFrame) -> DataFrame:
     """``df`` in the order the reference's report uses (NULLs first on DESC, last on ASC)."""
-    return df.orderBy(*[F.col(c).desc_nulls_first() if d == "desc" else F.col(c).asc_nulls_last()
-                        for c, d in REPORT_ORDER[report]])
+    return df.orderBy(*report_order(report, df.columns))
+
+
+def ranked(report: str, df: DataFrame) -> DataFrame:
+    """``df`` with ``report_rank`` = 1, 2, ... in the report's order: the order becomes data, so
+    it survives a folder of files. Numbered over range partitions, not by a window in one task."""
+    return with_sequence(df, report_order(report, df.columns), "report_rank")
+
+
+def all_reports(loaded: DataFrame, fact: DataFrame, dim_companies: DataFrame) -> dict[str, DataFrame]:
+    """The seven ordered reports by name, unordered (see ``ranked``)."""
+    return {
+        "distribution_companies": distribution(fact, dim_companies),
+        "org_pay_spread": pay_spread(fact, dim_companies),
+        "top_companies_spend": spend_by_company(fact, dim_companies),
+        "yearly_evolution": yearly_evolution(fact, dim_companies),
+        "personnel_total_comp": personnel_total(loaded),
+        "top_companies_raw": spend_by_company_raw(loaded),
+        "avg_comp_members": avg_comp_by_company(loaded),
+    }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salarium.operators.cleaning import position_cols
@@ -17,7 +17,8 @@ LOAD_COLUMNS = [
 INT_COLUMNS = {"nr_crt": "int", "suma_num": "bigint", "indemnizatie_variabila_num": "bigint"}
 
 
-def as_loaded(clean: DataFrame, with_timestamp: bool = False, counted: DataFrame | None = None) -> DataFrame:
+def as_loaded(clean: DataFrame, with_timestamp: bool = False, counted: DataFrame | None = None,
+              loaded_at: Column | None = None) -> DataFrame:
     """S7 + S8 (+ S9): bulk-load typing of the clean table.
 
     * '' -> NULL in every column (an unquoted empty CSV field loads as NULL);
@@ -25,7 +26,8 @@ def as_loaded(clean: DataFrame, with_timestamp: bool = False, counted: DataFrame
       fails the load, as the bulk load does;
     * ``id`` = 1..n in file order (``src_file``, ``src_row``), assigned without a
       single-partition window;
-    * optional ``created_at``: one timestamp per load.
+    * optional ``created_at``: one timestamp per load (``loaded_at``, else the time of the run),
+      carried into staging.
 
     When ``clean`` carries the order tags of ``plans.sequence`` (it was range-sorted on
     ``src_row`` and written with them), the ids come from those tags without another sort.
@@ -38,6 +40,6 @@ def as_loaded(clean: DataFrame, with_timestamp: bool = False, counted: DataFrame
            else F.nullif(F.col(c), F.lit(""))).alias(c) for c in LOAD_COLUMNS])
     numbered = number_tagged(typed, "id", counted=counted) if tagged else with_sequence(typed, order, "id")
     loaded = numbered.select("id", *LOAD_COLUMNS)
-    if with_timestamp:
-        loaded = loaded.withColumn("created_at", F.current_timestamp())
+    if with_timestamp or loaded_at is not None:
+        loaded = loaded.withColumn("created_at", F.current_timestamp() if loaded_at is None else loaded_at)
     return loaded

@@ -25,11 +25,13 @@ SOURCE_TABLE = "analytics.fact_indemnizatii"
 
 def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = models.DEFAULT_YEAR,
               review_year: int | None = None, review_limit: int | None = None, min_score: float = 3.0,
-              run_id: str | None = None) -> dict:
+              run_id: str | None = None, publish_to: str | None = None) -> dict:
     """Run clean -> validate -> load -> models -> analytics -> review on ``raw_csv``.
 
     Layout under ``out_dir``: ``clean/`` and ``validated/`` (CSV), ``quality/`` (one JSON
-    object per run), ``warehouse/<table>/`` (Parquet, replaced each run), ``expectations/`` (one
+    object per run), ``warehouse/<table>/`` (Parquet, replaced each run), ``reports/<name>/``
+    (the seven reports with their rank, replaced each run), ``published/indemnizatii_clean``
+    or ``publish_to`` (the cleaned CSV in ordered parts, and the list of them), ``expectations/`` (one
     row per data test with its failure count), ``diagnostics/<name>/`` (malformed records,
     rows missing critical fields, names under several companies, lost identifiers, the
     sequence-number profile), ``artifacts/review_queue/`` (CSV),
@@ -55,7 +57,8 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
     raw = files.read_raw(spark, raw_csv, landed)
     quality.require_columns(raw)  # before any output is written
     bad_lines = files.count_malformed(spark, raw_csv, landed)
-    wh = Warehouse(raw, year=year)
+    started = _dt.datetime.now(_dt.timezone.utc)
+    wh = Warehouse(raw, year=year, loaded_at=F.lit(started))
 
     # clean artifact, validated export and the quality report
     files.write_clean(wh.clean, f"{out}/clean")
@@ -66,7 +69,8 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
 
     # warehouse tables (full reload)
     tables = {
-        "indemnizatii_clean": wh.loaded.withColumn("created_at", F.current_timestamp()),
+        "indemnizatii_clean": wh.loaded,
+        "stg_indemnizatii_clean": wh.stg,
         "fact_indemnizatii": wh.fact,
         "dim_persoane": wh.dim_persons,
         "dim_companii": wh.dim_companies,
@@ -79,6 +83,10 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
     }
     for name, df in tables.items():
         files.full_reload(df, f"{out}/warehouse/{name}", guard)
+    # the reports in their order, and the cleaned table under its stable key
+    for name, df in analytics.all_reports(wh.loaded, wh.fact, wh.dim_companies).items():
+        files.full_reload(analytics.ranked(name, df).orderBy("report_rank"), f"{out}/reports/{name}", guard)
+    files.publish(wh.clean, publish_to or f"{out}/published/indemnizatii_clean")
     stage_done("load_models")
 
     # data tests over the models (failures are reported, not raised), and the diagnostics

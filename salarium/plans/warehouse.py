@@ -13,7 +13,7 @@ from __future__ import annotations
 import threading
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salarium.functions.text import na_token_blank
@@ -26,8 +26,10 @@ from salarium.sources import fixture
 class Warehouse:
     """Lazily built stages over one raw table; marts are materialised on first use."""
 
-    def __init__(self, raw: DataFrame, year: int = models.DEFAULT_YEAR, materialize_marts: bool = True):
+    def __init__(self, raw: DataFrame, year: int = models.DEFAULT_YEAR, materialize_marts: bool = True,
+                 loaded_at: Column | None = None):
         self.raw = raw
+        self.loaded_at = loaded_at  # the load's timestamp, or none (the registered queries)
         self.year = year
         self._materialize = materialize_marts
         self._runs: dict[tuple, object] = {}
@@ -69,7 +71,7 @@ class Warehouse:
         # the loaded table of the warehouse: typed rows with ids from the order tags, written
         # once; the inference join keeps every prepared row once, so the per-partition counts
         # come from the prepared table's tag columns
-        loaded = load.as_loaded(self._clean_tagged, counted=self._prepared_tagged)
+        loaded = load.as_loaded(self._clean_tagged, counted=self._prepared_tagged, loaded_at=self.loaded_at)
         return self._table(loaded, "indemnizatii_clean")
 
     @cached_property

@@ -153,11 +153,40 @@ def read_reloaded(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def publish(df: DataFrame, uri: str, partition_by: list[str] | None = None) -> None:
-    """Copy the cleaned table to a stable key of any Hadoop file system URI."""
-    w = df.drop(*BOOKKEEPING).write.mode("overwrite").options(**CSV_WRITE).option("header", True)
+    """The cleaned table under a stable key of any Hadoop file system URI.
+
+    The table is written in file order as CSV parts, each with the header, and then
+    ``<uri>.parts``, a small CSV: name, bytes and lines of each part in order. Whoever finds the
+    list finds a whole artifact (``read_published``). One file for the whole table would
+    have to pass through one machine, so it is not made. With ``partition_by`` the table
+    is dealt into folders by those columns and has no list.
+    """
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.csv(uri)
+        out = df.drop(*BOOKKEEPING).write.mode("overwrite").options(**CSV_WRITE).option("header", True)
+        out.partitionBy(*partition_by).csv(uri)
+        return
+    spark, uri = df.sparkSession, uri.rstrip("/")
+    listing, fs = _folder(spark, f"{uri}.parts")
+    fs.delete(listing, True)  # no list stands while parts are replaced
+    _in_file_order(df).write.mode("overwrite").options(**CSV_WRITE).option("header", True).csv(uri)
+    parts = spark.read.option("lineSep", "\n").text(uri).groupBy(
+        F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_size").alias("bytes")).agg(
+        F.count(F.lit(1)).alias("lines"))
+    # one row per file; names of parts ascend in file order
+    parts.coalesce(1).sortWithinPartitions("part").write.option("header", True).csv(f"{uri}.parts")
+
+
+def read_published(spark: SparkSession, uri: str) -> DataFrame:
+    """The cells that ``publish`` left under ``uri``; an error where the parts there are not
+    those its list names."""
+    uri = uri.rstrip("/")
+    listed = spark.read.schema("part string, bytes long, lines long").option("header", True).csv(f"{uri}.parts")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(uri).select(
+        F.element_at(F.split("path", "/"), -1).alias("part"), F.col("length").alias("bytes")).where("bytes > 0")
+    both = found.join(listed.select("part", F.col("bytes").alias("listed")), "part", "full")
+    if not both.where(~F.col("bytes").eqNullSafe(F.col("listed"))).isEmpty():
+        raise RuntimeError(f"the parts at {uri} are not those its list names")
+    return _read_strings(spark, uri, _header(spark, uri)).drop(BAD).na.fill("")
 
 
 def read_json_records(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
