@@ -24,7 +24,8 @@ from __future__ import annotations
 import re
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -226,10 +227,20 @@ def _sample(read: DataFrame, templates: DataFrame, sample_rows: int) -> DataFram
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(STEP))
     stream = some.select(F.explode_outer(F.transform(starts, lambda i: F.slice("words", i + 1, WINDOW))).alias("words"))
     stream = stream.where(F.size("words") > 0).select("words", F.xxhash64("words").alias("order"))
-    padded = lambda words: F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
-    sample = stream.distinct().orderBy("order").limit(sample_rows).withColumn("held", padded("words"))
-    wordings = templates.select(padded("words").alias("wording"))
-    return sample.join(F.broadcast(wordings), F.contains("held", "wording"), "left_anti").drop("held")
+    sample = stored(stream.distinct().orderBy("order").limit(sample_rows), "license-windows")
+    holding = _places(sample, templates.select(F.col("words").alias("wording")), "wording").select("words").distinct()
+    return sample.join(holding, "words", "left_anti")
+
+
+def _places(windows: DataFrame, wordings: DataFrame, wording: str) -> DataFrame:
+    """The windows with each row of ``wordings`` that stands in their ``words``, and its
+    ``place``, from 1. A wording is looked up by its first word, at the places of such words only."""
+    first = F.element_at(wording, 1)
+    firsts = sorted(r[0] for r in wordings.select(first).distinct().collect())  # bounded by the templates
+    at = F.filter(F.sequence(F.lit(1), F.size("words")), lambda p: F.element_at("words", p).isin(firsts))
+    begun = windows.where(F.size("words") > 0).select("*", F.explode(at).alias("place"))
+    found = begun.join(F.broadcast(wordings), F.element_at("words", F.col("place")) == first)
+    return found.where(F.slice("words", F.col("place"), F.size(wording)) == F.col(wording))
 
 
 def train(read: DataFrame, templates: DataFrame, sample_rows: int = 3_000) -> tuple[list[str], list[tuple[str, list[float]]], list[float], float]:
@@ -246,10 +257,9 @@ def train(read: DataFrame, templates: DataFrame, sample_rows: int = 3_000) -> tu
     vocabulary = sorted(r["gram"] for r in own.join(common, "gram", "left_anti").collect())  # bounded by the templates
     classes = sorted({r["family"] for r in templates.select("family").distinct().collect()} | {UNKNOWN})
     label = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col("family")).cast("double") - 1
-    all_grams = F.lit(vocabulary)
-    vector = array_to_vector(F.transform(all_grams, lambda v: F.array_contains("own", v).cast("double")))
-    data = stored(rows.withColumn("own", F.array_intersect("grams", all_grams)).select("part", label.alias("label"), "own"), "license-grams")
-    data = data.select("part", "label", vector.alias("features"))
+    # sparse vectors: each row's own n-grams are looked up in the vocabulary's index
+    sparse = CountVectorizerModel.from_vocabulary(vocabulary, "grams", "features").setBinary(True)
+    data = stored(sparse.transform(rows).select("part", label.alias("label"), "features"), "license-grams")
     fitted = LogisticRegression(family="multinomial", regParam=3e-4, elasticNetParam=0.5, maxIter=60, standardization=False).fit(data.where("part <> 0"))
     matrix, intercepts = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
 
@@ -303,13 +313,10 @@ def _confirmed(read: DataFrame, standing: DataFrame, templates: DataFrame, simil
     windows = again.select("id", "doc_key", F.explode_outer(cut).alias("cut")).select(
         "id", "doc_key", "cut.window", "cut.probability", F.col("cut.words.word").alias("words"), F.col("cut.words.line").alias("lines"))
     padded = lambda words: F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" "))
-    windows = windows.withColumn("text", padded("words"))
 
     known = templates.select(
-        "family", F.reverse("words").alias("t_words"), "keys", F.element_at("keys", 1).alias("first_key"), "key", "at", "slack")
-    pairs = windows.join(F.broadcast(known), F.contains("text", "first_key"))
-    places = F.filter(F.sequence(F.lit(1), F.size("words")), lambda p: F.slice("words", p, F.size("key")) == F.col("key"))
-    pairs = pairs.withColumn("place", F.explode(places))
+        "family", F.reverse("words").alias("t_words"), "keys", "key", "at", "slack")
+    pairs = _places(windows, known, "key")
     # the words around the key words, read backwards
     low = F.greatest(F.lit(1), F.col("place") - F.col("at") - F.col("slack"))
     high = F.least(F.size("words"), F.col("place") - F.col("at") + F.size("t_words") - 1 + F.col("slack"))
