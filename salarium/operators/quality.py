@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salarium.functions.text import is_blank, py_strip
@@ -100,14 +100,29 @@ def names_multi_company(clean: DataFrame) -> DataFrame:
                  .where(F.col("n_cui") > 1))
 
 
-def quality_report(clean: DataFrame, bad_line_count: int = 0) -> DataFrame:
-    """V7 (A11): one row of counts over the re-read clean table, plus ``status``."""
+def row_counts() -> list[Column]:
+    """The counts of V7 that a single pass over the rows gives; they can be taken while the rows
+    are written (``files.write_validated``)."""
+    return [F.count(F.lit(1)).alias("row_count"),
+            F.count_if(_any_blank(CRITICAL_COLUMNS)).alias("rows_with_missing_fields"),
+            F.count_if(is_blank(F.col("nr_crt"))).alias("blank_nr_crt")]
+
+
+def quality_report(clean: DataFrame, bad_line_count: int = 0, counted: dict[str, int] | None = None) -> DataFrame:
+    """V7 (A11): one row of counts over the re-read clean table, plus ``status``.
+
+    ``counted``: the values of ``row_counts``, where a write of ``clean`` has observed them; the
+    table is then read for its names only.
+    """
     data_cols = [c for c in clean.columns if c not in BOOKKEEPING]
     missing = require_columns(clean)
-    counts = clean.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        F.count_if(_any_blank(CRITICAL_COLUMNS)).alias("rows_with_missing_fields"),
-        F.count_if(is_blank(F.col("nr_crt"))).alias("blank_nr_crt"),
+    if counted is None:
+        counts = clean.agg(*row_counts())
+    else:
+        counts = clean.sparkSession.range(1).select(
+            *[F.lit(counted[c]).cast("bigint").alias(c) for c in ("row_count", "rows_with_missing_fields", "blank_nr_crt")])
+    counts = counts.select(
+        "*",
         F.lit(None).cast("bigint").alias("names_with_multiple_cui_review_count"))
     names = names_multi_company(clean).agg(
         F.lit(None).cast("bigint").alias("row_count"),

@@ -62,8 +62,8 @@ def run_batch(spark: SparkSession, raw_csv: str, out_dir: str, year: int = model
 
     # clean artifact, validated export and the quality report
     files.write_clean(wh.clean, f"{out}/clean")
-    files.write_validated(wh.clean_reread, f"{out}/validated")
-    report = quality.quality_report(wh.clean_reread, bad_line_count=bad_lines)
+    counted = files.write_validated(wh.clean_reread, f"{out}/validated", quality.row_counts())
+    report = quality.quality_report(wh.clean_reread, bad_lines, counted)
     files.write_quality_report(report, f"{out}/quality", raw_csv, f"{out}/validated")
     stage_done("clean_validate")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -96,10 +96,19 @@ def _in_file_order(df: DataFrame) -> DataFrame:
     return (df.orderBy(*order) if order else df).drop(*BOOKKEEPING)
 
 
-def write_validated(df: DataFrame, path: str) -> None:
-    """Every field quoted, '\\n' line ends."""
-    (_in_file_order(df).write.mode("overwrite").options(**{**CSV_WRITE, "emptyValue": '""'})
+def write_validated(df: DataFrame, path: str, counts: list[Column] | None = None) -> dict:
+    """Every field quoted, '\\n' line ends. ``counts``: aggregates over the written rows,
+    taken by the write itself and returned by name, so no other scan is needed for them.
+
+    They are observed after the sort, in the tasks that write: its sampling pass, or a task
+    that is run again, counts no row twice.
+    """
+    rows, seen = _in_file_order(df), Observation()
+    if counts:
+        rows = rows.observe(seen, *counts)
+    (rows.write.mode("overwrite").options(**{**CSV_WRITE, "emptyValue": '""'})
        .option("header", True).option("quoteAll", True).option("lineSep", "\n").csv(path))
+    return seen.get if counts else {}
 
 
 RELOAD_GUARD = "salarium.reload.allowedPrefixes"

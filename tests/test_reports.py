@@ -75,3 +75,17 @@ def test_job_writes_reports_staging_and_artifact(spark, tmp_dir):
     published = files.read_published(spark, f"{out}/published/indemnizatii_clean")
     clean = files.read_clean(spark, f"{out}/clean")
     assert published.columns == clean.columns and published.count() == 60
+
+
+def test_counts_taken_while_writing(spark, tmp_dir):
+    from salarium.operators import quality
+
+    columns = [*quality.CRITICAL_COLUMNS, "nr_crt"]
+    blank = lambda c, i: "" if (c == "cui" and i % 7 == 0) or (c == "nr_crt" and i % 3 == 0) else f"{c}{i % 4}"
+    rows = [(i, *[blank(c, i) for c in columns]) for i in range(500)]
+    df = spark.createDataFrame(rows, "src_row long, " + ", ".join(f"{c} string" for c in columns)).repartition(6)
+    counted = files.write_validated(df, os.path.join(tmp_dir, "v"), quality.row_counts())
+    assert counted == {"row_count": 500, "rows_with_missing_fields": 72, "blank_nr_crt": 167}
+    assert quality.quality_report(df, 3, counted).collect() == quality.quality_report(df, 3).collect()
+    empty = files.write_validated(df.limit(0), os.path.join(tmp_dir, "e"), quality.row_counts())
+    assert quality.quality_report(df.limit(0), 0, empty).collect() == quality.quality_report(df.limit(0)).collect()
