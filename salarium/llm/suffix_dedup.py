@@ -16,8 +16,9 @@ Built without a suffix array over all bytes; see the README for why. The groups
    of one lot are reduced to the first, so a passage in a third of all documents has no
    edge that one task must hold.
 
-Hashes are 64-bit polynomials; windows are equal when both the anchors' and their own
-hashes, of different bases, are equal.
+A hash is a pair of polynomials modulo the prime 2^31 - 1, of different bases (modulo a power
+of two, texts built for it collide under every base); windows are equal when both the anchors'
+and their own hashes, of four bases in all, are equal.
 """
 
 from __future__ import annotations
@@ -35,30 +36,54 @@ from salarium.llm.tables import column, configure, partitions, per_process, stor
 
 _PIECE = 1 << 20  # bytes hashed at once
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_PRIME = (1 << 31) - 1
+_POLYNOMIALS = ((0x2545F491, 0x1B873593), (0x5851F42D, 0x3C6EF372))  # two bases for each of two hashes
+_PLACE_BITS = 24  # of a byte in its piece
 _HOT_RUNS = 2_000  # an anchor with more runs has its windows dealt by their own hash
 _NO_ID = -(1 << 63)  # order of a null id: before all others
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A smaller number that is equal modulo the prime."""
+    return (x & np.uint64(_PRIME)) + (x >> np.uint64(31))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of ``base`` modulo the prime."""
+    out = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        out[done : done + step] = out[:step] * np.uint64(pow(base, done, _PRIME)) % np.uint64(_PRIME)
+        done += step
+    return out
+
+
 class Windows:
     """Anchored runs of the windows of a text."""
 
     def __init__(self, length: int, kmer: int):
         self.length, self.kmer = length, kmer
-        self.most = _PIECE + 2 * length
-        self.powers = []
-        for base in _BASES:
-            up = np.cumprod(np.full(self.most + 1, base, np.uint64), dtype=np.uint64)
-            down = np.cumprod(np.full(self.most + 1, pow(base, -1, 1 << 64), np.uint64), dtype=np.uint64)
-            self.powers.append((up, down))
+        most = _PIECE + 2 * length
+        if most >= 1 << _PLACE_BITS:  # also keeps the sums of a piece below 2^64
+            raise ValueError(f"windows of {length} bytes are too long")
+        self.powers = [
+            [(_powers(base, most), _powers(pow(base, -1, _PRIME), most)) for base in pair] for pair in _POLYNOMIALS]
 
     def _hasher(self, piece: bytes, which: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
-        up, down = self.powers[which]
-        sums = np.zeros(len(piece) + 1, np.uint64)
         raw = np.frombuffer(piece, np.uint8).astype(np.uint64) + np.uint64(1)
-        np.cumsum(raw * up[: len(piece)], out=sums[1:])
+        both = []
+        for up, down in self.powers[which]:
+            sums = np.zeros(len(piece) + 1, np.uint64)
+            np.cumsum(raw * up[: len(piece)], out=sums[1:])
+            both.append((sums, down))
 
         def of(start: np.ndarray, end: np.ndarray) -> np.ndarray:
-            h = (sums[end] - sums[start]) * down[start]
+            h = np.zeros(len(start), np.uint64)
+            for sums, down in both:
+                part = _folded(_folded(_folded(sums[end] - sums[start]) * down[start]))
+                part -= np.where(part >= np.uint64(_PRIME), np.uint64(_PRIME), np.uint64(0))
+                h = (h << np.uint64(31)) | part
             h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
             return h ^ (h >> np.uint64(29))
 
@@ -76,14 +101,14 @@ class Windows:
         n, k = len(piece), self.kmer
         of = self._hasher(piece, 0)
         at = np.arange(n - k + 1)
-        key = (of(at, at + k) & ~np.uint64((1 << 24) - 1)) | at.astype(np.uint64)  # ties: the leftmost
+        key = (of(at, at + k) & ~np.uint64((1 << _PLACE_BITS) - 1)) | at.astype(np.uint64)  # ties: the leftmost
         span, low, done = self.length - k + 1, key, 1
         while done * 2 <= span:
             low = np.minimum(low[: len(low) - done], low[done:])
             done *= 2
         rest = span - done
         low = np.minimum(low[: len(low) - rest], low[rest:]) if rest else low
-        anchor_at = (low & np.uint64((1 << 24) - 1)).astype(np.int64)
+        anchor_at = (low & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64)
         first = np.flatnonzero(np.diff(anchor_at, prepend=-1))
         count = np.diff(np.append(first, len(anchor_at)))
         place = anchor_at[first]

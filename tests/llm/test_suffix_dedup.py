@@ -75,3 +75,37 @@ def test_keys_larger_than_a_table(spark, monkeypatch):
     rows = corpus(9)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert Counter(map(tuple, suffix_dedup.repeats(df).collect())) == brute(rows)
+
+
+def swapped_halves(n):
+    """A text of ``n`` letters and the text with its letters exchanged, in which every half
+    exchanges those of the half before: polynomials modulo powers of two take them for equal."""
+    a, b = "a", "b"
+    while len(a) < n:
+        a, b = a + b, b + a
+    return a, b
+
+
+@pytest.mark.parametrize("length", [40, 100, 1024])
+def test_texts_that_collide_modulo_powers_of_two(spark, length):
+    a, b = swapped_halves(1024)
+    rng = np.random.default_rng(length)
+    noise = lambda n: "".join(rng.choice(list("cdefgh"), n))
+    rows = [(1, noise(300) + a + noise(300)), (2, noise(200) + b + noise(350)), (3, noise(50) + a + noise(10)), (4, noise(1500)), (5, b + a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(map(tuple, suffix_dedup.repeats(df, length=length).collect())) == brute(rows, length)
+
+
+def test_hash_of_a_part_is_the_polynomial_of_its_bytes():
+    find = suffix_dedup.Windows(100, 32)
+    raw = bytes(np.random.default_rng(2).integers(0, 256, 5000, np.uint8))
+    for which in (0, 1):
+        of = find._hasher(raw + raw, which)
+        at = np.arange(len(raw) - 170)
+        first, again = of(at, at + 170), of(at + len(raw), at + len(raw) + 170)
+        assert (first == again).all() and len(set(first.tolist())) == len(at)
+
+
+def test_too_long_windows_are_refused():
+    with pytest.raises(ValueError):
+        suffix_dedup.Windows(1 << 23, 32)
