@@ -11,8 +11,9 @@ operations, so the number of leaves is not limited by the driver.
 Each leaf then takes a token-prefix of its epochs: every epoch is the whole leaf in an
 order seeded by epoch, epochs follow each other, and documents are taken until the leaf's
 budget is reached. Whole epochs need no order; in the last one a histogram over the order
-key finds the 4,096th part in which the budget ends, and only that part is ranked exactly,
-so a leaf holding a third of all rows is never ranked in one task.
+key finds the 4,096th part in which the budget ends, a second one the 4,096th part of that,
+and only there equal places are summed and ranked, so neither a leaf holding a third of all
+rows nor the copies of one row are ranked in one task.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from pyspark.sql.window import Window
 
 from salarium.llm.tables import column, configure, keyed, rows_of, stored, text_of
 
-_PART_BITS = 12
+_PART_BITS = 12  # of the order, found by one histogram; half of them by its sums
+_HISTOGRAMS = 2
 
 
 def word_tokens(text: Column) -> Column:
@@ -79,11 +81,12 @@ def budgets(leaves: DataFrame, levels: list[str], weights: dict[str, dict[str, f
     for d in range(1, depth + 1):
         path = levels[:d]
         supply = leaves.groupBy(*path).agg((F.sum("tokens") * F.lit(float(max_epochs))).alias("supply"))
-        given = weights.get(levels[d - 1], {})
-        weight = F.lit(1.0)
-        for value, w in given.items():
-            weight = F.when(F.col(levels[d - 1]).eqNullSafe(F.lit(value)), F.lit(float(w))).otherwise(weight)
-        family = supply.withColumn("weight", weight)
+        given = {None if v is None else str(v): float(w) for v, w in weights.get(levels[d - 1], {}).items()}
+        family = supply.withColumn("weight", F.lit(1.0))
+        if given:
+            table = leaves.sparkSession.createDataFrame(list(given.items()), "value string, given double")
+            family = supply.join(table, F.col(levels[d - 1]).eqNullSafe(F.col("value")), "left").select(
+                *path, "supply", F.coalesce("given", F.lit(1.0)).alias("weight"))
         if now is None:
             family = family.withColumn("budget", F.lit(float(budget)))
         else:
@@ -104,6 +107,39 @@ def _same(cols: list[str], others: list[str]) -> Column:
     return on
 
 
+def _place(order: Column) -> Column:
+    """Signed numbers that stand in the order of unsigned ones."""
+    return order.bitwiseXOR(F.lit(-(1 << 63)))
+
+
+def _reached(parts: DataFrame, part: str) -> DataFrame:
+    """(end_key, end, end_before): of each leaf the last of its ``parts (leaf_key, rest, before,
+    part, tokens)`` that begins before the rest is used up, and the tokens before it."""
+    earlier = Window.partitionBy("leaf_key").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    begun = parts.withColumn("before", F.col("before") + F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
+    return begun.where(F.col("before") < F.col("rest")).groupBy(F.col("leaf_key").alias("end_key")).agg(
+        F.max(part).alias("end"), F.max("before").alias("end_before"))
+
+
+def _last_places(placed: DataFrame) -> DataFrame:
+    """(end_key, end): the last place that each leaf's rest reaches; no row where it reaches none."""
+    sums = ["leaf_key", "rest", "before"]
+    tokens = F.sum("n_tokens").alias("tokens")
+    within = placed.select("leaf_key", "rest", F.lit(0).cast("bigint").alias("before"), "order", "n_tokens")
+    for step in range(1, _HISTOGRAMS + 1):
+        part = F.shiftrightunsigned("order", 64 - step * _PART_BITS).bitwiseAND(F.lit((1 << _PART_BITS) - 1))
+        within = within.withColumn("bin", part)
+        bins = stored(within.groupBy(*sums, "bin").agg(tokens), "mixing-bins")
+        stretch = F.shiftright("bin", _PART_BITS // 2)  # windows hold the stretches, then the bins of one
+        ends = _reached(bins.groupBy(*sums, stretch.alias("stretch")).agg(F.sum("tokens").alias("tokens")), "stretch")
+        inside = bins.join(ends, (F.col("leaf_key") == F.col("end_key")) & (stretch == F.col("end")))
+        ends = stored(_reached(inside.select("leaf_key", "rest", F.col("end_before").alias("before"), "bin", "tokens"), "bin"), "mixing-ends")
+        within = within.join(ends, (F.col("leaf_key") == F.col("end_key")) & (F.col("bin") == F.col("end"))).select(
+            "leaf_key", "rest", F.col("end_before").alias("before"), "order", "n_tokens")
+    places = within.groupBy(*sums, _place(F.col("order")).alias("place")).agg(tokens)
+    return _reached(places, "place").select("end_key", "end")
+
+
 def _taken(docs: DataFrame, levels: dict[str, str], weights: dict[str, dict[str, float]], budget_share: float, max_epochs: int, seed: int, text_col: str, id_col: str, key_col: str | None = None) -> DataFrame:
     """(id, row_key, leaf, n_tokens, copies) of the rows taken; ``row_key`` is ``key_col``."""
     configure(docs.sparkSession)
@@ -134,22 +170,10 @@ def _taken(docs: DataFrame, levels: dict[str, str], weights: dict[str, dict[str,
     # the plan has one row per leaf: Spark broadcasts it by its size, or splits hot leaves
     placed = rows.join(plan, _same(level_cols, plan_cols)).withColumn(
         "order", F.xxhash64(F.lit(seed), F.col("epochs"), F.col("id"), F.col("text_key")))
-    placed = placed.withColumn("bin", F.shiftrightunsigned("order", 64 - _PART_BITS).cast("int")).drop(*plan_cols)
-    placed = stored(placed, "mixing-placed")
-    # at most 4,096 rows per leaf; the last bin that starts below the rest is the one it ends in
-    filled = placed.groupBy("leaf_key", "rest", "bin").agg(F.sum("n_tokens").alias("in_bin"))
-    before = Window.partitionBy("leaf_key").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = filled.withColumn("before", F.coalesce(F.sum("in_bin").over(before), F.lit(0)))
-    ends = bins.where(F.col("before") < F.col("rest")).groupBy(F.col("leaf_key").alias("end_key")).agg(
-        F.max("bin").alias("last_bin"), F.max("before").alias("before"))
-    cut = placed.join(stored(ends, "mixing-ends"), F.col("leaf_key") == F.col("end_key"), "left")
-    # shiftrightunsigned orders bins as unsigned numbers; inside one bin the sign is the same
-    earlier = Window.partitionBy("leaf_key").orderBy("order").rangeBetween(Window.unboundedPreceding, -1)
-    taken_before = F.col("before") + F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0))
-    inside = cut.where("bin = last_bin").withColumn("extra", (taken_before < F.col("rest")).cast("int"))
-    others = cut.where("last_bin is null or bin <> last_bin").withColumn("extra", F.coalesce(F.col("bin") < F.col("last_bin"), F.lit(False)).cast("int"))
-    wanted = ["id", "row_key", *level_cols, "n_tokens", "epochs", "extra"]
-    both = inside.select(wanted).unionAll(others.select(wanted)).withColumn("copies", F.col("epochs") + F.col("extra"))
+    placed = stored(placed.drop(*plan_cols), "mixing-placed")
+    cut = placed.join(stored(_last_places(placed), "mixing-ends"), F.col("leaf_key") == F.col("end_key"), "left")
+    extra = F.coalesce(_place(F.col("order")) <= F.col("end"), F.lit(False)).cast("int")
+    both = cut.withColumn("copies", F.col("epochs") + extra)
     leaf = F.struct(*[F.col(c).alias(n) for c, n in zip(level_cols, names)])
     return both.where(F.col("copies") > 0).select("id", "row_key", leaf.alias("leaf"), "n_tokens", "copies")
 

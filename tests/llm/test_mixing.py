@@ -83,6 +83,35 @@ def test_leaves_meet_their_budgets(spark, share, epochs):
     assert Counter(map(repr, again)) == Counter(map(repr, got))
 
 
+@pytest.mark.parametrize("share,bits", [(0.3, 12), (1.7, 2), (0.9, 4)])
+def test_what_is_taken_is_a_prefix_of_the_seeded_order(spark, monkeypatch, share, bits):
+    monkeypatch.setattr(mixing, "_PART_BITS", bits)
+    rows, _ = make(spark)
+    rows += [(None, "equal in id and text", "d0", "en", "hot", "x")] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string, domain string, lang string, source string, rest string").repartition(4)
+    weights, epochs, seed = {"domain": {"d0": 2.0}, "lang": {None: 0.5}}, 3, 5
+    tokens = Counter()
+    for r in rows:
+        tokens[r[2:5]] += len((r[1] or "").split())
+    want = Counter()
+    budget = {k: b for k, b in tree_budgets(tokens, weights, sum(tokens.values()) * share, epochs).items() if tokens[k]}
+    whole = {k: min(epochs, int(b // tokens[k])) for k, b in budget.items()}
+    order = df.select("*", *[F.xxhash64(F.lit(seed), F.lit(e), "doc_id", F.xxhash64(F.coalesce("text", F.lit("")))).alias(f"o{e}") for e in range(epochs + 1)])
+    leaves = defaultdict(list)
+    for r in order.collect():
+        leaf = (r.domain, r.lang, r.source)
+        if leaf in whole:
+            leaves[leaf].append((r[f"o{whole[leaf]}"] % (1 << 64), r.doc_id, len((r.text or "").split())))
+    for leaf, docs in leaves.items():
+        rest = budget[leaf] - whole[leaf] * tokens[leaf] if whole[leaf] < epochs else 0.0
+        for place, i, n in docs:
+            copies = whole[leaf] + (sum(m for p, _, m in docs if p < place) < rest)
+            if copies:
+                want[i, leaf, n, copies] += 1
+    got = mixing.mix(df, LEVELS, weights, budget_share=share, max_epochs=epochs, seed=seed).collect()
+    assert Counter((r.doc_id, tuple(r.leaf), r.n_tokens, r.copies) for r in got) == want
+
+
 def test_documents_come_as_often_as_taken(spark):
     rows, df = make(spark, 200)
     got = mixing.mixed_documents(df, LEVELS, {}, budget_share=2.0)
@@ -93,6 +122,16 @@ def test_documents_come_as_often_as_taken(spark):
     assert Counter(r.doc_id for r in got.collect()) == want
 
 
+def test_extra_columns_named_like_its_own(spark):
+    rows, df = make(spark, 60)
+    names = ["leaf_key", "order", "end", "end_key", "before", "bin", "level_0", "copies", "row_key", "n_tokens"]
+    clashing = df.select("*", *[F.lit(1).alias(n) for n in names])
+    key = lambda r: repr((r.doc_id, r.leaf, r.n_tokens, r.copies))
+    want = Counter(map(key, mixing.mix(df, LEVELS, {}, budget_share=0.5).collect()))
+    assert Counter(map(key, mixing.mix(clashing, LEVELS, {}, budget_share=0.5).collect())) == want
+    assert mixing.mixed_documents(clashing, LEVELS, {}, budget_share=0.5).columns == clashing.columns
+
+
 def test_empty_table(spark):
     _, df = make(spark, 1)
     assert mixing.mix(df.limit(0), LEVELS, {}).count() == 0
