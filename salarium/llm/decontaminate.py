@@ -12,16 +12,19 @@ their maxima, summed over all shingles.
    windows only those that start there need a fingerprint.
 2. Each such window gets a 64-bit SimHash of its shingles, as does each item. The
    fingerprints are cut into ``radius + 1`` blocks; two fingerprints within the radius agree
-   in at least one block, so the join on (words, block number, block value) finds all of
-   them, and the exact distance drops the rest.
+   in at least one block, so the join on (item, block number, block value), over the items
+   that hold the window's shared shingle, finds all of them, and the exact distance drops
+   the rest.
 3. The candidates' exact similarity decides.
 
 At similarity 0.8 about 15 % of the fingerprint's bits differ; the default radius of 20 of
 64 bits leaves out such a window with a probability near 0.0002, and closer ones far more
 rarely.
 
-Items are joined in blocks of at most ``block_items`` items and ``block_shingles`` shingles:
-what is broadcast is bounded by these numbers, whatever the size of the benchmark.
+The items' shingles are looked up in lots of about ``block_shingles`` of them (and no more than
+about ``block_items`` items have), dealt by their hash: what is broadcast is bounded by these
+numbers, whatever the size of the benchmark or of one item. For more than one lot the documents'
+shingles are stored, so that the texts are read once for each shingle length.
 """
 
 from __future__ import annotations
@@ -133,15 +136,14 @@ def contaminated(
     items = stored(
         items.withColumn("hashes", made).select("item", "n_words", "k", "hashes", F.xxhash64("item", "words").alias("item_key")), "items")
 
-    n_items, n_shingles, lengths = items.agg(F.count(F.lit(1)), F.sum(F.size("hashes")), F.collect_set("k")).first()
-    blocks = max(1, -(-n_items // block_items), -(-(n_shingles or 0) // block_shingles))
+    marked = stored(with_simhash(items, "hashes", "item_fp"), "item-fingerprints")
+    counted = marked.groupBy("k").agg(F.count(F.lit(1)), F.sum(F.size("hashes"))).collect()  # a row for each shingle length
     read = docs.select(column(docs, id_col).alias("id"), words_of(text_of(docs, text_col)).alias("words"))
     out = None
-    for block in range(blocks):
-        own = items.where(F.pmod("item_key", F.lit(blocks)) == block)
-        for k in sorted(lengths) or [shingle]:
-            found = _matches(read, own.where(F.col("k") == k), k, threshold, radius)
-            out = found if out is None else out.unionAll(found)
+    for k, n_items, n_shingles in sorted(counted) or [(shingle, 0, 0)]:
+        lots = max(1, -(-n_items // block_items), -(-n_shingles // block_shingles))
+        found = _matches(read, marked.where(F.col("k") == k), k, lots, threshold, radius)
+        out = found if out is None else out.unionAll(found)
     best = out.groupBy("id", "item").agg(
         F.max(F.struct("similarity", (-F.col("start")).alias("start"), (-F.col("distance")).alias("distance"))).alias("best"))
     return best.select(
@@ -149,32 +151,41 @@ def contaminated(
         "best.similarity", (-F.col("best.distance")).alias("distance"))
 
 
-def _matches(docs: DataFrame, items: DataFrame, k: int, threshold: float, radius: int) -> DataFrame:
+def _matches(docs: DataFrame, items: DataFrame, k: int, lots: int, threshold: float, radius: int) -> DataFrame:
     """(id, item, start, similarity, distance) for items whose shingles are ``k`` words long."""
     hashed = docs.select("id", F.size("words").alias("doc_words"), shingles_of("words", k).alias("hashes"))
+    if lots > 1:
+        hashed = stored(hashed, "document-shingles")
     # outer: for a plain explode Spark adds a filter on the array's size, with the words' pattern inside its loop
     each = hashed.select("id", "doc_words", "hashes", F.posexplode_outer("hashes").alias("pos", "h"))
-    sizes = items.select("n_words", F.explode("hashes").alias("item_h")).groupBy("item_h").agg(F.collect_set("n_words").alias("sizes"))
-    shared = each.join(F.broadcast(sizes), F.col("h") == F.col("item_h"))
-    shared = shared.select("id", "doc_words", "hashes", "pos", F.explode("sizes").alias("n_words"))
+    holders = items.select("n_words", "item_key", F.explode("hashes").alias("item_h")).groupBy("item_h", "n_words").agg(
+        F.collect_set("item_key").alias("item_keys"))
+    lookup = stored(
+        holders.groupBy("item_h").agg(F.collect_list(F.struct("n_words", "item_keys")).alias("held")), "item-shingles")
+    shared = None
+    for lot in range(lots):
+        own = each.join(F.broadcast(lookup.where(F.pmod("item_h", F.lit(lots)) == lot)), F.col("h") == F.col("item_h"))
+        own = own.select("id", "doc_words", "hashes", "pos", F.inline("held"))
+        shared = own if shared is None else shared.unionAll(own)
     start = F.greatest(F.lit(0), F.least(F.col("pos"), F.col("doc_words") - F.col("n_words")))
     windows = stored(shared.select(
-        "id", "n_words", start.alias("start"), F.slice("hashes", start + 1, F.col("n_words") - (k - 1)).alias("window")), "windows")
+        "id", "item_keys", start.alias("start"), F.slice("hashes", start + 1, F.col("n_words") - (k - 1)).alias("window")), "windows")
     windows = stored(with_simhash(windows, "window", "fp"), "window-fingerprints")
+    windows = windows.withColumn("tried", F.explode("item_keys")).drop("item_keys")
     windows = windows.withColumn("cut", F.explode(_blocks("fp", radius))).select("*", "cut.block", "cut.value").drop("cut")
 
-    marked = stored(with_simhash(items, "hashes", "item_fp"), "item-fingerprints")
-    index = marked.select("item_key", "item_fp", F.col("n_words").alias("item_words"), F.explode(_blocks("item_fp", radius)).alias("cut"))
-    index = index.select("item_key", "item_fp", "item_words", F.col("cut.block").alias("item_block"), F.col("cut.value").alias("item_value"))
-    on = (F.col("n_words") == F.col("item_words")) & (F.col("block") == F.col("item_block")) & (F.col("value") == F.col("item_value"))
-    pairs = windows.join(F.broadcast(index), on)
+    # a row of the index for each item and block, its shingles in another table: Spark broadcasts either by its size
+    index = items.select("item_key", "item_fp", F.explode(_blocks("item_fp", radius)).alias("cut"))
+    index = index.select("item_key", "item_fp", F.col("cut.block").alias("item_block"), F.col("cut.value").alias("item_value"))
+    on = (F.col("tried") == F.col("item_key")) & (F.col("block") == F.col("item_block")) & (F.col("value") == F.col("item_value"))
+    pairs = windows.join(index, on)
     differ = F.col("fp").bitwiseXOR(F.col("item_fp"))
     first = F.lit(radius)  # a pair is kept in the first block in which it agrees
     for i, (lo, hi) in reversed(list(enumerate(_cuts(radius)))):
         first = F.when(_block(differ, lo, hi) == 0, F.lit(i)).otherwise(first)
     pairs = pairs.withColumn("distance", F.bit_count(differ)).where((F.col("distance") <= radius) & (F.col("block") == first))
-    full = marked.select(F.col("item_key").alias("full_key"), "item", "hashes")
-    checked = pairs.join(F.broadcast(full), F.col("item_key") == F.col("full_key"))
+    full = items.select(F.col("item_key").alias("full_key"), "item", "hashes")
+    checked = pairs.join(full, F.col("item_key") == F.col("full_key"))
     return checked.withColumn("similarity", similarity("window", "hashes")).where(F.col("similarity") >= threshold).select(
         "id", "item", "start", "similarity", "distance")
 

@@ -96,3 +96,30 @@ def test_native_plan(spark, case):
     plan = decontaminate.contaminated(docs, items)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)
     assert docs.select(F.size(decontaminate.words_of(F.lit("  a,b  ")))).first()[0] == 2
+
+
+def test_texts_are_read_once_for_each_shingle_length(spark, case, monkeypatch):
+    docs, items = frames(spark, case)
+    names = []
+    store = decontaminate.stored
+    monkeypatch.setattr(decontaminate, "stored", lambda df, name: (names.append(name), store(df, name))[1])
+    got = decontaminate.contaminated(docs, items, block_shingles=100)  # some fifteen lots
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == brute(*case).keys()
+    lengths = len({min(5, len(words(t))) for _, t in case[1]} - {0})
+    assert names.count("document-shingles") <= lengths and names.count("windows") == lengths
+
+
+def test_items_of_one_length_that_share_phrases(spark):
+    rng = np.random.default_rng(3)
+    phrase = "which of the following is true of".split()
+    prose = lambda n: [f"v{x}" for x in rng.integers(0, 500, n)]
+    items = [(i, " ".join(phrase + prose(24))) for i in range(40)] + [(40, " ".join(prose(30)))]
+    items += [(0, items[0][1])]  # a repeated row
+    rows = [(i, " ".join(prose(20) + text.split()[: 30 - i % 4] + prose(20))) for i, (_, text) in enumerate(items)]
+    rows += [(100 + i, " ".join(prose(15) + phrase + prose(40))) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r.doc_id, r.item_id): r.similarity for r in got.collect()}
+    want = brute(rows, items)
+    assert found.keys() == want.keys() and all(abs(found[k] - want[k]) < 1e-12 for k in want)
+    assert got.count() == len(found)
