@@ -113,14 +113,15 @@ def assign_shards(
     id_col: str = "doc_id",
     overhead: int = 8,
     heavy_part: int = 256,
-    lanes: int = 16,
+    lane_rows: int = 100_000,
 ) -> DataFrame:
     """One row per input row: id, ``size``, ``text_crc32``, ``law``, ``shard``, ``slot``,
     ``grown_shard``, under the law ``bytes``: the shards' sizes are near equal.
 
     ``size`` is the text's UTF-8 bytes plus ``overhead``. Equal texts share a shard unless
     together they exceed one. ``slot`` numbers the rows of a shard from 0 without gaps, in the
-    order of (lane, text hash, id); ``lanes`` is the number of tasks that number one shard.
+    order of (lane, text hash, id); each shard is numbered by as many tasks (lanes) as it would
+    need for ``lane_rows`` rows in each, had all shards equally many.
     ``grown_shard`` is null, as it belongs to the law ``key``.
 
     A null text has no bytes and equals the empty text. Null ids and repeated rows are rows
@@ -134,11 +135,12 @@ def assign_shards(
             (F.octet_length(text) + F.lit(overhead)).cast("bigint").alias("size"),
             F.crc32(text).alias("crc"),
             _key(text).alias("key"),
-            _key(F.struct(column(docs, id_col), F.lit(7))).alias("id_key"),
+            _key(F.struct(column(docs, id_col), _key(text))).alias("id_key"),
         ),
         "shard-rows",
     )
-    total = rows.agg(F.sum("size")).first()[0] or 0
+    total, n_rows = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count(F.lit(1))).first()
+    lanes = max(1, -(-n_rows // (shards * lane_rows)))
     groups = rows.groupBy("key").agg(F.sum("size").alias("size"))
     # at most shards * heavy_part rows, as each holds more than that part of all bytes
     bound = total // (shards * heavy_part)
@@ -171,7 +173,7 @@ def assign_shards(
         F.pmod("id_key", F.lit(lanes)).cast("int").alias("lane"),
     )
 
-    # slots: rows before the lane (shards * lanes rows) plus the row's place in its lane
+    # slots: rows before the lane (a count for each lane of a shard) plus the row's place in its lane
     counts = dealt.groupBy("shard", "lane").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
     offsets = F.broadcast(counts.select("shard", "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")))
@@ -187,17 +189,22 @@ def assign_shards(
     )
 
 
-def write_shards(docs: DataFrame, path: str, shards: int, text_col: str = "text", id_col: str = "doc_id") -> None:
+def write_shards(
+    docs: DataFrame, path: str, shards: int, text_col: str = "text", id_col: str = "doc_id", file_bytes: int = 512 << 20
+) -> None:
     """Write ``docs`` as one folder per shard (``_shard=0``, ``_shard=1``, ...), all columns kept.
 
     A row is known by a key of its own, so null and repeated ids are dealt like any other.
     Where ``docs`` has a column of the folders' name, the folders' name gets one more ``_``.
+    A shard is written by as many tasks as it has ``file_bytes`` of text, in a file each.
     """
     whole, slim = keyed(docs, id_col, text_col)
     where = assign_shards(slim, shards, "text", "key").select("key", F.col("shard").alias("to"))
     name = "_shard"
     while name in (c.lower() for c in docs.columns):
         name += "_"
-    dealt = whole.join(where, "key").repartition("to", F.pmod(F.xxhash64("key"), F.lit(16)))
+    size = slim.agg(F.sum(F.octet_length(F.col("text").cast("string")).cast("bigint"))).first()[0] or 0
+    files = max(1, -(-size // (shards * file_bytes)))
+    dealt = whole.join(where, "key").repartition("to", F.pmod(F.xxhash64("key"), F.lit(files)))
     rows = dealt.select(*(F.col("row").getField(c).alias(c) for c in docs.columns), F.col("to").alias(name))
     rows.write.mode("overwrite").partitionBy(name).parquet(path)
