@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -67,3 +69,35 @@ def test_updates_move_towards_the_label(y):
         leader.update(np.array([1, 9]), np.array([2.0, 1.0]), y)
     w = leader.weights(slice(None))
     assert (w[1] > 0) == bool(y) and w[1] != 0 and w[2] == 0
+
+
+def test_model_equals_updates_one_feature_at_a_time(spark):
+    rng = np.random.default_rng(9)
+    docs = [(i, " ".join(f"w{x}" for x in rng.integers(0, 40, int(n)))) for i, n in enumerate(rng.integers(0, 30, 60))]
+    labels = [(i, int(rng.random() < 0.3 + 0.4 * (i % 2))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    alpha, l1, l2, epochs = 0.7, 0.02, 0.3, 2
+    model = quality.train(
+        df, spark.createDataFrame(labels, "doc_id long, quality int"), hash_bits=12, trainers=1, epochs=epochs, alpha=alpha, l1=l1, l2=l2)
+
+    order = {r[0]: r[1] for r in df.selectExpr("doc_id", "xxhash64(1, doc_id)").collect()}
+    grams, z, n = quality.NGrams(12), {}, {}
+
+    def weight(f):
+        if abs(z.get(f, 0.0)) <= l1:
+            return 0.0
+        return (math.copysign(l1, z[f]) - z[f]) / ((1.0 + math.sqrt(n[f])) / alpha + l2)
+
+    learnt = sorted((i for i, _ in labels if zlib.crc32(str(i).encode()) % 3 != 1), key=order.get)
+    for _ in range(epochs):
+        for i in learnt:
+            found = Counter(grams.features([docs[i][1].encode()])[0].tolist())
+            x = {f: quality._SCALE * c / sum(found.values()) for f, c in found.items()} | {1 << 12: 1.0}
+            w = {f: weight(f) for f in x}
+            p = 1 / (1 + math.exp(-sum(w[f] * x[f] for f in x)))
+            for f in x:
+                g = (p - labels[i][1]) * x[f]
+                z[f] = z.get(f, 0.0) + g - (math.sqrt(n.get(f, 0.0) + g * g) - math.sqrt(n.get(f, 0.0))) / alpha * w[f]
+                n[f] = n.get(f, 0.0) + g * g
+    want = np.array([weight(f) if f in z else 0.0 for f in range((1 << 12) + 1)])
+    assert np.count_nonzero(want) > 20 and np.allclose(model.weights, want, rtol=1e-4, atol=1e-6)
