@@ -196,7 +196,8 @@ def write_shards(
 
     A row is known by a key of its own, so null and repeated ids are dealt like any other.
     Where ``docs`` has a column of the folders' name, the folders' name gets one more ``_``.
-    A shard is written by as many tasks as it has ``file_bytes`` of text, in a file each.
+    A shard is written in about as many files as it has ``file_bytes`` of text, so no task
+    writes a whole large shard.
     """
     whole, slim = keyed(docs, id_col, text_col)
     where = assign_shards(slim, shards, "text", "key").select("key", F.col("shard").alias("to"))
@@ -205,6 +206,6 @@ def write_shards(
         name += "_"
     size = slim.agg(F.sum(F.octet_length(F.col("text").cast("string")).cast("bigint"))).first()[0] or 0
     files = max(1, -(-size // (shards * file_bytes)))
-    dealt = whole.join(where, "key").repartition("to", F.pmod(F.xxhash64("key"), F.lit(files)))
+    dealt = whole.join(where, "key").repartition(shards * files, "to", F.pmod(F.xxhash64("key"), F.lit(files)))
     rows = dealt.select(*(F.col("row").getField(c).alias(c) for c in docs.columns), F.col("to").alias(name))
     rows.write.mode("overwrite").partitionBy(name).parquet(path)
