@@ -9,11 +9,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on: AQE for runtime join selection, partition coalescing and
-# skew splitting; UTC so load timestamps do not depend on the host.
+# skew splitting; UTC so load timestamps do not depend on the host. HotSpot leaves methods of
+# over 8,000 bytes interpreted, and the cleaning, scoring and raw-table projections generate such
+# ones: beyond that size Spark runs a stage operator by operator, in methods that are compiled.
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -39,7 +42,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Switch on AQE and skew handling for sessions created elsewhere (e.g. by a driver)."""
+    """Switch on AQE, skew handling and the method limit for sessions created elsewhere (e.g. by a driver)."""
     for k, v in SESSION_DEFAULTS.items():
         if k != "spark.sql.session.timeZone" and spark.conf.isModifiable(k):
             spark.conf.set(k, v)

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from salarium.session import apply_defaults
+
 RAW_COLUMNS = [
     "nr_crt", "autoritate_tutelara", "intreprindere", "cui",
     "personal", "calitate_membru", "suma", "indemnizatie_variabila",
@@ -134,6 +136,7 @@ def spread_if_underpartitioned(df: DataFrame) -> DataFrame:
 
 def raw_table(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
     """The raw table; ``spread=False`` when the consumer repartitions it anyway."""
+    apply_defaults(spark)
     t = load_tables(spark, sf_dir)
     orders = spread_if_underpartitioned(t["orders"]) if spread else t["orders"]
     return raw_from_tables(orders, t["customer"], t["nation"], t["region"])
